@@ -127,9 +127,9 @@ def _union_of_cases(
 def extract_by_month(fact: DataFrame, date_column: str, cases: DataFrame, key: str) -> DataFrame:
     """Rows of `fact` whose month is in the case column `key`, with the case columns."""
     lo, hi = _month_bounds(cases, [key]).get(key, (None, None))
-    if lo is None:
-        return fact.limit(0).join(cases, F.lit(False))
-    in_range = (F.col(date_column) >= F.lit(lo)) & (F.col(date_column) < F.lit(hi))
+    in_range = F.lit(False)
+    if lo is not None:
+        in_range = (F.col(date_column) >= F.lit(lo)) & (F.col(date_column) < F.lit(hi))
     small = F.broadcast(cases) if is_small(cases, BROADCAST_CASES) else cases
     keyed = fact.where(in_range).withColumn(key, month_key(date_column))
     return keyed.join(small, key)

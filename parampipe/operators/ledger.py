@@ -98,6 +98,18 @@ def pending(cases: DataFrame, done: DataFrame, keys: list[str] | None = None) ->
     return cases.join(done, same, "left_anti")
 
 
+def retryable(
+    ledger: DataFrame, keys: list[str] | None = None, order: str = "batch_ts", rounds: int = 3
+) -> DataFrame:
+    """Keys whose last attempt failed and that failed fewer than `rounds` times."""
+    names = keys or ATTEMPT_KEY
+    state = ledger.groupBy(*names).agg(
+        F.max_by("status", order).alias("status"),
+        F.count_if(F.col("status") == FAIL).alias("failures"),
+    )
+    return state.where((F.col("status") == FAIL) & (F.col("failures") < rounds)).drop("status")
+
+
 def failed_templates(ledger: DataFrame) -> DataFrame:
     """Distinct (host, sql_file) that failed."""
     return ledger.where(F.col("status") == FAIL).select("host", "sql_file").distinct()

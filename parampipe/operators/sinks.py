@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +81,12 @@ def write_extract(
         raise ValueError(f"unsupported format: {fmt}")
 
 
+def observe_rows(df: DataFrame, name: str = "extract") -> tuple[DataFrame, Observation]:
+    """`df` counted on the way through: the write that follows also yields the count."""
+    progress = Observation(name)
+    return df.observe(progress, F.count(F.lit(1)).alias("rows")), progress
+
+
 def replace_slices(df: DataFrame, path: str, keys: list[str], gather: bool = True) -> None:
     """Replace exactly the partitions that occur in `df`; others stay untouched.
 
