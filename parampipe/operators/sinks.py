@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parampipe.sources.files import CSV_FORMAT
+from parampipe.sources.files import CSV_FORMAT, infer_types
 
 # A gzip file is read by one task, so no CSV file gets more rows than this.
 # Fixed value: the row count of one extract chunk.
@@ -171,3 +171,18 @@ def typed_columns(raw: DataFrame, inferred: T.StructType) -> list[Column]:
             out = value.cast(field.dataType)
         columns.append(out.alias(field.name))
     return columns
+
+
+def convert_typed(raw: DataFrame, path: str) -> None:
+    """Write an all-text frame as typed Parquet.
+
+    Types come from the column names; only columns without a rule are looked
+    at to find theirs. Dates stay text.
+    """
+    open_columns = [c for c in raw.columns if column_rule(c) is None]
+    found = infer_types(raw.select(*open_columns), dates=False) if open_columns else T.StructType()
+    types = {f.name: f.dataType for f in found.fields}
+    schema = T.StructType(
+        [T.StructField(c, types.get(c, T.StringType())) for c in raw.columns]
+    )
+    raw.select(*typed_columns(raw, schema)).write.parquet(path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from parampipe.plans import extract_queries as _extract
+from parampipe.plans import load_queries as _load
 
-_MODULES = (_extract,)
+_MODULES = (_extract, _load)
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}

@@ -40,11 +40,12 @@ def read_csv_raw(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     ).csv(path)
 
 
-def infer_types(raw: DataFrame) -> T.StructType:
+def infer_types(raw: DataFrame, dates: bool = True) -> T.StructType:
     """Type of every text column, from one aggregation over all rows.
 
-    Whole numbers become bigint, other numbers double, then date, timestamp and
-    boolean; anything else, and text with leading zeros, stays text.
+    Whole numbers become bigint, other numbers double, then (with `dates`) date
+    and timestamp, and boolean; anything else, and text with leading zeros,
+    stays text.
     """
     tests = []
     for i, name in enumerate(raw.columns):
@@ -56,6 +57,8 @@ def infer_types(raw: DataFrame) -> T.StructType:
             "time": value.rlike(_TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull(),
             "bool": F.lower(value).isin("true", "false"),
         }
+        if not dates:
+            del checks["date"], checks["time"]
         for kind, check in checks.items():
             tests.append(F.bool_and(F.when(value.isNotNull(), check)).alias(f"{kind}_{i}"))
     found = raw.agg(*tests).first()
@@ -66,6 +69,8 @@ def infer_types(raw: DataFrame) -> T.StructType:
         ("time", T.TimestampNTZType()),
         ("bool", T.BooleanType()),
     ]
+    if not dates:
+        order = [(k, t) for k, t in order if k not in ("date", "time")]
     fields = []
     for i, name in enumerate(raw.columns):
         kind = next((t for k, t in order if found[f"{k}_{i}"]), T.StringType())
