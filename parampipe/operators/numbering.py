@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from parampipe.session import materialize
 
-_ID, _PART, _FIRST, _SIZE, _BEFORE = "_row_id", "_part", "_first", "_size", "_before"
+_ID, _PART = "_ordinal_id", "_ordinal_part"
+_FIRST, _SIZE, _BEFORE = "_ordinal_first", "_ordinal_size", "_ordinal_before"
 # monotonically_increasing_id keeps the partition in its upper 31 bits
 _ROW_BITS = 33
 
