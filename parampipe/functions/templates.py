@@ -56,13 +56,8 @@ def text_hash(text: Column) -> Column:
     return F.md5(text)
 
 
-def missing_names(text: Column, given: Column) -> Column:
-    return F.array_except(placeholder_names(text), given)
-
-
-def lint_issues(text: Column, given: Column) -> Column:
+def lint_issues(text: Column, missing: Column) -> Column:
     """Findings of one template joined by ``; `` (empty text: none)."""
-    missing = missing_names(text, given)
     quoted = F.transform(missing, lambda m: F.concat(F.lit("'"), m, F.lit("'")))
     return F.concat_ws(
         "; ",
@@ -108,15 +103,21 @@ def plan_header(file_name: Column, params: Column) -> Column:
     )
 
 
-def hit_preview(text: Column, values: Column, context: int = PREVIEW_CONTEXT) -> Column:
-    """Lines from `context` before the first to `context` after the last line that
-    holds one of `values`; the first lines when none does."""
-    lines = F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
-    flagged = F.transform(
-        lines,
-        lambda line, i: F.when(F.exists(values, lambda v: F.contains(line, v)), i),
+def text_lines(text: Column) -> Column:
+    return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+
+
+def hit_lines(lines: Column, values: Column) -> Column:
+    """0-based numbers of the lines that hold one of `values`."""
+    numbered = F.transform(
+        lines, lambda line, i: F.when(F.exists(values, lambda v: F.contains(line, v)), i)
     )
-    hits = F.filter(flagged, lambda i: i.isNotNull())
+    return F.array_compact(numbered)
+
+
+def lines_around(lines: Column, hits: Column, context: int = PREVIEW_CONTEXT) -> Column:
+    """Lines from `context` before the first hit to `context` after the last; the
+    first lines when there is no hit."""
     start = F.greatest(F.array_min(hits) - context, F.lit(0))
     stop = F.least(F.array_max(hits) + context + 1, F.size(lines))
     shown = F.when(F.size(hits) == 0, F.slice(lines, 1, PREVIEW_HEAD)).otherwise(

@@ -19,16 +19,22 @@ def placeholder_summary(corpus: DataFrame, text: str = "text") -> DataFrame:
 
 
 def lint_report(corpus: DataFrame, given: list[str], text: str = "text") -> DataFrame:
-    """Status and findings of every template, given the names of the set parameters."""
-    body = F.col(text)
+    """Status and findings of every template, given the names of the set parameters.
+
+    Names are found once per text: each later step uses the column of the one
+    before.
+    """
     known = F.array(*[F.lit(g) for g in given]).cast("array<string>")
-    issues = T.lint_issues(body, known)
-    return corpus.select(
-        *[c for c in corpus.columns if c != text],
-        F.when(issues == "", OK).otherwise(FAIL).alias("status"),
-        issues.alias("issues"),
-        F.array_join(T.placeholder_names(body), ",").alias("params_used"),
-        F.array_join(F.array_sort(T.missing_names(body, known)), ",").alias("params_missing"),
+    rest = [c for c in corpus.columns if c != text]
+    named = corpus.select(*rest, text, T.placeholder_names(F.col(text)).alias("_used"))
+    checked = named.withColumn("_missing", F.array_except("_used", known))
+    found = checked.withColumn("issues", T.lint_issues(F.col(text), F.col("_missing")))
+    return found.select(
+        *rest,
+        F.when(F.col("issues") == "", OK).otherwise(FAIL).alias("status"),
+        "issues",
+        F.array_join("_used", ",").alias("params_used"),
+        F.array_join("_missing", ",").alias("params_missing"),
     )
 
 
@@ -37,22 +43,32 @@ def gate(report: DataFrame) -> bool:
     return bool(report.agg(F.bool_or(F.col("status") == FAIL)).first()[0])
 
 
+def with_preview(df: DataFrame, text: str, values: Column, name: str = "preview") -> DataFrame:
+    """Add the lines of `text` around those that hold one of `values`."""
+    lines = df.withColumn("_lines", T.text_lines(F.col(text)))
+    hits = lines.withColumn("_hits", T.hit_lines(F.col("_lines"), values))
+    return hits.withColumn(name, T.lines_around(F.col("_lines"), F.col("_hits"))).drop(
+        "_lines", "_hits"
+    )
+
+
 def render_plan(
     corpus: DataFrame, file_name: str, specs: dict[str, Column], text: str = "text"
 ) -> DataFrame:
-    """Rendered statement of every template and case, with its header comment.
+    """Rendered statement of every template and case, with its header comment
+    and a preview of the lines holding a value.
 
     Cases are generated inside the row of their template; nothing is joined.
     """
     names = sorted(specs)
-    cased = expand_cases(corpus, specs)
-    params = case_params(names)
-    body = T.strip_end(T.render(F.col(text), names, F.col))
-    return cased.select(
+    cased = expand_cases(corpus, specs).withColumn("_params", case_params(names))
+    bodies = cased.withColumn("_body", T.strip_end(T.render(F.col(text), names, F.col)))
+    previewed = with_preview(bodies, "_body", F.map_values("_params"))
+    return previewed.select(
         *[c for c in corpus.columns if c != text],
-        describe_case(params).alias("params"),
-        F.concat(T.plan_header(F.col(file_name), params), body).alias("rendered"),
-        T.hit_preview(body, F.map_values(params)).alias("preview"),
+        describe_case(F.col("_params")).alias("params"),
+        F.concat(T.plan_header(F.col(file_name), F.col("_params")), "_body").alias("rendered"),
+        "preview",
     )
 
 

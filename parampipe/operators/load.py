@@ -31,6 +31,9 @@ HISTORY_SCHEMA = T.StructType(
 # Part names up to this many are put into the scan as literal partition filters.
 PRUNED_PARTS = 10_000
 
+# Template lists up to this many rows are sent to every executor.
+BROADCAST_TEMPLATES = 100_000
+
 BY_SUFFIX, BY_HASH = "suffix", "hash"
 
 
@@ -149,7 +152,10 @@ def load_status(parts: DataFrame, templates: DataFrame, history: DataFrame) -> D
     `parts` has (table_name, file_suffix), `templates` (table_name), `history`
     as kept by a `Target`.
     """
-    known = templates.select("table_name").distinct().withColumn("_known", F.lit(True))
+    names = templates.select("table_name").distinct()
+    if is_small(names, BROADCAST_TEMPLATES):
+        names = F.broadcast(names)
+    known = names.withColumn("_known", F.lit(True))
     done = history.select("table_name", "file_suffix").distinct().withColumn("_done", F.lit(True))
     return (
         parts.join(known, "table_name", "left")

@@ -70,9 +70,12 @@ def plan_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_hit_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines around mail and web addresses in the whole text."""
-    preview = T.hit_preview(F.col("text"), F.array(F.lit("@"), F.lit("http")))
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.md5(preview).alias("preview_md5"), F.length(preview).alias("preview_chars")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    previewed = A.with_preview(documents, "text", F.array(F.lit("@"), F.lit("http")))
+    return previewed.select(
+        "doc_id",
+        F.md5("preview").alias("preview_md5"),
+        F.length("preview").alias("preview_chars"),
     )
 
 
@@ -80,7 +83,7 @@ def _part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     stem = F.concat(
         F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.col("p_partkey"), F.lit(".sql")
     )
-    stem = F.when(F.col("p_partkey") % 2 == 0, F.upper(stem)).otherwise(stem)
+    stem = F.when(F.col("p_size") > 25, F.upper(stem)).otherwise(stem)
     prefixed = (F.col("p_type") != "PROMO") & (F.col("p_brand") != "Brand#7")
     name = F.when(prefixed, F.concat("p_size", F.lit("_"), stem)).otherwise(stem)
     return table(spark, sf_dir, "part").select("p_partkey", "p_brand", name.alias("file_name"))
@@ -125,7 +128,7 @@ _SPACE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 _FILES = """(select p_partkey, p_brand, case when p_type <> 'PROMO' and p_brand <> 'Brand#7'
     then p_size || '_' || stem else stem end as file_name,
     case when p_type <> 'PROMO' and p_brand <> 'Brand#7' then p_size end as prefix
-  from (select *, case when p_partkey % 2 = 0 then upper(s) else s end as stem
+  from (select *, case when p_size > 25 then upper(s) else s end as stem
     from (select *, replace(p_name, ' ', '_') || '_' || p_partkey || '.sql' as s from part))
   ) as files"""
 

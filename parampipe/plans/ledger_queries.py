@@ -26,7 +26,7 @@ def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k")
     return events.select(
         F.date_format("ts", "yyyyMMdd").alias("batch_ts"),
-        F.concat(F.lit("host"), F.col("user_id") % 10).alias("host"),
+        F.concat(F.lit("host_"), F.substring(F.md5(F.col("user_id").cast("string")), 1, 1)).alias("host"),
         F.concat(F.lit("t"), F.col("user_id"), F.lit(".sql")).alias("sql_file"),
         F.concat(F.lit("k="), k).alias("params"),
         F.md5("event_type").alias("sql_hash"),
@@ -98,7 +98,7 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("file_suffix"),
         "event_type",
     )
-    templates = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(
+    templates = table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").select(
         F.col("c_custkey").alias("table_name")
     )
     history = files.where("event_type = 'view'")
@@ -187,7 +187,7 @@ QUERIES = {
     )
 }
 
-_LEDGER = """(select strftime(ts, '%Y%m%d') as batch_ts, 'host' || (user_id % 10) as host,
+_LEDGER = """(select strftime(ts, '%Y%m%d') as batch_ts, 'host_' || substr(md5(cast(user_id as varchar)), 1, 1) as host,
   't' || user_id || '.sql' as sql_file, 'k=' || json_extract_string(props, '$.k') as params,
   md5(event_type) as sql_hash, case when event_type = 'error' then 'FAIL' else 'OK' end as status,
   cast(json_extract_string(props, '$.k') as bigint) as rows, value as elapsed_sec,
@@ -212,7 +212,7 @@ ORACLE = {
     "host_schema_default": """select s_name as host, coalesce(n_name, s_name) as target_schema
         from supplier left join nation on s_nationkey = n_nationkey and n_regionkey = 0""",
     "load_summary": """with s as (select strftime(ts, '%Y%m%d') as day, case
-          when event_type = 'view' or user_id not in (select c_custkey from customer where c_custkey % 3 <> 0)
+          when event_type = 'view' or user_id not in (select c_custkey from customer where c_mktsegment <> 'MACHINERY')
             then 'skipped'
           when event_type = 'error' then 'failed' else 'loaded' end as status from events)
         select day, count(*) filter (status = 'loaded') as loaded,

@@ -109,9 +109,8 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per written part, and whether the files found hold them."""
     extract = _extract_of(_orders_with_part(spark, sf_dir), "manifest")
     sizes = extract.groupBy(PART).agg(
-        (F.count_distinct("_metadata.file_path") > 0).alias("has_files"),
         (F.min("_metadata.file_size") > 0).alias("has_bytes"),
-        (F.min("_metadata.file_modification_time").isNotNull()).alias("has_time"),
+        F.min("_metadata.file_modification_time").isNotNull().alias("has_time"),
     )
     return L.manifest(extract, PART).select(PART, "row_count").join(sizes, PART)
 
@@ -133,7 +132,7 @@ def unwritten_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     extract = table(spark, sf_dir, "orders").withColumn("clsYymm", month_key("o_orderdate"))
     path = new_scratch(spark, "extract")
     S.write_parquet(extract, path, ["clsYymm"])
-    written = S.existing_cases(spark, path, extract.schema, ["clsYymm"])
+    written = S.existing_cases(spark, path, ["clsYymm"])
     cases = C.case_table(spark, {"clsYymm": "199001:200512"})
     return LG.pending(cases, written, ["clsYymm"])
 
@@ -324,7 +323,7 @@ ORACLE = {
         cast(l_linenumber as bigint) as l_linenumber, l_quantity, l_extendedprice, l_discount,
         l_tax, l_returnflag, l_linestatus,
         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') as l_shipdate from lineitem""",
-    "file_manifest": f"select *, true as has_files, true as has_bytes, true as has_time from ({_PARTS})",
+    "file_manifest": f"select *, true as has_bytes, true as has_time from ({_PARTS})",
     "part_fingerprint": f"select *, true as same_content from ({_PARTS})",
     "unwritten_cases": """select strftime(m, '%Y%m') as clsYymm from (select unnest(generate_series(
         timestamp '1990-01-01', timestamp '2005-12-01', interval 1 month)) as m)

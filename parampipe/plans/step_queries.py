@@ -113,9 +113,9 @@ FROM (
 )
 """
 SET_OPS = """
-SELECT 'both' AS side, k FROM (SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders)
+SELECT 'both' AS side, k FROM (SELECT c_custkey AS k FROM customer INTERSECT SELECT DISTINCT o_custkey FROM orders)
 UNION ALL
-SELECT 'customer only', k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders)
+SELECT 'customer only', k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT DISTINCT o_custkey FROM orders)
 """
 
 step_semi_anti = _sql(SEMI_ANTI)
