@@ -119,11 +119,8 @@ def override_params(base: Column, overrides: Column) -> Column:
 def _entries_to_map(entries: Column) -> Column:
     # a key given twice keeps its last value, whatever the session's
     # duplicate-key policy is
-    last = F.aggregate(
-        entries,
-        F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
-        lambda acc, e: F.map_concat(
-            F.map_filter(acc, lambda k, _v: k != e["key"]), F.create_map(e["key"], e["value"])
-        ),
+    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    last = F.transform(
+        keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
     )
-    return last
+    return F.map_from_arrays(keys, last)

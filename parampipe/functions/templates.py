@@ -70,22 +70,33 @@ def lint_issues(text: Column, missing: Column) -> Column:
     )
 
 
-def render(text: Column, names: list[str], value_of) -> Column:
-    """Template text with every placeholder in `names` replaced by its raw value.
-
-    `value_of(name)` gives the value as a Column. Names are matched whole, so
-    ``:a`` never touches ``:a_b``.
-    """
-    out = text
-    for name in sorted(names, key=lambda n: (-len(n), n)):
-        pattern = rf"\$\{{{name}\}}|\{{#{name}\}}|(?<!:):{name}\b"
-        out = F.regexp_replace(out, F.lit(pattern), _literal_replacement(value_of(name)))
-    return out
-
-
-def _literal_replacement(value: Column) -> Column:
-    # '\' and '$' have a meaning in a regular-expression replacement
-    return F.regexp_replace(value.cast("string"), r"([\\$])", r"\\$1")
+# a whole name: ``:a`` is not found in ``:a_b`` or ``:aé``
+_ANY_PLACEHOLDER = (
+    r"(?U)\$\{[A-Za-z_][A-Za-z0-9_]*\}|\{#[A-Za-z_][A-Za-z0-9_]*\}"
+    r"|(?<!:):[A-Za-z_][A-Za-z0-9_]*\b"
+)
+
+
+def literal_pieces(text: Column) -> Column:
+    """Texts between the placeholders, in order; one more than there are placeholders."""
+    return F.split(text, _ANY_PLACEHOLDER, -1)
+
+
+def placeholder_pieces(text: Column) -> Column:
+    """The placeholders as written, in order, and an empty text at the end."""
+    found = F.regexp_extract_all(text, F.lit(_ANY_PLACEHOLDER), F.lit(0))
+    return F.concat(found, F.array(F.lit("")))
+
+
+def render(literals: Column, placeholders: Column, params: Column) -> Column:
+    """Template text with the raw values of `params` put in; unknown names stay as
+    they are. The text is cut once, whatever the number of cases."""
+
+    def filled(literal: Column, mark: Column) -> Column:
+        value = F.try_element_at(params, F.translate(mark, ":{}#$", ""))
+        return F.concat(literal, F.coalesce(value, mark))
+
+    return F.array_join(F.zip_with(literals, placeholders, filled), "")
 
 
 def plan_header(file_name: Column, params: Column) -> Column:

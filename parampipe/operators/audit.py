@@ -61,8 +61,14 @@ def render_plan(
     Cases are generated inside the row of their template; nothing is joined.
     """
     names = sorted(specs)
-    cased = expand_cases(corpus, specs).withColumn("_params", case_params(names))
-    bodies = cased.withColumn("_body", T.strip_end(T.render(F.col(text), names, F.col)))
+    cut = corpus.select(
+        *[c for c in corpus.columns if c != text],
+        T.literal_pieces(F.col(text)).alias("_literals"),
+        T.placeholder_pieces(F.col(text)).alias("_marks"),
+    )
+    cased = expand_cases(cut, specs).withColumn("_params", case_params(names))
+    rendered = T.render(F.col("_literals"), F.col("_marks"), F.col("_params"))
+    bodies = cased.withColumn("_body", T.strip_end(rendered))
     previewed = with_preview(bodies, "_body", F.map_values("_params"))
     return previewed.select(
         *[c for c in corpus.columns if c != text],

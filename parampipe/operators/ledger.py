@@ -80,15 +80,24 @@ def success_keys(
 ) -> DataFrame:
     """Keys whose last attempt succeeded.
 
-    ``all`` takes each key's last attempt over all batches (kept as a running
-    maximum, so no key's rows are sorted or gathered); ``last_run`` looks at the
-    newest batch only.
+    ``all`` takes each key's last attempt over all batches; ``last_run`` looks at
+    the newest batch only. The times of the last attempt and of the last
+    success are running maxima, combined before the shuffle: no key's rows are
+    sorted or gathered. A timestamp or number as `order` keeps them in a hash
+    aggregate. Attempts at the same time count as a success if one succeeded.
     """
     names = keys or ATTEMPT_KEY
     if scope == "last_run":
         return latest_batch(ledger).where(F.col("status") == OK).select(*names).distinct()
-    last = ledger.groupBy(*names).agg(F.max_by("status", order).alias("status"))
-    return last.where(F.col("status") == OK).select(*names)
+    return _last_attempts(ledger, names, order).where("_last_ok = _last").select(*names)
+
+
+def _last_attempts(ledger: DataFrame, names: list[str], order: str) -> DataFrame:
+    return ledger.groupBy(*names).agg(
+        F.max(order).alias("_last"),
+        F.max(F.when(F.col("status") == OK, F.col(order))).alias("_last_ok"),
+        F.count_if(F.col("status") == FAIL).alias("failures"),
+    )
 
 
 def pending(cases: DataFrame, done: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -103,11 +112,9 @@ def retryable(
 ) -> DataFrame:
     """Keys whose last attempt failed and that failed fewer than `rounds` times."""
     names = keys or ATTEMPT_KEY
-    state = ledger.groupBy(*names).agg(
-        F.max_by("status", order).alias("status"),
-        F.count_if(F.col("status") == FAIL).alias("failures"),
-    )
-    return state.where((F.col("status") == FAIL) & (F.col("failures") < rounds)).drop("status")
+    open_keys = F.col("_last_ok").isNull() | (F.col("_last_ok") < F.col("_last"))
+    state = _last_attempts(ledger, names, order).where(open_keys & (F.col("failures") < rounds))
+    return state.select(*names, "failures")
 
 
 def failed_templates(ledger: DataFrame) -> DataFrame:

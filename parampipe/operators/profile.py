@@ -86,7 +86,9 @@ def next_sequence(
     digits = F.regexp_extract(
         F.when(name.startswith(prefix), F.replace(name, prefix, F.lit(""))), r"^\s*([+-]?\d+)\s*$", 1
     )
-    number = F.coalesce(F.max(digits.try_cast("bigint")), F.lit(0)) + 1
+    # empty text first: a failing cast costs an exception per row
+    used = F.nullif(digits, F.lit("")).try_cast("bigint")
+    number = F.coalesce(F.max(used), F.lit(0)) + 1
     return df.groupBy(*group).agg(number.alias("next_no")).withColumn(
         "next_label", F.format_string(f"%0{width}d", F.col("next_no"))
     )

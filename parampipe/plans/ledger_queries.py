@@ -55,15 +55,15 @@ def latest_run_success(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pending_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases whose last attempt, over all batches, did not succeed."""
-    ledger = _ledger(spark, sf_dir).withColumn("attempt", F.struct("ts", "event_id"))
+    ledger = _ledger(spark, sf_dir)
     cases = ledger.select(*KEYS).distinct()
-    return LG.pending(cases, LG.success_keys(ledger, KEYS, order="attempt"), KEYS)
+    return LG.pending(cases, LG.success_keys(ledger, KEYS, order="ts"), KEYS)
 
 
 def retry_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Templates of a host that failed last and may be tried again."""
-    ledger = _ledger(spark, sf_dir).withColumn("attempt", F.struct("ts", "event_id"))
-    return LG.retryable(ledger, KEYS, order="attempt")
+    ledger = _ledger(spark, sf_dir)
+    return LG.retryable(ledger, KEYS, order="ts")
 
 
 def failed_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,7 @@ _LEDGER = """(select strftime(ts, '%Y%m%d') as batch_ts, 'host_' || substr(md5(c
   case when event_type = 'error' then '' else 'out/' || json_extract_string(props, '$.k') end as output_file,
   case when event_type = 'error' then substr(repeat(props, 60), 1, 500) else '' end as error_message,
   ts, event_id from events)"""
-_LAST = f"""(select host, sql_file, params, arg_max(status, row(ts, event_id)) as status,
+_LAST = f"""(select host, sql_file, params, case when max(ts) = max(ts) filter (status = 'OK') then 'OK' else 'FAIL' end as status,
   count(*) filter (status = 'FAIL') as failures from {_LEDGER} group by all)"""
 
 ORACLE = {

@@ -20,8 +20,10 @@ CSV_FORMAT: dict[str, str | bool] = {
     "encoding": "UTF-8",
 }
 
-_INTEGER = r"^[+-]?(0|[1-9][0-9]*)$"
-_LEADING_ZERO = r"^[+-]?0[0-9]"
+# A missing field is NULL and a quoted empty field is an empty text. With the
+# default NULL text (empty) a reader takes both for NULL; no field holds this one.
+_READ_FORMAT = {**CSV_FORMAT, "nullValue": "\x00"}
+
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?$"
 
@@ -30,52 +32,78 @@ def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
     """CSV (plain or compressed) with a known schema; `multi_line` for text with line breaks."""
-    return spark.read.options(**CSV_FORMAT, multiLine=multi_line).schema(schema).csv(path)
+    return spark.read.options(**_READ_FORMAT, multiLine=multi_line).schema(schema).csv(path)
 
 
 def read_csv_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with every column as text."""
     return spark.read.options(
-        **CSV_FORMAT, inferSchema=False, multiLine=multi_line
+        **_READ_FORMAT, inferSchema=False, multiLine=multi_line
     ).csv(path)
 
 
 def infer_types(raw: DataFrame, dates: bool = True) -> T.StructType:
-    """Type of every text column, from one aggregation over all rows.
+    """Type of every text column, from one aggregation over all values.
 
     Whole numbers become bigint, other numbers double, then (with `dates`) date
     and timestamp, and boolean; anything else, and text with leading zeros,
     stays text.
     """
-    tests = []
-    for i, name in enumerate(raw.columns):
-        value = F.col(f"`{name}`")
-        checks = {
-            "int": value.rlike(_INTEGER) & value.try_cast("bigint").isNotNull(),
-            "num": value.try_cast("double").isNotNull() & ~value.rlike(_LEADING_ZERO),
-            "date": value.rlike(_DATE) & value.try_cast("date").isNotNull(),
-            "time": value.rlike(_TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull(),
-            "bool": F.lower(value).isin("true", "false"),
-        }
-        if not dates:
-            del checks["date"], checks["time"]
-        for kind, check in checks.items():
-            tests.append(F.bool_and(F.when(value.isNotNull(), check)).alias(f"{kind}_{i}"))
-    found = raw.agg(*tests).first()
-    order: list[tuple[str, T.DataType]] = [
-        ("int", T.LongType()),
-        ("num", T.DoubleType()),
-        ("date", T.DateType()),
-        ("time", T.TimestampNTZType()),
-        ("bool", T.BooleanType()),
-    ]
+    value = F.col("value")
+    checks: dict[str, tuple[T.DataType, Column]] = {
+        "int": (T.LongType(), _is_whole_number(value)),
+        "num": (T.DoubleType(), _looks_numeric(value) & value.try_cast("double").isNotNull()),
+        "date": (
+            T.DateType(),
+            (F.length(value) == 10) & value.rlike(_DATE) & value.try_cast("date").isNotNull(),
+        ),
+        "time": (
+            T.TimestampNTZType(),
+            (F.length(value) >= 19)
+            & value.rlike(_TIMESTAMP)
+            & value.try_cast("timestamp_ntz").isNotNull(),
+        ),
+        "bool": (T.BooleanType(), F.lower(value).isin("true", "false")),
+    }
     if not dates:
-        order = [(k, t) for k, t in order if k not in ("date", "time")]
-    fields = []
-    for i, name in enumerate(raw.columns):
-        kind = next((t for k, t in order if found[f"{k}_{i}"]), T.StringType())
-        fields.append(T.StructField(name, kind))
-    return T.StructType(fields)
+        del checks["date"], checks["time"]
+    # one set of tests over (column, value) pairs: the generated code stays small
+    # enough to be compiled however many columns there are
+    pairs = raw.select(
+        F.posexplode(F.array(*[F.col(f"`{c}`") for c in raw.columns])).alias("column", "value")
+    ).where(value.isNotNull())
+    found = pairs.groupBy("column").agg(
+        *[F.bool_and(F.coalesce(c, F.lit(False))).alias(k) for k, (_t, c) in checks.items()]
+    )
+    types: dict[int, T.DataType] = {
+        row["column"]: next((t for k, (t, _c) in checks.items() if row[k]), T.StringType())
+        for row in found.collect()
+    }
+    return T.StructType(
+        [T.StructField(c, types.get(i, T.StringType())) for i, c in enumerate(raw.columns)]
+    )
+
+
+def _is_whole_number(value: Column) -> Column:
+    """Text is a bigint without leading zeros. Text tests only: a failing cast
+    costs an exception per row."""
+    digits = F.when(value.startswith("-"), F.substring(value, 2, 2**31 - 1)).otherwise(value)
+    size = F.length(digits)
+    return (
+        (size > 0)
+        & (F.translate(digits, "0123456789", "") == "")
+        & ((digits == "0") | ~digits.startswith("0"))
+        & ((size < 19) | ((size == 19) & (digits <= "9223372036854775807")))
+    )
+
+
+def _looks_numeric(value: Column) -> Column:
+    """Cheap test ahead of a cast: only characters of a number, no inner minus
+    without an exponent, no leading zero."""
+    digits = F.ltrim(value, F.lit("+-"))
+    leading_zero = digits.startswith("0") & F.substring(digits, 2, 1).between("0", "9")
+    dated = (F.locate("-", value, 2) > 0) & ~F.lower(value).contains("e")
+    return (F.translate(value, "0123456789+-.eE", "") == "") & ~leading_zero & ~dated
 
 
 def cast_to(raw: DataFrame, schema: T.StructType) -> DataFrame:
