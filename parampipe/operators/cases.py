@@ -24,7 +24,7 @@ def case_table(
     if unknown:
         raise ValueError(f"missing params {unknown}")
     specs = {n: F.lit(str(params[n])) for n in used}
-    return expand_cases(spark.range(1).select(), specs, mode)
+    return expand_cases(spark.range(0, 1, 1, 1).select(), specs, mode)
 
 
 def expand_cases(df: DataFrame, specs: dict[str, Column], mode: str = "product") -> DataFrame:

@@ -101,8 +101,19 @@ def _last_attempts(ledger: DataFrame, names: list[str], order: str) -> DataFrame
 
 
 def pending(cases: DataFrame, done: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Cases that are not done; keys compare NULL-safe."""
+    """Cases that are not done; keys compare NULL-safe.
+
+    Bare keys are united with the done ones and grouped: one shuffle of
+    combined keys. (An anti-join would be pushed below a DISTINCT of the cases
+    and shuffle the raw rows.) Cases with further columns are anti-joined.
+    """
     names = keys or ATTEMPT_KEY
+    if set(cases.columns) == set(names):
+        marked = cases.select(*names, F.lit(False).alias("_done")).unionAll(
+            done.select(*names, F.lit(True))
+        )
+        states = marked.groupBy(*names).agg(F.bool_or("_done").alias("_done"))
+        return states.where(~F.col("_done")).select(*cases.columns)
     same = [cases[k].eqNullSafe(done[k]) for k in names]
     return cases.join(done, same, "left_anti")
 
