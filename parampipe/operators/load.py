@@ -96,17 +96,20 @@ def pending_parts(
     return parts.join(done, parts[key].eqNullSafe(done[key]), "left_anti")
 
 
-def rows_of_parts(source: DataFrame, part: str, parts: DataFrame) -> DataFrame:
-    """Rows of `source` whose part is listed in `parts`.
+def rows_of_parts(source: DataFrame, part: str, parts: DataFrame) -> DataFrame | None:
+    """Rows of `source` whose part is listed in `parts`; None for an empty list.
 
     A list of checked size becomes a literal partition filter, so only the
     folders of those parts are read; a longer one is a semi-join.
     """
     names = parts.select(F.col("file_suffix").alias(part)).distinct()
-    if is_small(names, PRUNED_PARTS):
-        values = [r[0] for r in names.collect()]
-        return source.where(F.col(part).isin(values)) if values else source.limit(0)
-    return source.join(names, part, "left_semi")
+    values = [r[0] for r in names.limit(PRUNED_PARTS + 1).collect()]
+    if not values:
+        return None
+    if len(values) > PRUNED_PARTS:
+        return source.join(names, source[part].eqNullSafe(names[part]), "left_semi")
+    wanted = F.col(part).isin([v for v in values if v is not None])
+    return source.where(wanted | F.col(part).isNull() if None in values else wanted)
 
 
 def load_parts(
@@ -139,10 +142,10 @@ def load_parts(
     )
     # fixed once: the data and the history must speak of the same parts
     entries = materialize(entries, "pending")
-    if entries.isEmpty():
-        return entries
-    replace_slices(rows_of_parts(source, part, entries), target.table_path(table), [part], gather)
-    entries.write.mode("append").parquet(target.history_path)
+    rows = rows_of_parts(source, part, entries)
+    if rows is not None:
+        replace_slices(rows, target.table_path(table), [part], gather)
+        entries.write.mode("append").parquet(target.history_path)
     return entries
 
 

@@ -14,6 +14,7 @@ from parampipe.operators import load as L
 from parampipe.operators import sinks as S
 from parampipe.operators import views as V
 from parampipe.operators.numbering import with_ordinal
+from parampipe.session import plan_text
 from parampipe.sources import files as SRC
 from parampipe.sources import jdbc as J
 from parampipe.streaming import ingest
@@ -45,6 +46,17 @@ def test_load_twice_is_load_once(target, extract):
     assert L.load_parts(target, "U", extract, "file_suffix").count() == 4
 
 
+def test_part_without_a_suffix(target, extract, monkeypatch):
+    """A file without a suffix is a part like any other."""
+    rows = extract.withColumn("file_suffix", F.nullif("file_suffix", F.lit("_3")))
+    assert L.load_parts(target, "T", rows, "file_suffix").count() == 4
+    assert L.load_parts(target, "T", rows, "file_suffix").count() == 0
+    assert ids(target.table("T", extract.schema)) == list(range(100))
+    monkeypatch.setattr(L, "PRUNED_PARTS", 0)
+    assert L.load_parts(target, "U", rows, "file_suffix").count() == 4
+    assert ids(target.table("U", extract.schema)) == list(range(100))
+
+
 def test_crash_between_data_and_history(target, extract, spark):
     L.load_parts(target, "T", extract, "file_suffix")
     shutil.rmtree(target.history_path)
@@ -77,6 +89,7 @@ def test_pending_parts_prune_the_scan(target, extract, monkeypatch):
     assert len({os.path.dirname(f) for f in pruned.inputFiles()}) <= 4
     assert ids(pruned) == [i for i in range(100) if i % 4 == 1]
     monkeypatch.setattr(L, "PRUNED_PARTS", 0)
+    assert "LeftSemi" in plan_text(L.rows_of_parts(extract, "file_suffix", wanted))
     assert ids(L.rows_of_parts(extract, "file_suffix", wanted)) == ids(pruned)
 
 
