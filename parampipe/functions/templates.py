@@ -7,6 +7,7 @@ prepare one template for ``spark.sql``.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import Column
@@ -156,6 +157,12 @@ def to_markers(template: str) -> str:
     return _BRACED.sub(lambda m: ":" + (m.group(1) or m.group(2)), text)
 
 
+def template_hash(template: str) -> str:
+    """`text_hash` of the normalized template, for a single text."""
+    text = template.strip(WHITESPACE).removesuffix(";").replace("\n/", "\n")
+    return hashlib.md5(text.encode("utf-8")).hexdigest()
+
+
 def marker_names(statement: str) -> list[str]:
     return sorted(set(_MARKER.findall(statement)))
 

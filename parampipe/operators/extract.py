@@ -67,7 +67,7 @@ def extract_cases(
         return spark.sql(T.rewrite_months(statement, lambda c, n: ""))
     if cases is None:
         cases = case_table(spark, params, names, mode)
-    cases = cases.select(*names).distinct() if set(cases.columns) != set(names) else cases
+    cases = cases.select(*names).distinct()
 
     bounds = _month_bounds(cases, sorted({n for _c, n in T.month_tests(statement)}))
     view = f"case_table_{uuid.uuid4().hex}"
@@ -126,6 +126,7 @@ def _union_of_cases(
 
 def extract_by_month(fact: DataFrame, date_column: str, cases: DataFrame, key: str) -> DataFrame:
     """Rows of `fact` whose month is in the case column `key`, with the case columns."""
+    cases = cases.distinct()
     lo, hi = _month_bounds(cases, [key]).get(key, (None, None))
     in_range = F.lit(False)
     if lo is not None:

@@ -146,9 +146,10 @@ def read_versions(
     spark: SparkSession, path: str, schema: T.StructType, keep: int = KEEP_VERSIONS
 ) -> DataFrame:
     """Rows of the newest `keep` versions below `path`."""
-    table = spark.read.schema(schema.add("version", "string")).parquet(path)
-    newest = [r["version"] for r in kept_versions(table.select("version").distinct(), keep).collect()]
-    return table.where(F.col("version").isin(newest))
+    newest = kept_versions(existing_cases(spark, path, ["version"]), keep).collect()
+    fields = T.StructType([*schema.fields, T.StructField("version", T.StringType())])
+    table = spark.read.schema(fields).parquet(path)
+    return table.where(F.col("version").isin([r["version"] for r in newest]))
 
 
 def keep_latest(

@@ -10,7 +10,9 @@ from parampipe.functions.params import month_key, override_params, parse_overrid
 from parampipe.operators import cases as C
 from parampipe.operators import extract as X
 from parampipe.operators import filters as FL
+from parampipe.operators import ledger as LG
 from parampipe.operators import load as L
+from parampipe.operators import runs as R
 from parampipe.operators import sinks as S
 from parampipe.plans.inputs import register, table
 from parampipe.session import new_scratch
@@ -106,6 +108,41 @@ def extract_two_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_parquet(spark, path, rows.schema)
 
 
+def extract_csv_by_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract as gzip CSV, one folder per case."""
+    register(spark, sf_dir, "orders")
+    rows = X.extract_cases(spark, ORDERS_OF_MONTH, {"clsYymm": ALL_MONTHS})
+    path = new_scratch(spark, "extract")
+    S.write_extract(rows, path, ["clsYymm"], fmt="csv")
+    return SRC.read_csv(spark, path, rows.schema)
+
+
+def _run_twice(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A run over some months, then one over all of them; returns output and ledger."""
+    register(spark, sf_dir, "orders")
+    path, ledger = new_scratch(spark, "extract"), new_scratch(spark, "ledger")
+    for batch, months in (("20240101_000000", "199501:199712"), ("20240102_000000", ALL_MONTHS)):
+        R.run_extract(
+            spark, "01_orders", ORDERS_OF_MONTH, {"clsYymm": months}, path, ledger, batch, "local"
+        )
+    return path, ledger
+
+
+def extract_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run extracts only what the first left open."""
+    path, _ledger = _run_twice(spark, sf_dir)
+    rows = table(spark, sf_dir, "orders").withColumn("clsYymm", F.lit(""))
+    return SRC.read_parquet(spark, path, rows.schema)
+
+
+def extract_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ledger row per case with its row count, months without rows included."""
+    _path, ledger = _run_twice(spark, sf_dir)
+    return LG.read_ledger(spark, ledger).select(
+        "batch_ts", "host", "sql_file", "params", "sql_hash", "status", "rows"
+    )
+
+
 def extract_case_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "orders")
     return X.extract_cases(spark, TOTALS_OF_MONTH, {"clsYymm": ALL_MONTHS})
@@ -247,6 +284,9 @@ QUERIES = {
         extract_year_ends,
         extract_by_month_key,
         extract_two_params,
+        extract_csv_by_case,
+        extract_pending,
+        extract_ledger,
         extract_case_totals,
         cases_product,
         cases_zip,
@@ -265,6 +305,7 @@ _MONTH = "strftime(o_orderdate, '%Y%m')"
 _MONTHS = """(select strftime(m, '%Y%m') as cls_yymm
   from (select unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-01', interval 1 month)) as m))"""
 _ORDERS_WITH_MONTH = f"select *, {_MONTH} as clsYymm from orders"
+_TEMPLATE = ORDERS_OF_MONTH.strip().replace("'", "''")
 _MONTH_NO = "extract(month from o_orderdate)"
 
 ORACLE = {
@@ -281,6 +322,14 @@ ORACLE = {
     "extract_by_month_key": """select l_orderkey, l_linenumber, l_shipdate,
         strftime(l_shipdate, '%Y%m') as clsYymm from lineitem""",
     "extract_two_params": f"select *, {_MONTH} as clsYymm, o_orderstatus as status from orders",
+    "extract_csv_by_case": _ORDERS_WITH_MONTH,
+    "extract_pending": _ORDERS_WITH_MONTH,
+    "extract_ledger": f"""select case when m.cls_yymm <= '199712' then '20240101_000000'
+        else '20240102_000000' end as batch_ts, 'local' as host, '01_orders' as sql_file,
+        'clsYymm=' || m.cls_yymm as params, md5('{_TEMPLATE}') as sql_hash, 'OK' as status,
+        count(o_orderkey) as rows
+        from {_MONTHS} m left join orders o on strftime(o.o_orderdate, '%Y%m') = m.cls_yymm
+        group by m.cls_yymm""",
     "extract_case_totals": f"""select m.cls_yymm as clsYymm, count(o_orderkey) as order_count,
         cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as order_value
         from {_MONTHS} m left join orders o on strftime(o.o_orderdate, '%Y%m') = m.cls_yymm

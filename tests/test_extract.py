@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parampipe.operators import cases as C
 from parampipe.operators import extract as X
 from parampipe.operators import ledger as LG
+from parampipe.operators import runs as R
 from parampipe.operators import sinks as S
 from parampipe.plans.extract_queries import LINES_OF_MONTH, ORDERS_OF_MONTH
 from parampipe.plans.inputs import register, table
@@ -118,11 +119,39 @@ def test_latest_batch_prunes_partitions(spark, tmp_path):
         "cast(null as string) as output_file", "repeat('e', 900) as error_message",
     )
     path = str(tmp_path / "ledger")
-    LG.append_rows(rows, path)
-    LG.append_rows(rows, path)  # a batch written again replaces itself
+    LG.append_rows(rows.where("id < 7"), path)
+    LG.append_rows(rows.where("id >= 7"), path)
     ledger = LG.read_ledger(spark, path)
     assert ledger.count() == 20 and len(ledger.first().error_message) == 500
     newest = LG.latest_batch(ledger)
     assert {r.batch_ts for r in newest.collect()} == {"20240103"}
     assert "PartitionFilters: [isnotnull(batch_ts" in plan_text(newest)
     assert LG.read_ledger(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_failed_runs_are_taken_up_again(spark, sf_dir, tmp_path):
+    spark.table("orders").limit(0).createOrReplaceTempView("late_orders")
+    text = "select * from late_orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m and o_custkey / :z >= 0"
+    paths = [str(tmp_path / "out"), str(tmp_path / "ledger")]
+
+    def run(batch, **params):
+        rows = R.run_extract(spark, "t.sql", text, params, *paths, batch).collect()
+        return {(r.params, r.status, r.rows) for r in rows}
+
+    assert run("1", m="199503", z="1") == {("m=199503, z=1", "OK", 0)}
+    register(spark, sf_dir, "orders")
+    spark.table("orders").createOrReplaceTempView("late_orders")
+    failed = R.run_extract(spark, "t.sql", text, {"m": "199503", "z": "0"}, *paths, "2").collect()
+    assert [r.status for r in failed] == ["FAIL"] and "ZERO" in failed[0].error_message
+    again = R.run_extract(spark, "t.sql", text, {"m": "199503", "z": "0,1,2"}, *paths, "3").collect()
+    assert {r.params for r in again} == {"m=199503, z=0", "m=199503, z=2"}
+    assert {r.status for r in again} == {"FAIL"}
+    month = spark.table("orders").where("date_format(o_orderdate, 'yyyyMM') = '199503'").count()
+    assert run("4", m="199503", z="2,3") == {(f"m=199503, z={z}", "OK", month) for z in (2, 3)}
+    assert run("5", m="199503", z="2,3") == set()
+
+
+def test_repeated_values_make_one_case(spark):
+    rows = X.extract_cases(spark, ORDERS_OF_MONTH, {"clsYymm": "199503,199503"})
+    month = spark.table("orders").where("date_format(o_orderdate, 'yyyyMM') = '199503'").count()
+    assert rows.count() == month
