@@ -95,6 +95,8 @@ def extract_cases(
             return result
     except AnalysisException:
         pass
+    finally:
+        spark.catalog.dropTempView(view)
     return _union_of_cases(spark, template, cases, names)
 
 

@@ -24,16 +24,29 @@ def part_tables(spark: SparkSession, schema: str, base: str) -> list[str]:
 def create_union_view(spark: SparkSession, schema: str, base: str) -> list[str]:
     """Create or replace the view `base` over its part tables; returns the parts.
 
-    Without parts the view is left as it is.
+    Columns go by position and take the type that holds all parts. Without
+    parts the view is left as it is.
     """
     parts = part_tables(spark, schema, base)
     if parts:
-        selects = [f"SELECT * FROM `{schema}`.`{p}`" for p in parts]
+        schemas = [spark.table(f"`{schema}`.`{p}`").schema for p in parts]
+        target = common_schema(schemas)
+        selects = [
+            f"SELECT {_cast_list(own, target)} FROM `{schema}`.`{p}`"
+            for p, own in zip(parts, schemas)
+        ]
         body = "\nUNION ALL\n".join(selects)
         spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{base}` AS\n{body}")
     return parts
 
 
+def _cast_list(own: T.StructType, target: T.StructType) -> str:
+    return ", ".join(
+        f"CAST(`{o.name}` AS {t.dataType.simpleString()}) AS `{t.name}`"
+        for o, t in zip(own.fields, target.fields)
+    )
+
+
 def union_parts(parts: list[DataFrame]) -> DataFrame:
     """UNION ALL by position; differing types are widened, in the last resort to text."""
     target = common_schema([p.schema for p in parts])

@@ -249,12 +249,16 @@ def append_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A view over one table per order status; a similar name is no part."""
+    """A view over one table per order status, one of them with a text as customer
+    key; a similar name is no part."""
     orders = table(spark, sf_dir, "orders")
     schema, path = _fresh_schema(spark)
     for status in ("F", "O", "P"):
+        key = F.col("o_custkey")
         L.append_by_name(
-            orders.where(F.col("o_orderstatus") == status),
+            orders.where(F.col("o_orderstatus") == status).withColumn(
+                "o_custkey", F.concat(F.lit("C"), key) if status == "O" else key
+            ),
             f"{schema}.orders__{status}",
             f"{path}/orders__{status}",
         )
@@ -347,7 +351,8 @@ ORACLE = {
     "stream_incremental_load": "select * from orders",
     "create_or_append": "select * from orders",
     "append_by_name": "select * from orders",
-    "union_parts": "select * from orders",
+    "union_parts": """select * replace (case when o_orderstatus = 'O' then 'C' else '' end
+        || o_custkey as o_custkey) from orders""",
     "union_parts_widened": """select case when o_orderstatus = 'O' then 'K' else '' end
         || o_orderkey as o_orderkey, o_custkey, o_orderstatus from orders""",
 }

@@ -72,7 +72,7 @@ def step_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "orders")
     _first, ledger = ST.run_steps(spark, COUNT_STEPS, "20240101_000000")
     done = ST.done_steps(LG.success_keys(ledger))
-    again = dict(COUNT_STEPS, **{"30_report.sql": COUNT_STEPS["30_report.sql"] + " LIMIT 1"})
+    again = dict(COUNT_STEPS, **{"30_report.sql": COUNT_STEPS["30_report.sql"] + " ORDER BY n"})
     result, ledger = ST.run_steps(spark, again, "20240102_000000", done)
     return ledger.select("sql_file", "status", "sql_hash", result.scalar().alias("orders"))
 
@@ -169,7 +169,7 @@ ORACLE = {
     "step_ledger": f"""select s.sql_file, s.status, md5(s.sql) as sql_hash,
         (select count(*) from orders) as orders from (values
           ('20_broken.sql', 'FAIL', '{COUNT_STEPS["20_broken.sql"]}'),
-          ('30_report.sql', 'OK', '{COUNT_STEPS["30_report.sql"]} LIMIT 1')) s(sql_file, status, sql)""",
+          ('30_report.sql', 'OK', '{COUNT_STEPS["30_report.sql"]} ORDER BY n')) s(sql_file, status, sql)""",
     "step_semi_anti": f"""select c_mktsegment, count(*) as customers,
         sum(case when c_custkey in {_HAS} then 1 else 0 end) as with_orders from customer group by 1""",
     "step_rollup": """select c_mktsegment, o_orderstatus, count(*) as order_count

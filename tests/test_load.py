@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from parampipe.functions.hashing import fingerprint
 from parampipe.operators import filters as FL
 from parampipe.operators import load as L
+from parampipe.operators import profile as P
 from parampipe.operators import sinks as S
 from parampipe.operators import views as V
 from parampipe.operators.numbering import with_ordinal
@@ -254,3 +255,25 @@ def test_jdbc_options():
     assert J.write_options(vertica, "t")["batchsize"] == "1000"
     with pytest.raises(ValueError):
         J.connection_options("other", {})
+
+
+def test_a_hot_case_is_split_over_files(spark, tmp_path):
+    """A third of the rows in one case does not become one task's work."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id", "md5(cast(id as string)) as t", "case when id % 3 = 0 then 'hot' else concat('c', id % 40) end as k"
+    )
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        S.replace_slices(rows, str(tmp_path / "hot"), ["k"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((tmp_path / "hot" / "k=hot").glob("*.parquet"))) > 3
+    back = spark.read.parquet(str(tmp_path / "hot"))
+    assert back.count() == 200_000 and back.select("id").distinct().count() == 200_000
+
+
+def test_megabytes(spark):
+    sizes = spark.createDataFrame([(1048576,), (5243,), (0,)], "n long")
+    assert [r[0] for r in sizes.select(P.megabytes(F.col("n"))).collect()] == [1.0, 0.01, 0.0]
