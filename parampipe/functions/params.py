@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: months are written as yyyyMM text.
 MONTH_FORMAT = "yyyyMM"
+MONTH_PATTERN = r"[0-9]{4}(0[1-9]|1[0-2])"
 
 # Range option letter -> the month number divides evenly by it.
 PERIOD_MONTHS = {"Q": 3, "H": 6, "Y": 12}

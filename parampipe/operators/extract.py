@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parampipe.functions import templates as T
-from parampipe.functions.params import month_key, month_start
+from parampipe.functions.params import MONTH_PATTERN, month_key, month_start
 from parampipe.operators.cases import case_table
 from parampipe.session import is_small, plan_text
 
@@ -37,6 +38,10 @@ def extract(spark: SparkSession, template: str, params: dict[str, str]) -> DataF
     if missing:
         raise ValueError(f"missing params {missing}")
 
+    for _column, name in T.month_tests(statement):
+        if not re.fullmatch(MONTH_PATTERN, str(params[name])):
+            raise ValueError(f"not a yyyyMM month: {params[name]}")
+
     def month_test(column: str, name: str) -> str:
         first = f"to_date(:{name}, 'yyyyMM')"
         return f"({column} >= {first} AND {column} < add_months({first}, 1))"

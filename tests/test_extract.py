@@ -41,8 +41,8 @@ def test_all_cases_in_one_scan(spark):
 def test_bad_and_missing_params(spark):
     with pytest.raises(ValueError, match="missing params"):
         X.extract(spark, ORDERS_OF_MONTH, {})
-    with pytest.raises(Exception):
-        X.extract(spark, ORDERS_OF_MONTH, {"clsYymm": "199513"}).collect()
+    with pytest.raises(ValueError, match="not a yyyyMM month"):
+        X.extract(spark, ORDERS_OF_MONTH, {"clsYymm": "199513"})
     with pytest.raises(Exception):
         X.extract_cases(spark, ORDERS_OF_MONTH, {"clsYymm": "199513"}).collect()
 
