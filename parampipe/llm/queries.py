@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parampipe.llm import bpe, simhash
+from parampipe.llm import bpe, html_text, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_on_sample(docs, table(spark, sf_dir, "labels"))
+    return quality.judge_documents(docs, model)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -27,7 +37,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op8_html": op8_html,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {}
