@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parampipe.llm import bpe, chat, html_text, kdtree, mixing, quality, simhash, topk
+from parampipe.llm import bpe, chat, html_text, kdtree, lines, mixing, quality, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("spans", chat.spans_text(F.col("spans")))
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = lines.dedup_lines(docs)
+    return rows.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents"), SOURCE_SHARES)
     return rows.select("doc_id", "source", "block", "slot", "position")
@@ -62,6 +68,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_lines": op2_lines,
     "op3_topk": op3_topk,
     "op4_kdtree": op4_kdtree,
     "op5_pfair": op5_pfair,
