@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parampipe.llm import bpe, chat, html_text, kdtree, lines, mixing, quality, simhash, topk
+from parampipe.llm import bpe, chat, html_text, kdtree, lines, mixing, ngram, quality, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_kdtree": op4_kdtree,
     "op5_pfair": op5_pfair,
     "op6_simhash": op6_simhash,
+    "op7_ngram": op7_ngram,
     "op8_html": op8_html,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
