@@ -15,6 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rank file of the vocabulary.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 # Target weights of the mix, in shares of a cycle of blocks.
 SOURCE_SHARES = {f"src{i}": 1 + i % 4 for i in range(20)}
 
@@ -66,7 +68,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
