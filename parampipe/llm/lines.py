@@ -50,8 +50,8 @@ def shingle_hashes(line: Column, size: int = SHINGLE) -> Column:
 
 
 def different_lines(docs: DataFrame) -> DataFrame:
-    """Columns (lid, line, owner, pos): every different line that is not blank, and
-    where it is first: in the document of the least doc_id, at its first position."""
+    """Columns (lid, line, mark, owner, pos): every different line that is not blank, its
+    hash, and where it is first: in the document of the least doc_id, at its first position."""
     exploded = docs.select(F.col(ID).cast("long").alias(ID), F.posexplode(F.split(whole_text(), "\n")).alias("pos", "line"))
     place = F.col(ID).cast("decimal(20,0)") * F.lit(_POSITIONS).cast("decimal(11,0)") + F.col("pos").cast("decimal(10,0)")
     firsts = exploded.where(~blank("line")).groupBy("line").agg(F.min(place).alias("place"), F.min("pos").alias("any"))
@@ -59,6 +59,7 @@ def different_lines(docs: DataFrame) -> DataFrame:
     return firsts.select(
         F.monotonically_increasing_id().alias("lid"),
         "line",
+        F.xxhash64("line").alias("mark"),
         F.expr(f"cast((place - pmod(place, cast({_POSITIONS} as decimal(11,0)))) / {_POSITIONS} as bigint)").alias("owner"),
         F.coalesce(pos.cast("int"), F.col("any")).alias("pos"),
     )
@@ -131,16 +132,16 @@ def _judge(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Columns (owner, kept): the positions of the lines that stay, per doc_id."""
+    """Columns (owner, kept): (position, hash) of the lines that stay, per doc_id."""
     lines = materialize(different_lines(docs), "lines")
     roots = connected_components(similar_lines(lines, similarity), "lines")
-    places = lines.select("lid", "owner", "pos")
+    places = lines.select("lid", "owner", "pos", "mark")
     place = F.struct(F.col("owner").isNull().alias("n"), "owner", "pos", "lid")
     members = roots.join(places, F.col("node") == F.col("lid"))
     stays = members.groupBy("root").agg(F.min(place).alias("p")).select(F.col("p.lid").alias("stay"))
     gone = roots.join(stays, F.col("node") == F.col("stay"), "left_anti").select(F.col("node").alias("lid"))
     left = places.join(gone, "lid", "left_anti")
-    return left.groupBy("owner").agg(F.array_sort(F.collect_list("pos")).alias("kept"))
+    return left.groupBy("owner").agg(F.collect_list(F.struct("pos", "mark")).alias("kept"))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -160,7 +161,13 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     joined = rows.join(kept, rows[ID].cast("long").eqNullSafe(kept[owner]), "left")
     every = F.sequence(F.lit(0), F.size(parts) - 1)
     blanks = F.filter(every, lambda i: blank(F.element_at(F.col(parts), i + 1)))
-    mine = F.coalesce(F.filter(stay, lambda i: i < F.size(parts)), F.array().cast("array<int>"))
+
+    def own(k: Column) -> Column:
+        # rows that share a doc_id can differ in what they have at a position
+        line = F.get(F.col(parts), k["pos"])
+        return line.isNotNull() & (F.xxhash64(line) == k["mark"])
+
+    mine = F.coalesce(F.transform(F.filter(stay, own), lambda k: k["pos"]), F.array().cast("array<int>"))
     order = F.array_sort(F.array_union(mine, blanks))
     text = F.array_join(F.transform(order, lambda i: F.element_at(F.col(parts), i + 1)), "\n")
     n_lines, n_kept = fresh(docs, "n_lines"), fresh(docs, "n_kept")
