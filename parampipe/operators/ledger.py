@@ -27,8 +27,7 @@ LEDGER_SCHEMA = T.StructType(
 )
 ATTEMPT_KEY = ["host", "sql_file", "params", "sql_hash"]
 
-# Longest error text kept, rows of the slow report, timestamp text.
-ERROR_CHARS = 500
+# Rows of the slow report, timestamp text.
 SLOW_ROWS = 10
 BATCH_FORMAT = "yyyyMMdd_HHmmss"
 
@@ -38,7 +37,7 @@ def batch_text(ts: Column) -> Column:
 
 
 def format_rows(df: DataFrame) -> DataFrame:
-    """Ledger columns in order: seconds rounded half-even, error text cut."""
+    """Ledger columns in order: seconds rounded half-even, the whole error text."""
     return df.select(
         "batch_ts",
         "host",
@@ -49,7 +48,7 @@ def format_rows(df: DataFrame) -> DataFrame:
         F.col("rows").cast("bigint").alias("rows"),
         F.bround("elapsed_sec", 2).alias("elapsed_sec"),
         F.coalesce("output_file", F.lit("")).alias("output_file"),
-        F.substring(F.coalesce("error_message", F.lit("")), 1, ERROR_CHARS).alias("error_message"),
+        F.coalesce("error_message", F.lit("")).alias("error_message"),
     )
 
 
@@ -96,7 +95,6 @@ def _last_attempts(ledger: DataFrame, names: list[str], order: str) -> DataFrame
     return ledger.groupBy(*names).agg(
         F.max(order).alias("_last"),
         F.max(F.when(F.col("status") == OK, F.col(order))).alias("_last_ok"),
-        F.count_if(F.col("status") == FAIL).alias("failures"),
     )
 
 
@@ -119,13 +117,25 @@ def pending(cases: DataFrame, done: DataFrame, keys: list[str] | None = None) ->
 
 
 def retryable(
-    ledger: DataFrame, keys: list[str] | None = None, order: str = "batch_ts", rounds: int = 3
+    ledger: DataFrame, keys: list[str] | None = None, order: str = "batch_ts", rounds: int | None = 3
 ) -> DataFrame:
-    """Keys whose last attempt failed and that failed fewer than `rounds` times."""
+    """Keys that failed since their last success, fewer than `rounds` times (None: any).
+
+    Failures before a success do not count. Attempts at the time of a success
+    belong to it. Failures are counted by time first, so what meets the last
+    successes in the join is one row per key and time.
+    """
     names = keys or ATTEMPT_KEY
-    open_keys = F.col("_last_ok").isNull() | (F.col("_last_ok") < F.col("_last"))
-    state = _last_attempts(ledger, names, order).where(open_keys & (F.col("failures") < rounds))
-    return state.select(*names, "failures")
+    succeeded = ledger.where(F.col("status") == OK).groupBy(*names).agg(F.max(order).alias("_last_ok"))
+    failed = ledger.where(F.col("status") == FAIL).groupBy(*names, F.col(order).alias("_at")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    same = [F.col(f"f.{k}").eqNullSafe(F.col(f"s.{k}")) for k in names]
+    since = failed.alias("f").join(succeeded.alias("s"), same, "left").where(
+        F.col("_last_ok").isNull() | (F.col("_at") > F.col("_last_ok"))
+    )
+    counted = since.groupBy(*[F.col(f"f.{k}").alias(k) for k in names]).agg(F.sum("_n").alias("failures"))
+    return counted if rounds is None else counted.where(F.col("failures") < rounds)
 
 
 def failed_templates(ledger: DataFrame) -> DataFrame:
@@ -144,8 +154,11 @@ def slowest(ledger: DataFrame, tie_break: list[Column], n: int = SLOW_ROWS) -> D
 
 
 def schema_of_host(hosts: DataFrame, mapping: DataFrame, host: str, schema: str) -> DataFrame:
-    """Configured schema of every host, the host itself where none is configured."""
-    known = mapping.select(F.col(host).alias("_host"), F.col(schema).alias("_schema"))
+    """Configured schema of every host, the host itself where none is configured.
+
+    A host that is configured more than once has the least of its schemas.
+    """
+    known = mapping.groupBy(F.col(host).alias("_host")).agg(F.min(schema).alias("_schema"))
     joined = hosts.join(known, hosts[host] == F.col("_host"), "left")
     return joined.withColumn("target_schema", F.coalesce("_schema", F.col(host))).drop(
         "_host", "_schema"

@@ -34,25 +34,37 @@ def rows_per_case(df: DataFrame, keys: list[str], amount: str | None = None) ->
     return df.groupBy(*keys).agg(*measures)
 
 
-def sheet_name(column: Column) -> Column:
-    return F.substring(F.upper(column), 1, SHEET_NAME_CHARS)
-
-
 def group_summary(
     df: DataFrame, folder: str, sheet: str, limit: int = SHEET_ROWS
 ) -> DataFrame:
-    """Rows per sheet, numbered within its folder; sheets above `limit` are left out.
+    """Rows per sheet, numbered within its folder, with its full and its short name.
 
-    The window runs over one record per sheet, not over the data.
+    Every sheet is listed; `over_limit` marks those with more rows than a sheet can
+    hold. Short names differ within a folder: one that is cut, shared or ends like
+    a number of ours carries the sheet's number. The windows run over one record
+    per sheet, not over the data.
     """
     counts = df.groupBy(folder, sheet).agg(F.count(F.lit(1)).alias("rows"))
-    kept = counts.where(F.col("rows") <= limit)
-    number = F.row_number().over(W.partitionBy(folder).orderBy(sheet))
-    return kept.select(
+    full = F.upper(F.col(sheet))
+    named = counts.select(
+        folder,
+        F.row_number().over(W.partitionBy(folder).orderBy(sheet)).alias("no"),
+        full.alias("full_name"),
+        F.substring(full, 1, SHEET_NAME_CHARS).alias("short"),
+        "rows",
+    )
+    shared = F.count(F.lit(1)).over(W.partitionBy(folder, "short")) > 1
+    ending = F.concat(F.lit("~"), F.col("no"))
+    cut = F.col("short") != F.col("full_name")
+    marked = F.concat(F.left("short", SHEET_NAME_CHARS - F.length(ending)), ending)
+    clash = cut | shared | F.col("short").rlike(r"~\d+$")
+    return named.select(
         folder,
-        number.alias("no"),
-        sheet_name(F.col(sheet)).alias("sheet_name"),
+        "no",
+        F.when(clash, marked).otherwise(F.col("short")).alias("sheet_name"),
+        "full_name",
         "rows",
+        (F.col("rows") > limit).alias("over_limit"),
     )
 
 

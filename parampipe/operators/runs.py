@@ -71,7 +71,7 @@ def run_extract(
             keys = T.StructType([rows.schema[n] for n in names])
             counted = rows_by_case(todo, read_or_empty(spark, path, keys), names)
     except Exception as error:
-        status, message = LG.FAIL, str(error)[: LG.ERROR_CHARS]
+        status, message = LG.FAIL, str(error)
     entries = counted.select(
         F.lit(batch_ts).alias("batch_ts"),
         *LG.ATTEMPT_KEY,

@@ -14,9 +14,12 @@ from parampipe.sources.files import CSV_FORMAT, infer_types
 # Fixed value: the row count of one extract chunk.
 CSV_ROWS_PER_FILE = 1_000_000
 
-# Column-name keywords deciding the type; text wins over numbers.
-STRING_KEYWORDS = ("ID", "CODE", "KEY", "NO", "SEQ")
-NUMERIC_KEYWORDS = ("AMT", "AMOUNT", "RATE", "CNT", "COUNT", "QTY")
+# Types and the keywords that name them; the first type that fits wins.
+TYPE_RULES = (
+    ("string", ("ID", "CODE", "KEY", "NO", "SEQ")),
+    ("numeric", ("AMT", "AMOUNT", "RATE", "CNT", "COUNT", "QTY")),
+)
+TypeRules = tuple[tuple[str, tuple[str, ...]], ...]
 
 # Fixed value: versions kept when an output is written again.
 KEEP_VERSIONS = 10
@@ -167,41 +170,43 @@ def keep_latest(
 # --- typed conversion --------------------------------------------------------
 
 
-def column_rule(name: str) -> str | None:
-    """``string``, ``numeric`` or None (inferred), decided by keywords in the name."""
-    upper = name.upper()
-    if any(word in upper for word in STRING_KEYWORDS):
-        return "string"
-    return "numeric" if any(word in upper for word in NUMERIC_KEYWORDS) else None
+def types_by_name(names: list[str], rules: TypeRules = TYPE_RULES) -> dict[str, str]:
+    """Type of every name that holds a keyword of `rules`, in any case."""
+    found: dict[str, str] = {}
+    for kind, keywords in reversed(rules):
+        found.update({n: kind for n in names for k in keywords if k.lower() in n.lower()})
+    return found
 
 
-def typed_columns(raw: DataFrame, inferred: T.StructType) -> list[Column]:
+def finite_number(value: Column) -> Column:
+    """The text as a double; NULL for what is no number."""
+    number = value.try_cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def typed_columns(
+    raw: DataFrame, inferred: T.StructType, rules: TypeRules = TYPE_RULES
+) -> list[Column]:
     """Typed columns of an all-text frame; text that is no number becomes NULL."""
-    columns = []
-    for field in inferred.fields:
-        value = F.col(f"`{field.name}`")
-        rule = column_rule(field.name)
-        if rule == "string":
-            out = value.cast("string")
-        elif rule == "numeric":
-            number = value.try_cast("double")
-            out = F.when(~F.isnan(number), number)
-        else:
-            out = value.cast(field.dataType)
-        columns.append(out.alias(field.name))
-    return columns
-
-
-def convert_typed(raw: DataFrame, path: str) -> None:
+    by_name = types_by_name(inferred.fieldNames(), rules)
+    convert = {"string": lambda c: c.cast("string"), "numeric": finite_number}
+    return [
+        convert.get(by_name.get(f.name), lambda c, f=f: c.cast(f.dataType))(F.col(f"`{f.name}`")).alias(f.name)
+        for f in inferred.fields
+    ]
+
+
+def convert_typed(raw: DataFrame, path: str, rules: TypeRules = TYPE_RULES) -> None:
     """Write an all-text frame as typed Parquet.
 
-    Types come from the column names; only columns without a rule are looked
-    at to find theirs. Dates stay text.
+    Types come from the column names where `rules` name one; only the other
+    columns are looked at to find theirs. Dates stay text.
     """
-    open_columns = [c for c in raw.columns if column_rule(c) is None]
+    by_name = types_by_name(raw.columns, rules)
+    open_columns = [c for c in raw.columns if c not in by_name]
     found = infer_types(raw.select(*open_columns), dates=False) if open_columns else T.StructType()
     types = {f.name: f.dataType for f in found.fields}
     schema = T.StructType(
         [T.StructField(c, types.get(c, T.StringType())) for c in raw.columns]
     )
-    raw.select(*typed_columns(raw, schema)).write.parquet(path)
+    raw.select(*typed_columns(raw, schema, rules)).write.parquet(path)

@@ -62,15 +62,16 @@ def union_parts(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, cast)
 
 
-# Fixed order: each type holds all values of the ones before it.
-_WIDER: list[T.DataType] = [
-    T.ByteType(),
-    T.ShortType(),
-    T.IntegerType(),
-    T.LongType(),
-    T.FloatType(),
-    T.DoubleType(),
-]
+# Whole-number types by width, and the digits each needs as a decimal.
+_WHOLE: dict[T.DataType, int] = {
+    T.ByteType(): 3,
+    T.ShortType(): 5,
+    T.IntegerType(): 10,
+    T.LongType(): 19,
+}
+# Fixed value: digits a decimal can have.
+MOST_DIGITS = 38
+_BINARY_FRACTIONS = (T.FloatType(), T.DoubleType())
 
 
 def common_schema(schemas: list[T.StructType]) -> T.StructType:
@@ -87,10 +88,16 @@ def common_schema(schemas: list[T.StructType]) -> T.StructType:
 def _common(types: list[T.DataType]) -> T.DataType:
     if all(t == types[0] for t in types):
         return types[0]
-    if all(t in _WIDER for t in types):
-        widest = max(types, key=_WIDER.index)
-        # a float holds not every int or long
-        return T.DoubleType() if widest == T.FloatType() else widest
+    if all(t in _WHOLE for t in types):
+        return max(types, key=_WHOLE.__getitem__)
+    if all(isinstance(t, T.NumericType) for t in types):
+        if any(t in _BINARY_FRACTIONS for t in types):
+            # as in SQL: beside a binary fraction a number is approximate
+            return T.DoubleType()
+        decimals = [t if isinstance(t, T.DecimalType) else T.DecimalType(_WHOLE[t], 0) for t in types]
+        scale = max(d.scale for d in decimals)
+        digits = max(d.precision - d.scale for d in decimals) + scale
+        return T.DecimalType(digits, scale) if digits <= MOST_DIGITS else T.StringType()
     days = (T.DateType(), T.TimestampNTZType())
     if all(t in days for t in types):
         return T.TimestampNTZType()

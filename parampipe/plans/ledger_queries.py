@@ -66,6 +66,18 @@ def retry_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LG.retryable(ledger, KEYS, order="ts")
 
 
+def retry_after_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of a user fail, but every fourth of five succeeds: what failed before
+    a success does not use up the rounds."""
+    events = table(spark, sf_dir, "events")
+    attempts = events.select(
+        F.concat(F.lit("t"), F.col("user_id"), F.lit(".sql")).alias("sql_file"),
+        F.when(F.col("event_id") % 5 == 3, LG.OK).otherwise(LG.FAIL).alias("status"),
+        F.col("event_id").alias("attempt"),
+    )
+    return LG.retryable(attempts, ["sql_file"], order="attempt")
+
+
 def failed_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Templates among the failed names of the newest batch."""
     ledger = _ledger(spark, sf_dir)
@@ -118,8 +130,12 @@ def rows_per_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_row_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents per language (folder) and source (sheet); sheets above 30 rows dropped."""
-    return P.group_summary(table(spark, sf_dir, "documents"), "lang", "source", 30)
+    """Documents per language (folder) and source (sheet), with sheet names that differ
+    only behind the short name; sheets above 30 rows are marked."""
+    documents = table(spark, sf_dir, "documents").withColumn(
+        "sheet", F.concat(F.lit("documents that came from the source "), F.col("source"))
+    )
+    return P.group_summary(documents, "lang", "sheet", 30)
 
 
 def column_width_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +190,7 @@ QUERIES = {
         latest_run_success,
         pending_cases,
         retry_rounds,
+        retry_after_success,
         failed_templates,
         slow_top10,
         host_schema_default,
@@ -192,18 +209,25 @@ _LEDGER = """(select strftime(ts, '%Y%m%d') as batch_ts, 'host_' || substr(md5(c
   md5(event_type) as sql_hash, case when event_type = 'error' then 'FAIL' else 'OK' end as status,
   cast(json_extract_string(props, '$.k') as bigint) as rows, value as elapsed_sec,
   case when event_type = 'error' then '' else 'out/' || json_extract_string(props, '$.k') end as output_file,
-  case when event_type = 'error' then substr(repeat(props, 60), 1, 500) else '' end as error_message,
+  case when event_type = 'error' then repeat(props, 60) else '' end as error_message,
   ts, event_id from events)"""
-_LAST = f"""(select host, sql_file, params, case when max(ts) = max(ts) filter (status = 'OK') then 'OK' else 'FAIL' end as status,
-  count(*) filter (status = 'FAIL') as failures from {_LEDGER} group by all)"""
+_LAST = f"""(select host, sql_file, params, case when max(ts) = max(ts) filter (status = 'OK') then 'OK' else 'FAIL' end as status
+  from {_LEDGER} group by all)"""
 
 ORACLE = {
     "run_ledger": f"select * exclude (ts, event_id) replace (round(elapsed_sec, 2) as elapsed_sec) from {_LEDGER}",
     "latest_run_success": f"""select distinct host, sql_file, params, sql_hash from {_LEDGER}
         where status = 'OK' and batch_ts = (select max(strftime(ts, '%Y%m%d')) from events)""",
     "pending_cases": f"select host, sql_file, params from {_LAST} where status = 'FAIL'",
-    "retry_rounds": f"""select host, sql_file, params, failures from {_LAST}
-        where status = 'FAIL' and failures < 3""",
+    "retry_rounds": f"""select host, sql_file, params, count(*) as failures from {_LEDGER} f
+        where status = 'FAIL' and not exists (select 1 from {_LEDGER} s where s.status = 'OK'
+          and s.host = f.host and s.sql_file = f.sql_file and s.params = f.params and s.ts >= f.ts)
+        group by all having count(*) < 3""",
+    "retry_after_success": """select 't' || user_id || '.sql' as sql_file, count(*) as failures
+        from (select user_id, event_id, max(event_id) filter (event_id % 5 = 3)
+          over (partition by user_id) as last_ok from events)
+        where event_id % 5 <> 3 and event_id > coalesce(last_ok, -1)
+        group by user_id having count(*) < 3""",
     "failed_templates": f"""select distinct sql_file, host as folder from {_LEDGER} where sql_file in
         (select sql_file from {_LEDGER} where status = 'FAIL'
           and batch_ts = (select max(strftime(ts, '%Y%m%d')) from events))""",
@@ -221,9 +245,12 @@ ORACLE = {
     "rows_per_case": """select strftime(o_orderdate, '%Y%m') as cls_yymm, count(*) as row_count,
         cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as sum_o_totalprice
         from orders group by 1""",
-    "group_row_summary": """select lang, row_number() over (partition by lang order by source) as no,
-        upper(source) as sheet_name, n as rows from
-        (select lang, source, count(*) as n from documents group by lang, source having count(*) <= 30)""",
+    "group_row_summary": """select lang, no,
+          left(full_name, 31 - length('~' || no)) || '~' || no as sheet_name, full_name, rows,
+          rows > 30 as over_limit
+        from (select lang, row_number() over (partition by lang order by source) as no,
+          'DOCUMENTS THAT CAME FROM THE SOURCE ' || upper(source) as full_name, count(*) as rows
+          from documents group by lang, source)""",
     "column_width_profile": """with l as (select max(length(cast(c_custkey as varchar))) a,
           max(length(c_name)) b, max(length(cast(c_nationkey as varchar))) c,
           max(length(c_mktsegment)) d, max(length(case when c_nationkey = 0 then c_name end)) e,

@@ -268,16 +268,34 @@ def union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_parts_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with a number, a smaller number and a text as key make a text key."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    """Parts with a number, a smaller number and a text as key make a text key;
+    decimals of different digits and whole numbers make a decimal for all."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        F.col("o_totalprice").cast("decimal(10,2)").alias("price"),
+        F.col("o_custkey").alias("amount"),
+    )
     parts = [
         orders.where("o_orderstatus = 'F'"),
-        orders.where("o_orderstatus = 'O'").withColumn(
-            "o_orderkey", F.concat(F.lit("K"), F.col("o_orderkey"))
-        ),
-        orders.where("o_orderstatus = 'P'").withColumn("o_custkey", F.col("o_custkey").cast("int")),
+        orders.where("o_orderstatus = 'O'")
+        .withColumn("o_orderkey", F.concat(F.lit("K"), F.col("o_orderkey")))
+        .withColumn("price", F.col("price").cast("decimal(14,4)")),
+        orders.where("o_orderstatus = 'P'")
+        .withColumn("o_custkey", F.col("o_custkey").cast("int"))
+        .withColumn("amount", F.col("price").cast("decimal(12,2)")),
     ]
-    return V.union_parts(parts)
+    united = V.union_parts(parts)
+    kinds = F.lit(", ".join(united.schema[c].dataType.simpleString() for c in ("price", "amount")))
+    return united.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        F.col("price").cast("double").alias("price"),
+        F.col("amount").cast("double").alias("amount"),
+        kinds.alias("kinds"),
+    )
 
 
 QUERIES = {
@@ -354,5 +372,7 @@ ORACLE = {
     "union_parts": """select * replace (case when o_orderstatus = 'O' then 'C' else '' end
         || o_custkey as o_custkey) from orders""",
     "union_parts_widened": """select case when o_orderstatus = 'O' then 'K' else '' end
-        || o_orderkey as o_orderkey, o_custkey, o_orderstatus from orders""",
+        || o_orderkey as o_orderkey, o_custkey, o_orderstatus, o_totalprice as price,
+        case when o_orderstatus = 'P' then o_totalprice else o_custkey end as amount,
+        'decimal(14,4), decimal(21,2)' as kinds from orders""",
 }

@@ -7,7 +7,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parampipe.operators.ledger import ERROR_CHARS, FAIL, LEDGER_SCHEMA, OK
+from parampipe.operators.ledger import FAIL, LEDGER_SCHEMA, OK
 
 # Host and parameter text of a step in the ledger.
 STEP_HOST = "spark"
@@ -60,7 +60,7 @@ def run_steps(
         except Exception as error:
             if fail_fast:
                 raise
-            status, message = FAIL, str(error)[:ERROR_CHARS]
+            status, message = FAIL, str(error)
         elapsed = round(time.monotonic() - started, 2)
         rows.append(
             (batch_ts, STEP_HOST, name, STEP_PARAMS, digest, status, None, elapsed, "", message)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from parampipe.plans import registry
 from compare import compare, duck
 from conftest import SF_DIR
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")

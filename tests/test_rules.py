@@ -175,13 +175,12 @@ def test_preview(spark):
 
 
 def test_column_rules():
-    rules = {c: S.column_rule(c) for c in ["o_orderkey", "user_id", "l_discount", "PAID_AMT", "l_tax"]}
+    rules = S.types_by_name(["o_orderkey", "user_id", "l_discount", "PAID_AMT", "l_tax"])
     assert rules == {
         "o_orderkey": "string",
         "user_id": "string",
         "l_discount": "numeric",
         "PAID_AMT": "string",
-        "l_tax": None,
     }
 
 
