@@ -1,7 +1,7 @@
 """Byte-level BPE: encoding and decoding by DuckDB queries inside each partition.
 
 Words are encoded once per batch of new words: a recursive query keeps one row
-per token and position, joins neighbours with the merge table, and contracts
+per token and position, with its neighbour, joins both with the merge table, and contracts
 each word's leftmost pair of least rank until no pair is in the table. Decoding
 joins the ids with the vocabulary and puts the bytes together by ordered
 aggregation. Spark partitions the documents; a task holds one batch of texts,
@@ -11,8 +11,11 @@ the words it has met (`KNOWN_WORDS` at most) and the two tables.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import itertools
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import duckdb
@@ -27,37 +30,39 @@ from parampipe.llm.common import ship_with_tasks, whole_text
 
 ship_with_tasks(__name__)
 
-# Words a task remembers before it starts anew; what it forgets is encoded again.
-KNOWN_WORDS = 400_000
+# Words a worker remembers from the latest texts, and as many from those before, also
+# over the tasks it runs; what it forgets is encoded again.
+KNOWN_WORDS = 300_000
 # Characters of text, words of a query, and ids of a query held at once.
 TEXT_BLOCK = 4_000_000
-WORD_BLOCK = 100_000
+WORD_BLOCK = 30_000
 ID_BLOCK = 1_000_000
 # A word of more bytes goes through a heap: the same contractions, in n log n steps
 # where the recursive query would take n steps of n rows.
 LONG_WORD = 256
 
 ENCODE_WORDS = """
-WITH RECURSIVE state(w, p, t, open) AS (
-    SELECT w, p, t, true FROM word_bytes
+WITH RECURSIVE state(w, p, t, next_p, next_t, open) AS (
+    SELECT w, p, t, CASE WHEN next_t IS NOT NULL THEN p + 1 END::INTEGER, next_t, true FROM word_bytes
     UNION ALL
-    (WITH pairs AS (
-        SELECT w, p, t, lead(t) OVER word AS next_t, lead(p) OVER word AS next_p
-        FROM state WHERE open WINDOW word AS (PARTITION BY w ORDER BY p)
-    ), ranked AS (
-        SELECT w, p, t, next_p, rank FROM pairs
-        LEFT JOIN merges ON pair = ((t::BIGINT << 32) | next_t)
+    (WITH ranked AS MATERIALIZED (
+        SELECT w, p, t, next_p, next_t, rank FROM state
+        LEFT JOIN merges ON pair = ((t::BIGINT << 32) | next_t) WHERE open
     ), least AS (
         SELECT w, min((rank::BIGINT << 32) | p) AS key FROM ranked GROUP BY w
-    ), hit AS (
-        SELECT ranked.w, ranked.p, ranked.next_p, ranked.rank
-        FROM ranked JOIN least ON ranked.w = least.w AND ranked.p = (key & 4294967295)
-        WHERE key IS NOT NULL
+    ), hit AS MATERIALIZED (
+        SELECT least.w, (key & 4294967295)::INTEGER AS left_p, (key >> 32)::INTEGER AS merged,
+            a.next_p AS gone, b.next_p AS after_p, b.next_t AS after_t
+        FROM least
+        LEFT JOIN ranked AS a ON a.w = least.w AND a.p = (key & 4294967295)
+        LEFT JOIN ranked AS b ON b.w = least.w AND b.p = a.next_p
     )
-    SELECT ranked.w, ranked.p, CASE WHEN ranked.p = hit.p THEN hit.rank ELSE ranked.t END,
-        hit.w IS NOT NULL
-    FROM ranked LEFT JOIN hit ON ranked.w = hit.w
-    WHERE hit.w IS NULL OR ranked.p <> hit.next_p)
+    SELECT r.w, r.p,
+        CASE WHEN r.p = left_p THEN merged ELSE r.t END,
+        CASE WHEN r.p = left_p THEN after_p ELSE r.next_p END,
+        CASE WHEN r.p = left_p THEN after_t WHEN r.next_p = left_p THEN merged ELSE r.next_t END,
+        left_p IS NOT NULL
+    FROM ranked AS r JOIN hit ON r.w = hit.w WHERE left_p IS NULL OR r.p <> gone)
 )
 SELECT w, t FROM state WHERE NOT open ORDER BY w, p
 """
@@ -94,6 +99,7 @@ class Vocabulary:
                 "digits": [token.hex() for token in ranks],
             }
         )
+        self.name = hashlib.md5(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
     @classmethod
@@ -153,7 +159,10 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.con = vocabulary, vocabulary.connect()
         self.split = regex.compile(vocabulary.pattern)
+        # one store for the worker process: functions sent with tasks have no module to keep it in
+        self.store = sys.modules.setdefault("_byte_bpe_words", types.ModuleType("_byte_bpe_words"))
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = getattr(self.store, vocabulary.name, {})
 
     def learn(self, words: Iterable[str]) -> None:
         ranks, rest = self.vocabulary.ranks, []
@@ -169,14 +178,19 @@ class Encoder:
             block = rest[first : first + WORD_BLOCK]
             lengths = np.array([len(raw) for _, raw in block])
             whole = np.frombuffer(b"".join(raw for _, raw in block), dtype=np.uint8)
-            starts = np.cumsum(lengths) - lengths
+            stops = np.cumsum(lengths)
+            starts = stops - lengths
+            ids = self.vocabulary.of_byte[whole]
+            last = np.zeros(len(whole), dtype=bool)
+            last[stops - 1] = True
             self.con.register(
                 "word_bytes",
                 pa.table(
                     {
                         "w": np.repeat(np.arange(len(block), dtype=np.int32), lengths),
                         "p": (np.arange(len(whole)) - np.repeat(starts, lengths)).astype(np.int32),
-                        "t": self.vocabulary.of_byte[whole],
+                        "t": ids,
+                        "next_t": pa.array(np.append(ids[1:], ids[:1]), mask=last),
                     }
                 ),
             )
@@ -219,9 +233,14 @@ class Encoder:
         return out
 
     def ready(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        self.learn(words.difference(self.known))
+        """Put all of `words` into `known`."""
+        missing = words.difference(self.known)
+        if len(self.known) + len(missing) > KNOWN_WORDS:
+            self.before, self.known, missing = self.known, {}, words
+        again = missing.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        self.learn(missing.difference(again))
+        setattr(self.store, self.vocabulary.name, self.known)
 
 
 def by_length(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
