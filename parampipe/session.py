@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import io
 import os
 import shutil
@@ -80,7 +81,31 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    copy = spark.read.schema(df.schema).parquet(path)
+    copy.scratch_path = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete what `materialize` wrote; for copies that nothing will read again."""
+    for copy in copies:
+        delete_path(copy.sparkSession, copy.scratch_path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the cleaner remove the shuffle files of finished jobs.
+
+    It does so when their plans are collected as garbage, which a driver with memory
+    to spare puts off; a long chain of written tables would keep all of them.
+    """
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder through Spark's file systems; nothing if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def plan_text(df: DataFrame, mode: str = "simple") -> str:
