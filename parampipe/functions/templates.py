@@ -141,20 +141,108 @@ def lines_around(lines: Column, hits: Column, context: int = PREVIEW_CONTEXT) ->
 # --- one template, on its way into spark.sql -------------------------------
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*"
-_QUOTED_MARKER = re.compile(rf"'\s*(?:(?<!:):({_NAME})|\{{#({_NAME})\}}|\$\{{({_NAME})\}})\s*'")
 _BRACED = re.compile(rf"\{{#({_NAME})\}}|\$\{{({_NAME})\}}")
-_MARKER = re.compile(PLACEHOLDER_PATTERNS[0])
-_MONTH_TEST = re.compile(
-    rf"TO_CHAR\s*\(\s*([\w.\"`]+)\s*,\s*'YYYYMM'\s*\)\s*=\s*:({_NAME})\b", re.IGNORECASE
+_MARKER = re.compile(rf"(?<!:):({_NAME})\b")
+_WHOLE = re.compile(rf"\s*(?::({_NAME})|\{{#({_NAME})\}}|\$\{{({_NAME})\}})\s*")
+# what a statement is made of besides code: comments (but no hints), literals, quoted names
+_PIECE = re.compile(
+    r"(?P<comment>--[^\n]*|/\*(?!\+).*?(?:\*/|\Z))"
+    r"|(?P<literal>'(?:[^'\\]|\\.|'')*(?:'|\Z))"
+    r"|(?P<quoted>\"(?:[^\"]|\"\")*(?:\"|\Z)|`(?:[^`]|``)*(?:`|\Z))",
+    re.DOTALL,
 )
-_MONTH_TEXT = re.compile(r"TO_CHAR\s*\(\s*([\w.\"`]+)\s*,\s*'YYYYMM'\s*\)", re.IGNORECASE)
+_PLACEHOLDER = re.compile(rf"\{{#({_NAME})\}}|\$\{{({_NAME})\}}|(?<!:):({_NAME})\b")
+_ANY = rf"(?:\{{#{_NAME}\}}|\$\{{{_NAME}\}}|(?<!:):{_NAME}\b)"
+# a table name with a parameter in it
+_TABLE = re.compile(
+    rf"\b(FROM|JOIN|INTO|UPDATE|TABLE)(\s+)((?:[\w.]|{_ANY})*{_ANY}(?:[\w.]|{_ANY})*)", re.IGNORECASE
+)
+_MONTH_OF = r"TO_CHAR\s*\(\s*([\w.\"`]+)\s*,\s*'YYYYMM'\s*\)"
+_MONTH_TEST = re.compile(rf"{_MONTH_OF}\s*(>=|<=|=|<|>)\s*:({_NAME})\b", re.IGNORECASE)
+_MONTH_BETWEEN = re.compile(
+    rf"{_MONTH_OF}\s+BETWEEN\s+:({_NAME})\s+AND\s+:({_NAME})\b", re.IGNORECASE
+)
+_MONTH_TEXT = re.compile(_MONTH_OF, re.IGNORECASE)
+_EQUAL_BEFORE = re.compile(r"(?<![<>!=])=\s*$")
+_EQUAL_JOINED = re.compile(r"(?<![<>!=])=\s*concat\([^()]*\)")
+_EQUAL_AFTER = re.compile(r"\s*=(?!=)")
+_NOT_CONJUNCTIVE = re.compile(r"\b(OR|NOT|CASE|UNION|EXCEPT|INTERSECT|MINUS)\b", re.IGNORECASE)
+_MANY_TO_ONE = re.compile(
+    r"\b(GROUP\s+BY|DISTINCT|HAVING|LIMIT|OVER|COUNT|SUM|AVG|MIN|MAX|UNION|EXCEPT|INTERSECT|JOIN)\b",
+    re.IGNORECASE,
+)
+
+
+def pieces(statement: str) -> list[tuple[str, str]]:
+    """The statement as (kind, text): ``code``, ``literal``, ``quoted`` or ``comment``."""
+    found, at = [], 0
+    for match in _PIECE.finditer(statement):
+        if match.start() > at:
+            found.append(("code", statement[at : match.start()]))
+        found.append((match.lastgroup, match.group()))
+        at = match.end()
+    if at < len(statement):
+        found.append(("code", statement[at:]))
+    return found
+
+
+def in_code(statement: str, change) -> str:
+    """The statement with `change` applied to its code only."""
+    return "".join(change(text) if kind == "code" else text for kind, text in pieces(statement))
+
+
+def code_of(statement: str) -> str:
+    return " ".join(text for kind, text in pieces(statement) if kind == "code")
 
 
 def to_markers(template: str) -> str:
-    """One spelling for all placeholders: unquoted ``:name``; no statement end."""
-    text = template.strip().rstrip(WHITESPACE + ";/")
-    text = _QUOTED_MARKER.sub(lambda m: ":" + next(g for g in m.groups() if g), text)
-    return _BRACED.sub(lambda m: ":" + (m.group(1) or m.group(2)), text)
+    """One spelling for all placeholders: ``:name`` outside of literals; no comments, no
+    statement end.
+
+    A literal that is nothing but a placeholder stands for its value; braced placeholders
+    within a longer literal are put together with its text; any other ``:x`` in a literal
+    is text. A table name with placeholders becomes an identifier made of its parts.
+    """
+    found = [(kind, " " if kind == "comment" else text) for kind, text in pieces(template)]
+    while found:
+        kind, text = found.pop()
+        if kind in ("code", "comment"):
+            text = text.rstrip(WHITESPACE + ";/")
+        if text:
+            found.append((kind, text))
+            break
+    out = []
+    for kind, text in found:
+        if kind == "literal":
+            text = _literal(text)
+        elif kind == "code":
+            text = _TABLE.sub(lambda m: m.group(1) + m.group(2) + _identifier(m.group(3)), text)
+            text = _BRACED.sub(lambda m: ":" + (m.group(1) or m.group(2)), text)
+        out.append(text)
+    return "".join(out).strip(WHITESPACE)
+
+
+def _literal(text: str) -> str:
+    inner = text[1:-1]
+    if whole := _WHOLE.fullmatch(inner):
+        return ":" + next(g for g in whole.groups() if g)
+    return _joined(inner, _BRACED) if _BRACED.search(inner) else text
+
+
+def _identifier(name: str) -> str:
+    return f"IDENTIFIER({_joined(name, _PLACEHOLDER)})"
+
+
+def _joined(text: str, placeholder: re.Pattern) -> str:
+    parts, at = [], 0
+    for match in placeholder.finditer(text):
+        if match.start() > at:
+            parts.append(f"'{text[at : match.start()]}'")
+        parts.append(":" + next(g for g in match.groups() if g))
+        at = match.end()
+    if at < len(text):
+        parts.append(f"'{text[at:]}'")
+    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
 
 
 def template_hash(template: str) -> str:
@@ -164,18 +252,37 @@ def template_hash(template: str) -> str:
 
 
 def marker_names(statement: str) -> list[str]:
-    return sorted(set(_MARKER.findall(statement)))
+    return sorted(set(_MARKER.findall(code_of(statement))))
+
+
+def table_names(statement: str) -> list[str]:
+    """Parameters that are part of a table name."""
+    found = re.findall(r"IDENTIFIER\(([^()]*(?:\([^()]*\))?)\)", statement)
+    return sorted({n for text in found for n in _MARKER.findall(code_of(text))})
+
+
+def month_names(statement: str) -> list[str]:
+    """Parameters that are compared with a month text."""
+    tests = {m.group(3) for m in _MONTH_TEST.finditer(statement)}
+    return sorted(tests.union(*[m.groups()[1:] for m in _MONTH_BETWEEN.finditer(statement)], ()))
 
 
 def month_tests(statement: str) -> list[tuple[str, str]]:
-    """(column, parameter) of every month test in the statement."""
-    return _MONTH_TEST.findall(statement)
+    """(column, parameter) of every month equality in the statement."""
+    return [(c, n) for c, sign, n in _MONTH_TEST.findall(statement) if sign == "="]
+
+
+def month_ranges(statement: str) -> list[tuple[str, str, str]]:
+    """(column, first, last) of every month BETWEEN in the statement."""
+    return _MONTH_BETWEEN.findall(statement)
 
 
-def rewrite_months(statement: str, test) -> str:
-    """Replace month tests by `test(column, name)` and other month texts by the
-    equivalent integer arithmetic (``YYYYMM`` is no pattern Spark accepts)."""
-    text = _MONTH_TEST.sub(lambda m: test(m.group(1), m.group(2)), statement)
+def rewrite_months(statement: str, test, between) -> str:
+    """Replace month tests by `test(column, sign, name)`, month ranges by
+    `between(column, first, last)`, and other month texts by the equivalent integer
+    arithmetic (``YYYYMM`` is no pattern Spark accepts)."""
+    text = _MONTH_BETWEEN.sub(lambda m: between(*m.groups()), statement)
+    text = _MONTH_TEST.sub(lambda m: test(*m.groups()), text)
     return _MONTH_TEXT.sub(lambda m: month_key_sql(m.group(1)), text)
 
 
@@ -184,4 +291,24 @@ def month_key_sql(column: str) -> str:
 
 
 def replace_marker(statement: str, name: str, replacement: str) -> str:
-    return re.sub(rf"(?<!:):{name}\b", lambda _m: replacement, statement)
+    return in_code(statement, lambda t: re.sub(rf"(?<!:):{name}\b", lambda _m: replacement, t))
+
+
+def unequal_markers(statement: str) -> list[str]:
+    """Parameters used otherwise than in an equality or a month range that every row
+    must meet: the statement cannot be joined with a table of their values."""
+    text = _EQUAL_JOINED.sub(" ", _MONTH_BETWEEN.sub(" ", statement))
+    loose = set()
+    for match in _MARKER.finditer(text):
+        before, after = text[: match.start()], text[match.end() :]
+        if not (_EQUAL_BEFORE.search(before) or _EQUAL_AFTER.match(after)):
+            loose.add(match.group(1))
+    names = marker_names(statement)
+    if _NOT_CONJUNCTIVE.search(code_of(statement)):
+        return names
+    return sorted(loose.intersection(names))
+
+
+def keeps_rows_apart(statement: str) -> bool:
+    """Every result row comes from one row of one table, so cases may be cut into months."""
+    return not _MANY_TO_ONE.search(code_of(statement))

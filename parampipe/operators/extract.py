@@ -6,17 +6,19 @@ import datetime as dt
 import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parampipe.functions import templates as T
 from parampipe.functions.params import MONTH_PATTERN, month_key, month_start
 from parampipe.operators.cases import case_table
-from parampipe.session import is_small, plan_text
+from parampipe.session import is_small, materialize
 
 # A case list up to this many rows is sent to every executor.
 BROADCAST_CASES = 100_000
+# More cases, or more tables named by them, are refused: an error, never a cut.
+MOST_CASES = 10_000_000
+MOST_TABLES = 1_000
 
 
 def month_predicate(column: str, first: str, last: str | None = None) -> Column:
@@ -29,8 +31,8 @@ def month_predicate(column: str, first: str, last: str | None = None) -> Column:
 def extract(spark: SparkSession, template: str, params: dict[str, str]) -> DataFrame:
     """Run a template for one case; values travel as typed parameter markers.
 
-    ``TO_CHAR(c, 'YYYYMM') = :m`` becomes a range on `c`, so the scan skips row
-    groups outside the month.
+    Comparisons of ``TO_CHAR(c, 'YYYYMM')`` with a parameter become ranges on `c`, so
+    the scan skips row groups outside the months.
     """
     statement = T.to_markers(template)
     names = T.marker_names(statement)
@@ -38,17 +40,28 @@ def extract(spark: SparkSession, template: str, params: dict[str, str]) -> DataF
     if missing:
         raise ValueError(f"missing params {missing}")
 
-    for _column, name in T.month_tests(statement):
+    for name in T.month_names(statement):
         if not re.fullmatch(MONTH_PATTERN, str(params[name])):
             raise ValueError(f"not a yyyyMM month: {params[name]}")
 
-    def month_test(column: str, name: str) -> str:
-        first = f"to_date(:{name}, 'yyyyMM')"
-        return f"({column} >= {first} AND {column} < add_months({first}, 1))"
+    text = T.rewrite_months(statement, _one_month_test, _one_month_range)
+    return spark.sql(text, args={n: str(params[n]) for n in names})
+
+
+def _first_day(name: str, months: int = 0) -> str:
+    return f"add_months(to_date(:{name}, 'yyyyMM'), {months})"
+
+
+def _one_month_test(column: str, sign: str, name: str) -> str:
+    if sign == "=":
+        return _one_month_range(column, name, name)
+    # months up to one end before the first day of the next
+    edge = _first_day(name, 1 if sign in ("<=", ">") else 0)
+    return f"({column} {'<' if sign in ('<', '<=') else '>='} {edge})"
 
-    return spark.sql(
-        T.rewrite_months(statement, month_test), args={n: str(params[n]) for n in names}
-    )
+
+def _one_month_range(column: str, first: str, last: str) -> str:
+    return f"({column} >= {_first_day(first)} AND {column} < {_first_day(last, 1)})"
 
 
 def extract_cases(
@@ -57,52 +70,113 @@ def extract_cases(
     params: dict[str, str],
     mode: str = "product",
     cases: DataFrame | None = None,
+    scan_per_case: bool = False,
 ) -> DataFrame:
     """Run a template for all cases at once; the case columns come first.
 
     The template becomes a lateral subquery of the case table. Spark turns the
-    equality with a parameter into an equi-join with the small case table, and
-    one range over all wanted months reaches the scan, so the fact table is
-    read once however many cases there are. Templates that cannot be joined
-    that way are run per case and united.
+    equality with a parameter into an equi-join with the case table, and one range
+    over all wanted months reaches the scan, so the fact table is read once however
+    many cases there are. A month range (BETWEEN) meets the months of its case.
+
+    A template that cannot be joined that way raises, unless `scan_per_case` asks
+    for one scan for every case. Parameters in table names make one statement for
+    each table.
     """
     statement = T.to_markers(template)
     names = T.marker_names(statement)
     if not names:
-        return spark.sql(T.rewrite_months(statement, lambda c, n: ""))
+        return spark.sql(T.rewrite_months(statement, lambda *_: "", lambda *_: ""))
     if cases is None:
         cases = case_table(spark, params, names, mode)
     cases = cases.select(*names).distinct()
-
-    bounds = _month_bounds(cases, sorted({n for _c, n in T.month_tests(statement)}))
+    if not is_small(cases, BROADCAST_CASES):
+        if not is_small(cases, MOST_CASES):
+            raise ValueError(f"more than {MOST_CASES} cases")
+        # written, so that the planner knows its size and broadcasts it only if it may
+        cases = materialize(cases, "cases")
+
+    if T.table_names(statement):
+        return _union_over_tables(spark, statement, cases, names, scan_per_case)
+    loose = T.unequal_markers(statement)
+    ranges = T.month_ranges(statement)
+    if ranges and not T.keeps_rows_apart(statement):
+        loose = sorted({*loose, *[n for _c, a, b in ranges for n in (a, b)]})
+    if scan_per_case and loose:
+        return _union_of_cases(spark, template, cases, names)
+    if loose:
+        raise ValueError(f"no equality for params {loose}: ask for scan_per_case")
+    return _joined_cases(spark, statement, cases, names)
+
+
+def _joined_cases(
+    spark: SparkSession, statement: str, cases: DataFrame, names: list[str]
+) -> DataFrame:
+    bounds = _month_bounds(cases, T.month_names(statement))
+    parts = {}
+    for i, (_column, first, last) in enumerate(T.month_ranges(statement)):
+        parts[first, last] = f"month_of_range_{i}"
+        cases = cases.withColumn(parts[first, last], F.explode(_months(first, last)))
     view = f"case_table_{uuid.uuid4().hex}"
     cases.createOrReplaceTempView(view)
 
-    def month_test(column: str, name: str) -> str:
-        if name not in bounds:
+    def within(column: str, first: str, last: str, case_month: str) -> str:
+        if first not in bounds or last not in bounds:
             return "false"
-        lo, hi = bounds[name]
+        lo, hi = bounds[first][0], bounds[last][1]
         return (
-            f"({T.month_key_sql(column)} = case_row.{name}"
+            f"({T.month_key_sql(column)} = case_row.{case_month}"
             f" AND {column} >= DATE'{lo}' AND {column} < DATE'{hi}')"
         )
 
-    body = T.rewrite_months(statement, month_test)
+    body = T.rewrite_months(
+        statement,
+        lambda column, _sign, name: within(column, name, name, name),
+        lambda column, first, last: within(column, first, last, parts[first, last]),
+    )
     for name in names:
         body = T.replace_marker(body, name, f"case_row.{name}")
     columns = ", ".join(f"case_row.{n}" for n in names)
     try:
-        result = spark.sql(
+        return spark.sql(
             f"SELECT {columns}, extract_row.* FROM {view} case_row, LATERAL ({body}) extract_row"
         )
-        plan = plan_text(result)
-        if "NestedLoop" not in plan and "CartesianProduct" not in plan:
-            return result
-    except AnalysisException:
-        pass
     finally:
         spark.catalog.dropTempView(view)
-    return _union_of_cases(spark, template, cases, names)
+
+
+def _months(first: str, last: str) -> Column:
+    """Month texts from one case column to another; none for a reversed range."""
+    start, stop = month_start(F.col(first)), month_start(F.col(last))
+    days = F.sequence(start, stop, F.expr("interval 1 month"))
+    texts = F.transform(days, lambda d: F.date_format(d, "yyyyMM"))
+    return F.when(start <= stop, texts).otherwise(F.array().cast("array<string>"))
+
+
+def _union_over_tables(
+    spark: SparkSession, statement: str, cases: DataFrame, names: list[str], scan_per_case: bool
+) -> DataFrame:
+    """One statement for every table the cases name."""
+    inside = T.table_names(statement)
+    wanted = cases.select(*inside).distinct()
+    if not is_small(wanted, MOST_TABLES):
+        raise ValueError(f"more than {MOST_TABLES} tables")
+    others = [n for n in names if n not in inside]
+    united = None
+    for row in wanted.collect():
+        text, mine = statement, F.lit(True)
+        for name in inside:
+            value = row[name].replace("'", "''")
+            text = T.replace_marker(text, name, f"'{value}'")
+            mine = mine & (F.col(name) == row[name])
+        own = cases.where(mine).select(*others).distinct() if others else None
+        one = extract_cases(spark, text, {}, cases=own, scan_per_case=scan_per_case)
+        one = one.select(*[(F.lit(row[n]) if n in inside else F.col(n)).alias(n) for n in names],
+                         *[c for c in one.columns if c not in others])
+        united = one if united is None else united.unionByName(one)
+    if united is None:
+        raise ValueError("the case table is empty")
+    return united
 
 
 def _month_bounds(cases: DataFrame, names: list[str]) -> dict[str, tuple[dt.date, dt.date]]:
@@ -119,7 +193,7 @@ def _month_bounds(cases: DataFrame, names: list[str]) -> dict[str, tuple[dt.date
 def _union_of_cases(
     spark: SparkSession, template: str, cases: DataFrame, names: list[str]
 ) -> DataFrame:
-    # one scan per case: only for templates without an equi-join form
+    # one scan per case, as the caller asked
     united = None
     for row in cases.toLocalIterator():
         values = row.asDict()

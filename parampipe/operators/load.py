@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,9 @@ HISTORY_SCHEMA = T.StructType(
         T.StructField("file_suffix", T.StringType()),
         T.StructField("file_hash", T.StringType()),
         T.StructField("row_count", T.LongType()),
+        T.StructField("csv_file", T.StringType()),
+        T.StructField("file_size", T.LongType()),
+        T.StructField("mtime", T.TimestampType()),
         T.StructField("loaded_at", T.TimestampNTZType()),
     ]
 )
@@ -36,6 +40,10 @@ BROADCAST_TEMPLATES = 100_000
 
 BY_SUFFIX, BY_HASH = "suffix", "hash"
 
+# Partition column of a table loaded by hash: job and content, so that neither another
+# part of the same name nor another job replaces a slice.
+LOAD_KEY = "load_key"
+
 
 @dataclass(frozen=True)
 class Target:
@@ -57,7 +65,9 @@ class Target:
         return read_or_empty(self.spark, self.history_path, HISTORY_SCHEMA)
 
     def table(self, table: str, schema: T.StructType) -> DataFrame:
-        return read_or_empty(self.spark, self.table_path(table), schema)
+        """Rows of a table in the columns of `schema`."""
+        rows = read_or_empty(self.spark, self.table_path(table), schema)
+        return rows.select(*schema.fieldNames())
 
 
 def manifest(source: DataFrame, part: str, identity: str = BY_SUFFIX) -> DataFrame:
@@ -112,6 +122,46 @@ def rows_of_parts(source: DataFrame, part: str, parts: DataFrame) -> DataFrame |
     return source.where(wanted | F.col(part).isNull() if None in values else wanted)
 
 
+def part_files(source: DataFrame, part: str) -> DataFrame:
+    """Columns (part, csv_file, file_size, mtime): what the listing says of every part.
+
+    No column of the data is read. Rows that come from no file have nulls.
+    """
+    name = F.col(part).alias("part")
+    try:
+        files = source.select(
+            name, "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+        ).distinct()
+    except AnalysisException:
+        kinds = zip(("csv_file", "file_size", "mtime"), ("string", "bigint", "timestamp"))
+        return source.select(name).distinct().select(
+            "part", *[F.lit(None).cast(kind).alias(column) for column, kind in kinds]
+        )
+    return files.groupBy("part").agg(
+        F.min("file_path").alias("csv_file"),
+        F.sum("file_size").alias("file_size"),
+        F.max("file_modification_time").alias("mtime"),
+    )
+
+
+def _open_names(files: DataFrame, target: Target, table: str, identity: str) -> DataFrame:
+    """Names of the parts that may have to be loaded, as ``file_suffix``.
+
+    By suffix: names the history does not hold. By hash: all but the parts whose files
+    are those of an earlier load, by name, size and time.
+    """
+    history = target.history().where(F.col("table_name") == table)
+    if identity == BY_HASH:
+        known = history.where(F.col("job_name") == target.job)
+        same = known["file_suffix"].eqNullSafe(files["part"])
+        for column in ("csv_file", "file_size", "mtime"):
+            same = same & (known[column] == files[column])
+    else:
+        known = history.where(F.col("schema_name") == target.schema)
+        same = known["file_suffix"].eqNullSafe(files["part"])
+    return files.join(known, same, "left_anti").select(F.col("part").alias("file_suffix"))
+
+
 def load_parts(
     target: Target,
     table: str,
@@ -123,28 +173,46 @@ def load_parts(
 ) -> DataFrame:
     """Load the parts of `source` not loaded before; returns their history rows.
 
-    A part is a partition of the table: loading it again overwrites it. The
-    history is written after the data, so a job that dies in between repeats
+    A part is a partition of the table: loading it again overwrites it. By hash the
+    partition is the job and the content, so a table is loaded either by suffix or by
+    hash. The history is written after the data, so a job that dies in between repeats
     the same parts and doubles nothing. ``retry`` loads every part of `source`
     again, whatever the history says.
     """
+    files = part_files(source, part)
+    if not retry:
+        # names and files first: what is known is neither counted nor read
+        open_names = _open_names(files, target, table, identity)
+        found = rows_of_parts(source, part, open_names)
+        source = source.limit(0) if found is None else found
     parts = manifest(source, part, identity)
     if not retry:
         parts = pending_parts(parts, target.history(), target, table, identity)
-    entries = parts.select(
+    same_part = parts["file_suffix"].eqNullSafe(files["part"])
+    entries = parts.join(files, same_part, "left").select(
         F.lit(target.job).alias("job_name"),
         F.lit(target.schema).alias("schema_name"),
         F.lit(table).alias("table_name"),
         "file_suffix",
         "file_hash",
         F.col(ROW_COUNT),
+        "csv_file",
+        "file_size",
+        "mtime",
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
     )
     # fixed once: the data and the history must speak of the same parts
     entries = materialize(entries, "pending")
     rows = rows_of_parts(source, part, entries)
     if rows is not None:
-        replace_slices(rows, target.table_path(table), [part], gather)
+        key = part
+        if identity == BY_HASH:
+            key = LOAD_KEY
+            slices = entries.select(
+                F.col("file_suffix").alias("_part"), F.concat_ws("-", "job_name", "file_hash").alias(key)
+            )
+            rows = rows.join(slices, rows[part].eqNullSafe(slices["_part"])).drop("_part")
+        replace_slices(rows, target.table_path(table), [key], gather)
         entries.write.mode("append").parquet(target.history_path)
     return entries
 

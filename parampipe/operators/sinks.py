@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parampipe.session import delete_path
 from parampipe.sources.files import CSV_FORMAT, infer_types
 
 # A gzip file is read by one task, so no CSV file gets more rows than this.
@@ -111,18 +112,39 @@ def replace_slices(df: DataFrame, path: str, keys: list[str], gather: bool = Tru
     )
 
 
-def existing_cases(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Distinct case keys written below `path`, in any format.
-
-    Taken from the file listing; no file is opened.
-    """
+def case_files(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Files below `path`, in any format, with the case their folders name: columns
+    `_file` and `keys`. Taken from the file listing; no file is opened."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ", ".join(f"`{k}` string" for k in keys))
-    return files.select(*[_folder_value(F.col("path"), k).alias(k) for k in keys]).distinct()
+        return spark.createDataFrame([], ", ".join(["`_file` string", *[f"`{k}` string" for k in keys]]))
+    return files.select(
+        F.col("path").alias("_file"), *[_folder_value(F.col("path"), k).alias(k) for k in keys]
+    )
+
+
+def existing_cases(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Distinct case keys written below `path`, in any format."""
+    return case_files(spark, path, keys).select(*keys).distinct()
+
+
+def drop_stale_slices(
+    spark: SparkSession, path: str, before: DataFrame, cases: DataFrame, keys: list[str]
+) -> None:
+    """Remove the partitions of `cases` that a rerun left as they were: it had no rows for them.
+
+    `before` are the `case_files` from ahead of the rerun; what it wrote has new names.
+    One folder name per stale partition comes to the driver.
+    """
+    now = case_files(spark, path, keys)
+    same = [now[k].eqNullSafe(cases[k].cast("string")) for k in keys]
+    left = now.join(cases, same, "left_semi").join(before.select("_file"), "_file", "left_semi")
+    folders = left.select(F.regexp_replace("_file", r"/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.toLocalIterator():
+        delete_path(spark, row["folder"])
 
 
 def _folder_value(path: Column, key: str) -> Column:

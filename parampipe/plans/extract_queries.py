@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parampipe.functions import naming as N
 from parampipe.functions.params import month_key, override_params, parse_overrides
@@ -44,8 +45,28 @@ TOTALS_OF_MONTH = """select count(*) as order_count,
 from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :clsYymm
 """
 
-# A range that holds every month of the tables.
-ALL_MONTHS = "199501:200112"
+LITERAL_PARAMS = """select o_orderkey, o_orderpriority, o_orderdate, '12:MI:SS' as clock
+from orders -- the day is :not_a_param
+where o_orderpriority like '${p}%' and o_orderdate >= to_date('${m}01', 'yyyyMMdd')
+  and date_format(o_orderdate, 'HH:mm:ss') <> '${m}' /* done */;
+/* end */"""
+
+LITERAL_EQUALITY = """select o_orderkey, o_orderpriority from orders
+where o_orderpriority = '${no}-${word}' and o_orderstatus <> 'HH24:MI:SS' /* done */"""
+
+MONTH_BETWEEN = "select o_orderkey, o_orderdate from orders where TO_CHAR(o_orderdate, 'YYYYMM') between :a and :b"
+
+FROM_TABLE = """select count(*) as row_count from ${kind}_rows
+where TO_CHAR(day, 'YYYYMM') = :m"""
+
+
+def all_months(spark: SparkSession, sf_dir: str, name: str = "orders", column: str = "o_orderdate") -> str:
+    """The range from the first to the last month a table holds."""
+    ends = table(spark, sf_dir, name).agg(
+        F.date_format(F.min(column), "yyyyMM").alias("a"), F.date_format(F.max(column), "yyyyMM").alias("b")
+    ).first()
+    return f"{ends['a']}:{ends['b']}"
+
 
 
 def extract_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +94,7 @@ def _orders_by_case(spark: SparkSession, sf_dir: str, spec: str) -> DataFrame:
 
 
 def extract_month_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_by_case(spark, sf_dir, ALL_MONTHS)
+    return _orders_by_case(spark, sf_dir, all_months(spark, sf_dir))
 
 
 def extract_month_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,27 +102,27 @@ def extract_month_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_quarter_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_by_case(spark, sf_dir, ALL_MONTHS + "~Q")
+    return _orders_by_case(spark, sf_dir, all_months(spark, sf_dir) + "~Q")
 
 
 def extract_half_year_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_by_case(spark, sf_dir, ALL_MONTHS + "~H")
+    return _orders_by_case(spark, sf_dir, all_months(spark, sf_dir) + "~H")
 
 
 def extract_year_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_by_case(spark, sf_dir, ALL_MONTHS + "~Y")
+    return _orders_by_case(spark, sf_dir, all_months(spark, sf_dir) + "~Y")
 
 
 def extract_by_month_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same extract through the DataFrame operator."""
-    months = C.case_table(spark, {"clsYymm": ALL_MONTHS})
+    months = C.case_table(spark, {"clsYymm": all_months(spark, sf_dir, "lineitem", "l_shipdate")})
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return X.extract_by_month(lines, "l_shipdate", months, "clsYymm")
 
 
 def extract_two_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "orders")
-    params = {"clsYymm": ALL_MONTHS, "status": "F,O,P", "unused": "1,2"}
+    params = {"clsYymm": all_months(spark, sf_dir), "status": "F,O,P", "unused": "1,2"}
     rows = X.extract_cases(spark, ORDERS_OF_MONTH_AND_STATUS, params)
     path = new_scratch(spark, "extract")
     S.write_extract(rows, path, ["clsYymm", "status"])
@@ -111,7 +132,7 @@ def extract_two_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_csv_by_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract as gzip CSV, one folder per case."""
     register(spark, sf_dir, "orders")
-    rows = X.extract_cases(spark, ORDERS_OF_MONTH, {"clsYymm": ALL_MONTHS})
+    rows = X.extract_cases(spark, ORDERS_OF_MONTH, {"clsYymm": all_months(spark, sf_dir)})
     path = new_scratch(spark, "extract")
     S.write_extract(rows, path, ["clsYymm"], fmt="csv")
     return SRC.read_csv(spark, path, rows.schema)
@@ -121,7 +142,7 @@ def _run_twice(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """A run over some months, then one over all of them; returns output and ledger."""
     register(spark, sf_dir, "orders")
     path, ledger = new_scratch(spark, "extract"), new_scratch(spark, "ledger")
-    for batch, months in (("20240101_000000", "199501:199712"), ("20240102_000000", ALL_MONTHS)):
+    for batch, months in (("20240101_000000", "199501:199712"), ("20240102_000000", all_months(spark, sf_dir))):
         R.run_extract(
             spark, "01_orders", ORDERS_OF_MONTH, {"clsYymm": months}, path, ledger, batch, "local"
         )
@@ -145,11 +166,86 @@ def extract_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_case_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "orders")
-    return X.extract_cases(spark, TOTALS_OF_MONTH, {"clsYymm": ALL_MONTHS})
+    return X.extract_cases(spark, TOTALS_OF_MONTH, {"clsYymm": all_months(spark, sf_dir)})
+
+
+def _run_orders(spark, text, params, paths, batch, **options) -> DataFrame:
+    return R.run_extract(spark, "01_orders", text, params, *paths, batch, "local", **options)
+
+
+def extract_bad_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month fails while it runs: it alone is FAIL, the others are written."""
+    register(spark, sf_dir, "orders")
+    paths = new_scratch(spark, "extract"), new_scratch(spark, "ledger")
+    text = """select o_orderkey, 1 div (199503 - cast(date_format(o_orderdate, 'yyyyMM') as int)) as x
+        from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m"""
+    found = _run_orders(spark, text, {"m": "199501:199506"}, paths, "20240101_000000")
+    fields = "o_orderkey bigint, x bigint, m string"
+    written = SRC.read_parquet(spark, paths[0], T.StructType.fromDDL(fields))
+    output = written.groupBy(F.concat(F.lit("m="), "m").alias("params")).agg(
+        F.count(F.lit(1)).alias("written")
+    )
+    return found.join(output, "params", "left").select(
+        "params", "status", "rows", F.col("error_message").contains("DIVIDE_BY_ZERO").alias("zero"), "written"
+    )
+
+
+def extract_case_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The template changes so that a month has no rows: its old output goes."""
+    register(spark, sf_dir, "orders")
+    paths = new_scratch(spark, "extract"), new_scratch(spark, "ledger")
+    changed = ORDERS_OF_MONTH + " and month(o_orderdate) <> 2"
+    for batch, text in (("20240101_000000", ORDERS_OF_MONTH), ("20240102_000000", changed)):
+        _run_orders(spark, text, {"clsYymm": "199601:199606"}, paths, batch)
+    rows = table(spark, sf_dir, "orders").withColumn("clsYymm", F.lit(""))
+    return SRC.read_parquet(spark, paths[0], rows.schema)
+
+
+def extract_without_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A template without parameters is one case, extracted once."""
+    register(spark, sf_dir, "customer")
+    paths = new_scratch(spark, "extract"), new_scratch(spark, "ledger")
+    for batch in ("20240101_000000", "20240102_000000"):
+        _run_orders(spark, "SELECT * FROM customer", {}, paths, batch)
+    return LG.read_ledger(spark, paths[1]).select("batch_ts", "params", "status", "rows")
+
+
+def extract_literal_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Placeholders inside literals, comments, and texts that only look like placeholders:
+    one case, many with an equality, and many with a scan for each."""
+    register(spark, sf_dir, "orders")
+    one = X.extract(spark, LITERAL_PARAMS, {"p": "1-UR", "m": "199603"}).select(
+        F.lit("one").alias("kind"), "o_orderkey", "clock"
+    )
+    params = {"no": "1,3", "word": "URGENT,MEDIUM"}
+    joined = X.extract_cases(spark, LITERAL_EQUALITY, params).select(
+        F.concat("no", F.lit("-"), "word").alias("kind"), "o_orderkey", F.lit("").alias("clock")
+    )
+    each = X.extract_cases(
+        spark, LITERAL_PARAMS, {"p": "1,2", "m": "199701"}, scan_per_case=True
+    ).select(F.concat(F.lit("each "), "p").alias("kind"), "o_orderkey", "clock")
+    return one.unionAll(joined).unionAll(each)
+
+
+def extract_table_param(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table is a parameter, for one case and for many."""
+    register(spark, sf_dir, "orders", "lineitem")
+    spark.sql("create or replace temp view orders_rows as select o_orderdate as day from orders")
+    spark.sql("create or replace temp view lineitem_rows as select l_shipdate as day from lineitem")
+    one = X.extract(spark, FROM_TABLE, {"kind": "orders", "m": "199603"})
+    many = X.extract_cases(spark, FROM_TABLE, {"kind": "orders,lineitem", "m": "199601:199612"})
+    return one.select(F.lit("one").alias("kind"), F.lit("199603").alias("m"), "row_count").unionByName(many)
+
+
+def extract_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month ranges as cases, answered in one scan."""
+    register(spark, sf_dir, "orders")
+    params = {"a": "199601:199612", "b": "199604,199609"}
+    return X.extract_cases(spark, MONTH_BETWEEN, params).select("a", "b", "o_orderkey")
 
 
 def cases_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = C.case_table(spark, {"cls_yymm": ALL_MONTHS, "status": "F,O,P"})
+    cases = C.case_table(spark, {"cls_yymm": all_months(spark, sf_dir), "status": "F,O,P"})
     orders = table(spark, sf_dir, "orders").select(
         month_key("o_orderdate").alias("cls_yymm"), F.col("o_orderstatus").alias("status")
     )
@@ -158,7 +254,7 @@ def cases_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cases_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(spark, sf_dir, "orders")
-    params = {"clsYymm": ALL_MONTHS, "status": "F,O,P,F,O,P,F,O,P,F,O,P"}
+    params = {"clsYymm": all_months(spark, sf_dir), "status": "F,O,P,F,O,P,F,O,P,F,O,P"}
     return X.extract_cases(spark, ORDERS_OF_MONTH_AND_STATUS, params, mode="zip")
 
 
@@ -288,6 +384,12 @@ QUERIES = {
         extract_pending,
         extract_ledger,
         extract_case_totals,
+        extract_bad_case,
+        extract_case_emptied,
+        extract_without_params,
+        extract_literal_params,
+        extract_table_param,
+        extract_between,
         cases_product,
         cases_zip,
         empty_extract,
@@ -303,7 +405,7 @@ QUERIES = {
 
 _MONTH = "strftime(o_orderdate, '%Y%m')"
 _MONTHS = """(select strftime(m, '%Y%m') as cls_yymm
-  from (select unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-01', interval 1 month)) as m))"""
+  from (select unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), interval 1 month)) as m from orders))"""
 _ORDERS_WITH_MONTH = f"select *, {_MONTH} as clsYymm from orders"
 _TEMPLATE = ORDERS_OF_MONTH.strip().replace("'", "''")
 _MONTH_NO = "extract(month from o_orderdate)"
@@ -334,6 +436,29 @@ ORACLE = {
         cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as order_value
         from {_MONTHS} m left join orders o on strftime(o.o_orderdate, '%Y%m') = m.cls_yymm
         group by m.cls_yymm""",
+    "extract_bad_case": f"""select 'm=' || m as params, case when m = '199503' then 'FAIL' else 'OK' end as status,
+          case when m = '199503' then 0 else n end as rows, m = '199503' as zero,
+          case when m = '199503' then null else n end as written
+        from (select {_MONTH} as m, count(*) as n from orders where {_MONTH} between '199501' and '199506' group by 1)""",
+    "extract_case_emptied": f"""{_ORDERS_WITH_MONTH} where {_MONTH} between '199601' and '199606' and {_MONTH} <> '199602'""",
+    "extract_without_params": """select '20240101_000000' as batch_ts, '-' as params, 'OK' as status,
+        count(*) as rows from customer""",
+    "extract_literal_params": """select 'one' as kind, o_orderkey, '12:MI:SS' as clock from orders
+        where o_orderpriority like '1-UR%' and o_orderdate >= timestamp '1996-03-01'
+        union all select o_orderpriority, o_orderkey, '' from orders
+          where o_orderpriority in ('1-URGENT', '3-MEDIUM', '1-MEDIUM', '3-URGENT')
+        union all select 'each ' || substr(o_orderpriority, 1, 1), o_orderkey, '12:MI:SS' from orders
+          where substr(o_orderpriority, 1, 1) in ('1', '2') and o_orderdate >= timestamp '1997-01-01'""",
+    "extract_table_param": """with d as (select 'orders' as kind, o_orderdate as day from orders
+          union all select 'lineitem', l_shipdate from lineitem),
+        m as (select unnest(range(199601, 199613))::varchar as m)
+        select 'one' as kind, '199603' as m, count(*) as row_count from orders
+          where strftime(o_orderdate, '%Y%m') = '199603'
+        union all select k.kind, m.m, count(d.day) from (values ('orders'), ('lineitem')) k(kind) cross join m
+          left join d on d.kind = k.kind and strftime(d.day, '%Y%m') = m.m group by all""",
+    "extract_between": f"""select a, b, o_orderkey from orders
+        join (select unnest(range(199601, 199613))::varchar as a) on {_MONTH} >= a
+        join (values ('199604'), ('199609')) v(b) on {_MONTH} <= b""",
     "cases_product": f"""select m.cls_yymm, s.status, count(o_orderkey) as row_count
         from {_MONTHS} m cross join (values ('F'), ('O'), ('P')) s(status)
         left join orders o on strftime(o.o_orderdate, '%Y%m') = m.cls_yymm and o_orderstatus = s.status

@@ -15,7 +15,6 @@ from parampipe.operators import ledger as LG
 from parampipe.operators import load as L
 from parampipe.operators import sinks as S
 from parampipe.operators import views as V
-from parampipe.plans.extract_queries import ALL_MONTHS
 from parampipe.plans.inputs import table
 from parampipe.session import new_scratch
 from parampipe.sources import files as SRC
@@ -189,6 +188,37 @@ def incremental_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.table("ORDERS", orders.schema)
 
 
+def _small_part(spark: SparkSession, sf_dir: str, suffix: str, status: str) -> DataFrame:
+    """Orders of a status as the part `suffix`."""
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status)
+    return orders.withColumn(PART, F.lit(suffix))
+
+
+def incremental_reused_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name comes back with other rows, and the old rows under another name: all
+    rows are there, once."""
+    target = _target(spark, "reused")
+    day_1 = _extract_of(_small_part(spark, sf_dir, "_1", "F"), "day-1")
+    day_2 = _extract_of(
+        _small_part(spark, sf_dir, "_1", "O").unionAll(_small_part(spark, sf_dir, "_2", "F")), "day-2"
+    )
+    for source in (day_1, day_2, day_2):
+        L.load_parts(target, "ORDERS", source, PART, identity=L.BY_HASH)
+    return target.table("ORDERS", day_1.schema)
+
+
+def incremental_two_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs load parts of the same name into one table: each keeps its rows."""
+    first = _target(spark, "jobs")
+    second = L.Target(spark, first.root, first.schema, "other_job")
+    for target, status in ((first, "F"), (second, "O"), (first, "F")):
+        source = _extract_of(_small_part(spark, sf_dir, "_1", status), "job")
+        L.load_parts(target, "ORDERS", source, PART, identity=L.BY_HASH)
+    rows = first.table("ORDERS", source.schema)
+    jobs = first.history().agg(F.count_distinct("job_name"))
+    return rows.withColumn("jobs", jobs.scalar())
+
+
 def retry_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A retry of the months of 1996 replaces what they loaded before."""
     orders = _orders_with_part(spark, sf_dir)
@@ -316,6 +346,8 @@ QUERIES = {
         load_history_rows,
         incremental_by_suffix,
         incremental_by_hash,
+        incremental_reused_name,
+        incremental_two_jobs,
         retry_replace,
         stream_incremental_load,
         create_or_append,
@@ -363,6 +395,10 @@ ORACLE = {
     "incremental_by_suffix": _ORDERS_WITH_PART,
     "incremental_by_hash": f"""select *, case when o_orderdate >= timestamp '1998-01-01'
         then 'again' else '' end || {_SUFFIX} as file_suffix from orders""",
+    "incremental_reused_name": """select *, '_1' as file_suffix
+        from orders where o_orderstatus in ('F', 'O')""",
+    "incremental_two_jobs": """select *, '_1' as file_suffix, 2 as jobs from orders
+        where o_orderstatus in ('F', 'O')""",
     "retry_replace": f"""select * replace (case when extract(year from o_orderdate) = 1996
         then 'retried ' || o_orderstatus else o_orderstatus end as o_orderstatus)
         from ({_ORDERS_WITH_PART})""",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from parampipe.operators import extract as X
 from parampipe.operators import ledger as LG
 from parampipe.operators import load as L
 from parampipe.operators import sinks as S
 from parampipe.plans import steps as ST
-from parampipe.plans.extract_queries import ORDERS_OF_MONTH
+from parampipe.plans.extract_queries import ORDERS_OF_MONTH, all_months
 from parampipe.plans.inputs import register
 from parampipe.session import new_scratch
 from parampipe.sources import files as SRC
@@ -40,10 +42,16 @@ VALUE_STEPS = {
 COUNT_STEPS = {
     "10_count.sql": "CREATE OR REPLACE TEMP VIEW step_count AS SELECT count(*) AS n FROM orders",
     "20_broken.sql": "SELECT no_such_column FROM orders",
+    "25_late.sql": "CREATE OR REPLACE TEMP VIEW step_late AS SELECT CAST(o_orderpriority AS int) AS p FROM orders",
     "30_report.sql": "CREATE OR REPLACE TEMP VIEW step_report AS SELECT n FROM step_count;"
     " SELECT n FROM step_report",
 }
 
+VIEW_STEP = {
+    "10_by_status.sql": "CREATE OR REPLACE TEMP VIEW step_by_status AS "
+    "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1 -- for the next; step"
+}
+
 PER_MONTH_STEP = {
     "10_per_month.sql": """
         SELECT clsYymm AS cls_yymm, count(*) AS order_count,
@@ -68,15 +76,28 @@ def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def step_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A failing step is recorded and the next one runs; a succeeded one is skipped."""
+    """A failing step, also one that fails only when it is worked out, is recorded and the
+    next one runs; a succeeded one is skipped."""
     register(spark, sf_dir, "orders")
     _first, ledger = ST.run_steps(spark, COUNT_STEPS, "20240101_000000")
-    done = ST.done_steps(LG.success_keys(ledger))
+    done = ST.done_steps(ledger, LG.success_keys(ledger))
     again = dict(COUNT_STEPS, **{"30_report.sql": COUNT_STEPS["30_report.sql"] + " ORDER BY n"})
     result, ledger = ST.run_steps(spark, again, "20240102_000000", done)
     return ledger.select("sql_file", "status", "sql_hash", result.scalar().alias("orders"))
 
 
+def step_new_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A step that is skipped in another session still gives its views to the next one."""
+    register(spark, sf_dir, "orders")
+    _none, ledger = ST.run_steps(spark, VIEW_STEP, "20240101_000000")
+    later = spark.newSession()
+    ledger = later.createDataFrame(ledger.collect(), LG.LEDGER_SCHEMA)
+    done = ST.done_steps(ledger, LG.success_keys(ledger))
+    steps = {**VIEW_STEP, "20_top.sql": "SELECT o_orderstatus, n FROM step_by_status WHERE n > 0"}
+    result, _ledger = ST.run_steps(later, steps, "20240102_000000", done)
+    return spark.read.schema(result.schema).parquet(result.scratch_path)
+
+
 def _sql(text: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         register(spark, sf_dir, "customer", "orders", "events")
@@ -133,20 +154,24 @@ def monthly_report(spark: SparkSession, sf_dir: str, months: str) -> DataFrame:
     extract = SRC.read_parquet(spark, f"{root}/extract", rows.schema)
     target = L.Target(spark, f"{root}/warehouse", "local", "monthly")
     L.load_parts(target, "ORDERS", extract, "clsYymm")
-    target.table("ORDERS", rows.schema).createOrReplaceTempView("orders_loaded")
-    steps = {n: t.replace("{table}", "orders_loaded") for n, t in PER_MONTH_STEP.items()}
+    # a name of its own: two runs in one session do not meet
+    view = f"orders_loaded_{uuid.uuid4().hex}"
+    target.table("ORDERS", rows.schema).createOrReplaceTempView(view)
+    steps = {n: t.replace("{table}", view) for n, t in PER_MONTH_STEP.items()}
     result, _ledger = ST.run_steps(spark, steps, "20240101_000000")
+    spark.catalog.dropTempView(view)
     return result
 
 
 def extract_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_report(spark, sf_dir, "199501:200112")
+    return monthly_report(spark, sf_dir, all_months(spark, sf_dir))
 
 
 QUERIES = {
     "sql_step_chain": sql_step_chain,
     "report_export": report_export,
     "step_ledger": step_ledger,
+    "step_new_session": step_new_session,
     "step_semi_anti": step_semi_anti,
     "step_rollup": step_rollup,
     "step_window": step_window,
@@ -169,7 +194,9 @@ ORACLE = {
     "step_ledger": f"""select s.sql_file, s.status, md5(s.sql) as sql_hash,
         (select count(*) from orders) as orders from (values
           ('20_broken.sql', 'FAIL', '{COUNT_STEPS["20_broken.sql"]}'),
+          ('25_late.sql', 'FAIL', '{COUNT_STEPS["25_late.sql"]}'),
           ('30_report.sql', 'OK', '{COUNT_STEPS["30_report.sql"]} ORDER BY n')) s(sql_file, status, sql)""",
+    "step_new_session": "select o_orderstatus, count(*) as n from orders group by 1",
     "step_semi_anti": f"""select c_mktsegment, count(*) as customers,
         sum(case when c_custkey in {_HAS} then 1 else 0 end) as with_orders from customer group by 1""",
     "step_rollup": """select c_mktsegment, o_orderstatus, count(*) as order_count
