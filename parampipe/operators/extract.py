@@ -79,8 +79,9 @@ def extract_cases(
     over all wanted months reaches the scan, so the fact table is read once however
     many cases there are. A month range (BETWEEN) meets the months of its case.
 
-    A template that cannot be joined that way raises, unless `scan_per_case` asks
-    for one scan for every case. Parameters in table names make one statement for
+    A template that cannot be joined that way (no parameter in an equality, OR, or
+    another test in an aggregate) raises, unless `scan_per_case` asks for one scan for
+    every case. Parameters in table names make one statement for
     each table.
     """
     statement = T.to_markers(template)
@@ -98,15 +99,15 @@ def extract_cases(
 
     if T.table_names(statement):
         return _union_over_tables(spark, statement, cases, names, scan_per_case)
-    loose = T.unequal_markers(statement)
-    ranges = T.month_ranges(statement)
-    if ranges and not T.keeps_rows_apart(statement):
-        loose = sorted({*loose, *[n for _c, a, b in ranges for n in (a, b)]})
-    if scan_per_case and loose:
+    loose, apart = T.unequal_markers(statement), T.keeps_rows_apart(statement)
+    if not apart:
+        loose = sorted({*loose, *[n for _c, *pair in T.month_ranges(statement) for n in pair]})
+    # where rows stay apart, one equality joins and other tests filter what it joins
+    if not loose or (apart and set(names) != set(loose)):
+        return _joined_cases(spark, statement, cases, names)
+    if scan_per_case:
         return _union_of_cases(spark, template, cases, names)
-    if loose:
-        raise ValueError(f"no equality for params {loose}: ask for scan_per_case")
-    return _joined_cases(spark, statement, cases, names)
+    raise ValueError(f"no equality for params {loose}: ask for scan_per_case")
 
 
 def _joined_cases(

@@ -5,14 +5,17 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from parampipe.operators import extract as X
 from parampipe.operators import ledger as LG
 from parampipe.operators import load as L
 from parampipe.operators import sinks as S
+from parampipe.plans import folder as FD
 from parampipe.plans import steps as ST
 from parampipe.plans.extract_queries import ORDERS_OF_MONTH, all_months
 from parampipe.plans.inputs import register
-from parampipe.session import new_scratch
+from parampipe.session import new_scratch, write_text
 from parampipe.sources import files as SRC
 
 VALUE_STEPS = {
@@ -163,6 +166,39 @@ def monthly_report(spark: SparkSession, sf_dir: str, months: str) -> DataFrame:
     return result
 
 
+FOLDER = {
+    "2_orders_rest.sql": """--[ORDERS__REST]
+select o_orderkey, o_custkey, o_totalprice, o_orderdate from orders
+where TO_CHAR(o_orderdate, 'YYYYMM') = :m and o_orderstatus <> '${done}'""",
+    "1_orders_done.sql": """--[ORDERS__DONE]
+select o_orderkey, o_custkey, o_totalprice, o_orderdate from orders
+where TO_CHAR(o_orderdate, 'YYYYMM') = :m and o_orderstatus = '${done}'""",
+    "sub/10_nation.sql": "select n_nationkey, n_name from nation",
+}
+FOLDER_STEPS = {
+    "10_value.sql": "CREATE OR REPLACE TEMP VIEW folder_value AS SELECT m, o_custkey, count(*) AS n,"
+    " sum(cast(o_totalprice AS decimal(18, 2))) AS v FROM ORDERS GROUP BY 1, 2",
+    "20_nation.sql": "SELECT m, n_name, sum(n) AS order_count, cast(sum(v) AS double) AS order_value"
+    " FROM folder_value JOIN customer ON o_custkey = c_custkey"
+    " JOIN `10_nation` ON c_nationkey = n_nationkey GROUP BY 1, 2",
+}
+
+
+def folder_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of templates run twice: the second run finds nothing left but the steps."""
+    register(spark, sf_dir, "orders", "nation", "customer")
+    root = new_scratch(spark, "folder")
+    for name, text in FOLDER.items():
+        write_text(spark, f"{root}/sql/{name}", text)
+    params = {"m": all_months(spark, sf_dir), "done": "F"}
+    for batch in ("20240101_000000", "20240102_000000"):
+        run = FD.run_folder(spark, f"{root}/sql", params, f"{root}/out", batch, FOLDER_STEPS)
+    attempts = run.ledger.agg(F.count_if(F.col("status") == LG.OK))
+    return run.result.select(
+        "*", run.files.agg(F.count_distinct("file_hash")).scalar().alias("files"), attempts.scalar().alias("attempts")
+    )
+
+
 def extract_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_report(spark, sf_dir, all_months(spark, sf_dir))
 
@@ -176,6 +212,7 @@ QUERIES = {
     "step_rollup": step_rollup,
     "step_window": step_window,
     "step_set_ops": step_set_ops,
+    "folder_run": folder_run,
     "extract_load_report": extract_load_report,
 }
 
@@ -208,6 +245,10 @@ ORACLE = {
           from events group by 1, 2)""",
     "step_set_ops": f"""select case when c_custkey in {_HAS} then 'both' else 'customer only' end as side,
         c_custkey as k from customer""",
+    "folder_run": """select strftime(o_orderdate, '%Y%m') as m, n_name, count(*) as order_count,
+        cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as order_value, 3 as files,
+        (select 2 * (date_diff('month', min(o_orderdate), max(o_orderdate)) + 1) + 1 + 2 * 2 from orders) as attempts
+        from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2""",
     "extract_load_report": """select strftime(o_orderdate, '%Y%m') as cls_yymm, count(*) as order_count,
         cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as order_value from orders group by 1""",
 }

@@ -102,6 +102,16 @@ def release_shuffles(spark: SparkSession) -> None:
     spark._jvm.java.lang.System.gc()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, through Spark's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a file or folder through Spark's file systems; nothing if there is none."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
