@@ -72,7 +72,7 @@ def new_scratch(spark: SparkSession, label: str) -> str:
     return os.path.join(scratch_root(spark), "parampipe", f"{label}-{uuid.uuid4().hex}")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write `df` once to the shared scratch area and read it back.
 
     Used where a plan must be evaluated exactly once (positions, partition
@@ -80,7 +80,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     copy = spark.read.schema(df.schema).parquet(path)
     copy.scratch_path = path
     return copy
