@@ -277,3 +277,43 @@ def test_a_hot_case_is_split_over_files(spark, tmp_path):
 def test_megabytes(spark):
     sizes = spark.createDataFrame([(1048576,), (5243,), (0,)], "n long")
     assert [r[0] for r in sizes.select(P.megabytes(F.col("n"))).collect()] == [1.0, 0.01, 0.0]
+
+
+@pytest.mark.parametrize("identity", [L.BY_SUFFIX, L.BY_HASH])
+def test_second_load_reads_only_new_parts(target, extract, monkeypatch, identity):
+    seen, whole = [], L.manifest
+
+    def spy(source, part, how=L.BY_SUFFIX):
+        seen.append((plan_text(source), source.count()))
+        return whole(source, part, how)
+
+    monkeypatch.setattr(L, "manifest", spy)
+    L.load_parts(target, "T", extract.where("file_suffix < '_3'"), "file_suffix", identity=identity)
+    L.load_parts(target, "T", extract, "file_suffix", identity=identity)
+    L.load_parts(target, "T", extract, "file_suffix", identity=identity)
+    assert [rows for _plan, rows in seen] == [75, 25, 0]
+    filters = seen[1][0].split("PartitionFilters: [")[1]
+    assert filters.startswith(("(file_suffix", "file_suffix", "isnotnull(file_suffix"))
+    assert ids(target.table("T", extract.schema)) == list(range(100))
+
+
+def test_common_decimals():
+    from pyspark.sql import types as T
+
+    def common(*kinds):
+        return V.common_schema([T.StructType([T.StructField("x", k)]) for k in kinds])[0].dataType
+
+    assert common(T.DecimalType(10, 2), T.DecimalType(12, 2)) == T.DecimalType(12, 2)
+    assert common(T.LongType(), T.DecimalType(12, 2)) == T.DecimalType(21, 2)
+    assert common(T.DecimalType(38, 0), T.DecimalType(10, 5)) == T.StringType()
+    assert common(T.IntegerType(), T.FloatType()) == T.DoubleType()
+
+
+def test_sheet_names_differ(spark):
+    long = "a sheet name that is longer than a sheet name can be "
+    rows = [("f", long + str(i % 3)) for i in range(9)] + [("f", "short"), ("f", "odd~2"), ("g", "short")]
+    found = P.group_summary(spark.createDataFrame(rows, "folder string, sheet string"), "folder", "sheet", 2).collect()
+    names = [(r.folder, r.sheet_name) for r in found]
+    assert len(set(names)) == len(found) == 6 and all(len(n) <= 31 for _f, n in names)
+    assert {r.full_name: r.over_limit for r in found if r.folder == "f"}[(long + "1").upper()]
+    assert ("f", "SHORT") in names and ("f", "ODD~2") not in names
