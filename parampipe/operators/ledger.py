@@ -82,8 +82,7 @@ def success_keys(
     ``all`` takes each key's last attempt over all batches; ``last_run`` looks at
     the newest batch only. The times of the last attempt and of the last
     success are running maxima, combined before the shuffle: no key's rows are
-    sorted or gathered. A timestamp or number as `order` keeps them in a hash
-    aggregate. Attempts at the same time count as a success if one succeeded.
+    sorted or gathered. `order` is a time, a number or a batch text of digits. Attempts at the same time count as a success if one succeeded.
     """
     names = keys or ATTEMPT_KEY
     if scope == "last_run":
@@ -92,9 +91,13 @@ def success_keys(
 
 
 def _last_attempts(ledger: DataFrame, names: list[str], order: str) -> DataFrame:
+    at = F.col(order)
+    if isinstance(ledger.schema[order].dataType, T.StringType):
+        # a batch text is a number of up to 18 digits: numbers stay in a hash aggregate
+        at = F.rpad(F.regexp_replace(at, r"\D", ""), 18, "0").try_cast("bigint")
     return ledger.groupBy(*names).agg(
-        F.max(order).alias("_last"),
-        F.max(F.when(F.col("status") == OK, F.col(order))).alias("_last_ok"),
+        F.max(at).alias("_last"),
+        F.max(F.when(F.col("status") == OK, at)).alias("_last_ok"),
     )
 
 

@@ -111,8 +111,12 @@ def test_top_k_plan(spark, sf_dir):
 
 def test_attempts_use_hash_aggregates(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("status", F.lit("OK"))
-    plan = plan_text(LG.success_keys(events, ["user_id"], order="ts"))
-    assert "HashAggregate" in plan and "Sort" not in plan
+    texts = events.withColumn("batch_ts", F.date_format("ts", LG.BATCH_FORMAT))
+    for plan in (
+        plan_text(LG.success_keys(events, ["user_id"], order="ts")),
+        plan_text(LG.success_keys(texts, ["user_id"])),
+    ):
+        assert "HashAggregate" in plan and "Sort" not in plan
 
 
 def test_latest_batch_prunes_partitions(spark, tmp_path):
