@@ -19,20 +19,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parampipe.llm.common import ID, ship_with_tasks, whole_text
-from parampipe.session import materialize
+from parampipe.session import materialize, release_shuffles
 
 ship_with_tasks(__name__)
 
 FOLDS = 10
 TEST, HELD, TRAIN = 0, 1, 2
 # Bytes of text of a block, and of the corpus for a bucket of keys.
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 5 << 20
+BUCKET_BYTES = 6 << 20
 # Context frequencies fall into buckets by their binary logarithm, up to this one.
 FREQUENCIES = 24
 # Ratios of estimates are counted in steps of 1 / GRAIN of a binary logarithm.
@@ -69,6 +70,22 @@ def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def pack(values: np.ndarray, sorted_values: bool = False) -> bytes:
+    """Numbers as compressed bytes: all first bytes, all second bytes and so on, of the
+    steps between them where they are sorted. Most counts and high bytes are alike."""
+    if sorted_values:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(packed: bytes, dtype: type, sorted_values: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
+    planes = raw.reshape(np.dtype(dtype).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+    return np.cumsum(values, dtype=dtype) if sorted_values else values
+
+
 # Keys of the end token, which also is the context of a first word; no word holds a newline.
 END = b"\n"
 
@@ -98,7 +115,7 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_ids": [np.array(ids, dtype=np.int64).tobytes()],
             "no_id": [np.array(missing, dtype=np.uint8).tobytes()],
             "lengths": [np.array(lengths, dtype=np.int64).tobytes()],
-            "tokens": [np.concatenate(tokens).tobytes()],
+            "tokens": [pack(np.concatenate(tokens))],
             "words": [word_hashes(list(numbers)).tobytes()],
         }
         return pa.RecordBatch.from_pydict(
@@ -123,7 +140,7 @@ class Opened:
 
     def __init__(self, row, buckets: int):
         self.lengths = np.frombuffer(row.lengths, dtype=np.int64)
-        self.tokens = np.frombuffer(row.tokens, dtype=np.int32)
+        self.tokens = unpack(row.tokens, np.int32)
         words = np.frombuffer(row.words, dtype=np.uint64)
         before = np.empty_like(self.tokens)
         # the token before; the end token before a first word
@@ -151,7 +168,7 @@ class Opened:
             own = rows[rows["kind"] == kind]
             for bucket, packed in zip(own["bucket"], own[column]):
                 a, b = self.starts[kind][bucket], self.starts[kind][bucket + 1]
-                totals[self.order[kind][a:b]] = np.frombuffer(packed, dtype=np.int64)
+                totals[self.order[kind][a:b]] = unpack(packed, np.int64)
             found.append(totals)
         return found
 
@@ -172,7 +189,7 @@ def ask(blocks: DataFrame, buckets: int) -> DataFrame:
                     order, starts = opened.order[kind], opened.starts[kind]
                     keys, counts = opened.keys[kind][order], opened.counts(kind)[order].astype(np.int64)
                     rows = [
-                        (kind, b, row.block, row.role, keys[s:e].tobytes(), counts[s:e].tobytes())
+                        (kind, b, row.block, row.role, pack(keys[s:e], True), pack(counts[s:e]))
                         for b, (s, e) in enumerate(zip(starts, starts[1:]))
                         if e > s
                     ]
@@ -188,8 +205,8 @@ def answer(asked: DataFrame) -> DataFrame:
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.frombuffer(k, dtype=np.uint64) for k in rows["keys"]]
-        counts = [np.frombuffer(c, dtype=np.int64) for c in rows["counts"]]
+        keys = [unpack(k, np.uint64, True) for k in rows["keys"]]
+        counts = [unpack(c, np.int64) for c in rows["counts"]]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         roles = np.repeat(rows["role"].to_numpy(), [len(k) for k in keys])
         flat = np.concatenate(counts).astype(float)
@@ -200,8 +217,8 @@ def answer(asked: DataFrame) -> DataFrame:
         for row, own in zip(rows.itertuples(), keys):
             at = place[start : start + len(own)]
             start += len(own)
-            own_kept = kept[at].tobytes() if row.role == HELD else None
-            out.append((row.block, row.role, row.kind, row.bucket, whole[at].tobytes(), own_kept, *sums))
+            own_kept = pack(kept[at]) if row.role == HELD else None
+            out.append((row.block, row.role, row.kind, row.bucket, pack(whole[at]), own_kept, *sums))
             sums = (0, 0, 0, 0)
         return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWER_SCHEMA.split(", ")])
 
@@ -334,10 +351,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     buckets = bucket_count(rows)
     blocks = materialize(rows.mapInArrow(make_blocks, BLOCK_SCHEMA), "blocks")
     answers = materialize(answer(ask(blocks, buckets)), "answers")
+    release_shuffles(docs.sparkSession)
     words = answers.where(F.col("kind") == WORDS)
     sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("all_tokens", "all_distinct", "kept_tokens", "kept_distinct")]).first()
     tokens, distinct, kept_tokens, kept_distinct = (int(x) for x in sums)
     asked = answers.select("block", "role", "kind", "bucket", "all_counts", "kept_counts")
     held = held_out_counts(blocks, asked, buckets, kept_tokens, kept_distinct).toPandas()
     weights = learn_weights(held if kept_tokens else held.iloc[:0])
+    release_shuffles(docs.sparkSession)
     return score_blocks(blocks, asked.drop("kept_counts"), buckets, tokens, distinct, weights)
