@@ -32,7 +32,7 @@ ship_with_tasks(__name__)
 
 # Words a worker remembers from the latest texts, and as many from those before, also
 # over the tasks it runs; what it forgets is encoded again.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 400_000
 # Characters of text, words of a query, and ids of a query held at once.
 TEXT_BLOCK = 4_000_000
 WORD_BLOCK = 30_000
@@ -67,8 +67,9 @@ WITH RECURSIVE state(w, p, t, next_p, next_t, open) AS (
 SELECT w, t FROM state WHERE NOT open ORDER BY w, p
 """
 
+# A byte is one character here (Latin-1), as the bytes of a token need not be a text.
 DECODE_IDS = """
-SELECT d, unhex(string_agg(digits, '' ORDER BY p)) AS decoded
+SELECT d, list_aggregate(list(bytes ORDER BY p), 'string_agg', '') AS decoded
 FROM token_ids JOIN vocabulary USING (t) GROUP BY d ORDER BY d
 """
 
@@ -96,10 +97,12 @@ class Vocabulary:
         self.tokens = pa.table(
             {
                 "t": pa.array(list(ranks.values()), pa.int32()),
-                "digits": [token.hex() for token in ranks],
+                "bytes": [token.decode("latin-1") for token in ranks],
             }
         )
         self.name = hashlib.md5(repr((pattern, sorted(ranks.items()))).encode()).hexdigest()
+        self.known = np.zeros(max(ranks.values()) + 2, dtype=bool)
+        self.known[list(ranks.values())] = True
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
     @classmethod
@@ -255,17 +258,25 @@ def by_length(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield first, len(lengths)
 
 
-def _append(batch: pa.RecordBatch, name: str, values: list) -> pa.RecordBatch:
-    columns = [*batch.columns, pa.array(values, pa.large_binary())]
-    return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, name])
+def _append(batch: pa.RecordBatch, name: str, values: list, without: str | None = None) -> pa.RecordBatch:
+    kept = [c for c in batch.schema.names if c != without]
+    columns = [*[batch.column(batch.schema.names.index(c)) for c in kept], pa.array(values, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=[*kept, name])
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
+def encode(
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    text: str = "text",
+    name: str = "ids",
+    keep_text: bool = True,
+) -> DataFrame:
     """`docs` with the binary column `name`: ids as little-endian unsigned 32-bit integers.
 
     Every match of `pattern` is encoded by itself and nothing is read as a special
     token. Null and empty texts have no ids. Rows, repeated ones too, and other
-    columns stay as they are; the text column becomes non-null.
+    columns stay as they are; the text column becomes non-null, or goes without `keep_text`.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary(ranks, pattern)))
     plain = docs.withColumn(text, whole_text(text))
@@ -276,9 +287,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
             texts = batch.column(batch.schema.names.index(text))
             for first, stop in by_length(pc.binary_length(texts).to_pylist(), TEXT_BLOCK):
                 part = batch.slice(first, stop - first)
-                yield _append(part, name, encoder.encode(texts.slice(first, stop - first).to_pylist()))
+                ids = encoder.encode(texts.slice(first, stop - first).to_pylist())
+                yield _append(part, name, ids, None if keep_text else text)
 
-    return plain.mapInArrow(run, _with_binary(plain, name))
+    return plain.mapInArrow(run, _with_binary(plain if keep_text else plain.drop(text), name))
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -290,17 +302,19 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str
     plain = rows.withColumn(ids, F.coalesce(F.col(ids), F.lit(b"")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = Vocabulary.of(shared.value).connect()
+        vocabulary = Vocabulary.of(shared.value)
+        con = vocabulary.connect()
         for batch in batches:
             column = batch.column(batch.schema.names.index(ids))
             for first, stop in by_length(pc.binary_length(column).to_pylist(), 4 * ID_BLOCK):
                 part = batch.slice(first, stop - first)
-                yield _append(part, name, decoded(con, column.slice(first, stop - first).to_pylist()))
+                yield _append(part, name, decoded(con, vocabulary.known, column.slice(first, stop - first).to_pylist()))
 
     return plain.mapInArrow(run, _with_binary(plain, name))
 
 
-def decoded(con: duckdb.DuckDBPyConnection, packed_ids: list[bytes]) -> list[bytes]:
+def decoded(con: duckdb.DuckDBPyConnection, known: np.ndarray, packed_ids: list[bytes]) -> list[bytes]:
+    """Bytes of each text; `known` says of every id, and of one above all, if it is a token."""
     out: list[list[bytes]] = [[] for _ in packed_ids]
     counts = [len(p) // 4 for p in packed_ids]
     longest = max(counts, default=0)
@@ -308,22 +322,22 @@ def decoded(con: duckdb.DuckDBPyConnection, packed_ids: list[bytes]) -> list[byt
     for start in range(0, longest, ID_BLOCK):
         pieces = [p[4 * start : 4 * (start + ID_BLOCK)] for p in packed_ids]
         lengths = np.array([len(p) // 4 for p in pieces])
-        flat = np.frombuffer(b"".join(pieces), dtype="<u4").astype(np.int32)
+        flat = np.frombuffer(b"".join(pieces), dtype="<u4")
+        unknown = int((~known[np.minimum(flat, len(known) - 1)]).sum())
+        if unknown:
+            raise ValueError(f"{unknown} ids are not in the vocabulary")
         con.register(
             "token_ids",
             pa.table(
                 {
                     "d": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths),
                     "p": np.arange(len(flat), dtype=np.int64),
-                    "t": flat,
+                    "t": flat.astype(np.int32),
                 }
             ),
         )
-        unknown = con.sql("SELECT count(*) FROM token_ids ANTI JOIN vocabulary USING (t)").fetchall()[0][0]
-        if unknown:
-            raise ValueError(f"{unknown} ids are not in the vocabulary")
         for d, piece in con.sql(DECODE_IDS).fetchall():
-            out[d].append(piece)
+            out[d].append(piece.encode("latin-1"))
         con.unregister("token_ids")
     return [b"".join(o) for o in out]
 
@@ -336,7 +350,7 @@ def _with_binary(df: DataFrame, name: str) -> str:
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """Per row of `docs`: doc_id, n_tokens, SHA-256 of the packed ids and of the decoded bytes."""
     rows = docs.select("doc_id", whole_text().alias("text"))
-    coded = decode(encode(rows, ranks, pattern).select("doc_id", "ids"), ranks)
+    coded = decode(encode(rows, ranks, pattern, keep_text=False), ranks)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

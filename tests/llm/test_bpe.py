@@ -33,7 +33,7 @@ def test_blocks_do_not_show(monkeypatch):
         monkeypatch.setattr(bpe, name, value)
     encoder = bpe.Encoder(vocabulary)
     assert encoder.encode(texts()) == expected
-    assert bpe.decoded(vocabulary.connect(), expected) == [t.encode() for t in texts()]
+    assert bpe.decoded(vocabulary.connect(), vocabulary.known, expected) == [t.encode() for t in texts()]
 
 
 def test_heap_contracts_like_the_query():
@@ -55,5 +55,6 @@ def test_digests(spark):
 
 
 def test_unknown_id_raises():
+    vocabulary = bpe.Vocabulary(RANKS, "")
     with pytest.raises(ValueError):
-        bpe.decoded(bpe.Vocabulary(RANKS, "").connect(), [bpe.packed([10**6])])
+        bpe.decoded(vocabulary.connect(), vocabulary.known, [bpe.packed([10**6])])
