@@ -11,13 +11,14 @@ from __future__ import annotations
 import random
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parampipe.llm.common import ID, connected_components, fresh, whole_text
-from parampipe.session import materialize
+from parampipe.session import discard, materialize, release_shuffles
 
 # UTF-16 units of a shingle, and the least similarity of a link.
-SHINGLE = 9
+SHINGLE = 12
 SIMILARITY = 0.8
 # 8 bands of 3 minima: two lines at the threshold share a band with probability
 # 1 - (1 - 0.8 ** 3) ** 8 = 0.997, at 0.9 with more than 0.9999.
@@ -26,6 +27,9 @@ BANDS, ROWS = 8, 3
 # hash); lines from LONG / 2 to LONG do both, so that similar lines always share one way.
 LONG = 128
 EVERY = 4
+# Lines of a bucket of two bands that others meet: the first, and after it the next four.
+# Meeting all of them would form all pairs of a group whose lines are just not similar.
+MEETINGS = (1, 4)
 
 _SPACE = " \t\x0b\x0c\r"
 _POSITIONS = 1 << 32
@@ -41,12 +45,30 @@ def _masks(n: int) -> list[int]:
 
 def shingle_hashes(line: Column, size: int = SHINGLE) -> Column:
     """Distinct hashes of the shingles; a shorter line is one shingle."""
-    units = F.encode(line, "UTF-16BE")
-    last = F.greatest(F.expr("0"), (F.octet_length(units) / 2).cast("int") - size)
-    hashed = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(units, i * 2 + 1, F.lit(2 * size)))
-    )
-    return F.array_distinct(hashed)
+
+    def of(units: Column) -> Column:
+        last = F.greatest(F.lit(0), (F.octet_length(units) / 2).cast("int") - size)
+        each = F.sequence(F.lit(0), last)
+        return F.transform(each, lambda i: F.xxhash64(F.substring(units, i * 2 + 1, F.lit(2 * size))))
+
+    return F.array_distinct(_with(F.encode(line, "UTF-16BE"), of))
+
+
+def jaccard(a: Column, b: Column) -> Column:
+    """Exact similarity of the shingle sets of two lines."""
+
+    def of(sets: Column) -> Column:
+        return _with(
+            F.size(F.array_intersect(sets["a"], sets["b"])),
+            lambda common: common / (F.size(sets["a"]) + F.size(sets["b"]) - common),
+        )
+
+    return _with(F.struct(shingle_hashes(a).alias("a"), shingle_hashes(b).alias("b")), of)
+
+
+def _with(value: Column, use) -> Column:
+    """`use(value)`, with `value` worked out once: the planner would put it in wherever it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def different_lines(docs: DataFrame) -> DataFrame:
@@ -91,49 +113,113 @@ def band_rows(lines: DataFrame) -> DataFrame:
     return signed.select("lid", F.explode(F.array(*keys)).alias("key"))
 
 
-def candidate_pairs(bands: DataFrame) -> DataFrame:
-    """Columns (key, lid, first): members of a bucket with its first line."""
-    firsts = bands.groupBy("key").agg(F.min("lid").alias("first"), F.max("lid").alias("last"))
-    firsts = firsts.where("first < last").select("key", "first")
-    return bands.join(firsts, "key").where("lid <> first")
+def bucket_members(bands: DataFrame) -> DataFrame:
+    """Columns (key, lid, first, n): the lines of every bucket of two or more, with its
+    first line and its size."""
+    sizes = bands.groupBy("key").agg(F.min("lid").alias("first"), F.count(F.lit(1)).alias("n"))
+    return bands.join(sizes.where("n > 1"), "key")
+
+
+def next_firsts(members: DataFrame, keys: DataFrame, done: int, more: int) -> DataFrame:
+    """Columns (key, first): the `more` lines of a bucket after the `done` least ones.
+
+    Buckets are cut to that number before the shuffle.
+    """
+    order = F.row_number().over(W.partitionBy("key").orderBy("lid"))
+    mine = members.join(keys.select("key").distinct(), "key", "left_semi")
+    ranked = mine.select("key", F.col("lid").alias("first"), order.alias("at")).where(F.col("at") <= done + more)
+    return ranked.where(F.col("at") > done).drop("at")
+
+
+def double_bands(bands: DataFrame, lids: DataFrame) -> DataFrame:
+    """Columns (key, lid): buckets of the lines in `lids` that share two bands."""
+    keys = bands.join(lids, "lid", "left_semi").groupBy("lid").agg(F.array_sort(F.collect_set("key")).alias("k"))
+    size = F.size("k")
+    pairs = F.flatten(
+        F.transform(
+            F.col("k"),
+            lambda a, i: F.transform(F.slice(F.col("k"), i + 2, size), lambda b: F.xxhash64(a, b)),
+        )
+    )
+    return keys.select("lid", F.explode(pairs).alias("key"))
 
 
 def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Columns (a, b): links of similar lines that span the groups the buckets show.
 
-    In every bucket the lines meet the first one; those that are not similar to it
-    meet the first of themselves, and so on until no bucket has two lines left. No
-    bucket is ever held in one place and no pair is formed but these.
+    In every bucket the lines meet the first one. Buckets with a line that this does not
+    join with it, be it by way of others, are parted by a second band, which lines that
+    only share a passage seldom have in common; there such a line meets the first ones
+    (`MEETINGS`) until it is joined with one of them. No bucket is ever held in one
+    place, and what is compared grows with the lines, not with the square of a bucket.
+    A link between two lines that are no first ones, and that nothing else joins, is
+    not found.
     """
+    spark = lines.sparkSession
     bands = materialize(band_rows(lines), "bands")
-    pairs = materialize(candidate_pairs(bands), "pairs")
-    wanted = pairs.select("lid").union(pairs.select("first")).distinct()
-    texts = lines.select("lid", "line").join(wanted, "lid")
-    sets = materialize(texts.select("lid", shingle_hashes(F.col("line")).alias("s")), "shingles")
-    links = None
-    while True:
-        judged = _judge(pairs, sets, similarity)
-        passed = judged.where("similar").select(F.col("lid").alias("a"), F.col("first").alias("b"))
-        links = passed if links is None else links.union(passed)
-        apart = pairs.join(judged.where("not similar"), ["lid", "first"], "left_semi").select("key", "lid")
-        pairs = materialize(candidate_pairs(apart), "pairs")
-        if pairs.isEmpty():
-            return links
-
-
-def _judge(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    release_shuffles(spark)
+    members = materialize(bucket_members(bands), "members")
+    texts = lines.select("lid", "line").join(members.select("lid").distinct(), "lid")
+    texts = materialize(texts, "texts", "zstd")
+    release_shuffles(spark)
+    pairs = members.where("lid <> first")
+    judged = _judge(pairs, texts, similarity)
+    links = _passed(judged)
+    roots = materialize(connected_components(links, "joined"), "roots")
+    met = _joined(pairs, roots).groupBy("key", "lid", "n").agg(F.bool_or("joined").alias("joined"))
+    alone = materialize(met.where("not joined and n > 2").select("key", "lid"), "alone")
+    if alone.isEmpty():
+        discard(bands)
+        return links
+    near = members.join(alone.select("key").distinct(), "key", "left_semi").select("lid").distinct()
+    members = materialize(bucket_members(double_bands(bands, near)), "members")
+    discard(bands)
+    release_shuffles(spark)
+    left = members.join(alone.select("lid").distinct(), "lid", "left_semi").select("key", "lid", "n")
+    left = materialize(left, "left")
+    seen, done = judged, 0
+    for more in MEETINGS:
+        firsts = next_firsts(members, left, done, more)
+        pairs = _joined(left.join(firsts, "key").where("lid <> first"), roots)
+        pairs = materialize(pairs, "pairs")
+        fresh_pairs = pairs.where("not joined").join(seen, ["lid", "first"], "left_anti")
+        judged = _judge(fresh_pairs, texts, similarity)
+        links, seen = links.union(_passed(judged)), seen.union(judged)
+        found = pairs.join(seen, ["lid", "first"], "left")
+        like = F.col("joined") | F.coalesce("similar", F.lit(False))
+        # a line that is among these first ones itself may have met none
+        met = found.groupBy("key", "lid").agg(F.bool_or(like).alias("similar")).where("similar")
+        done += more
+        left = left.join(met, ["key", "lid"], "left_anti").where(F.col("n") > done)
+        left = materialize(left, "left")
+    return links
+
+
+def _passed(judged: DataFrame) -> DataFrame:
+    return judged.where("similar").select(F.col("lid").alias("a"), F.col("first").alias("b"))
+
+
+def _joined(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """`pairs` with ``joined``: both lines are in one component."""
+    a = roots.select(F.col("node").alias("lid"), F.col("root").alias("root_a"))
+    b = roots.select(F.col("node").alias("first"), F.col("root").alias("root_b"))
+    same = F.coalesce("root_a", "lid") == F.coalesce("root_b", "first")
+    return pairs.join(a, "lid", "left").join(b, "first", "left").withColumn("joined", same)
+
+
+def _judge(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = pairs.select("lid", "first").distinct()
-    a = sets.select("lid", F.col("s").alias("s_a"))
-    b = sets.select(F.col("lid").alias("first"), F.col("s").alias("s_b"))
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    jaccard = common / (F.size("s_a") + F.size("s_b") - common)
-    found = both.join(a, "lid").join(b, "first")
-    return materialize(found.select("lid", "first", (jaccard >= similarity).alias("similar")), "judged")
+    a = texts.select("lid", F.col("line").alias("line_a"))
+    b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"))
+    similar = jaccard(F.col("line_a"), F.col("line_b")) >= similarity
+    found = both.join(a, "lid").join(b, "first").select("lid", "first", similar.alias("similar"))
+    return materialize(found, "judged")
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Columns (owner, kept): (position, hash) of the lines that stay, per doc_id."""
-    lines = materialize(different_lines(docs), "lines")
+    lines = materialize(different_lines(docs), "lines", "zstd")
+    release_shuffles(docs.sparkSession)
     roots = connected_components(similar_lines(lines, similarity), "lines")
     places = lines.select("lid", "owner", "pos", "mark")
     place = F.struct(F.col("owner").isNull().alias("n"), "owner", "pos", "lid")
@@ -141,7 +227,11 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     stays = members.groupBy("root").agg(F.min(place).alias("p")).select(F.col("p.lid").alias("stay"))
     gone = roots.join(stays, F.col("node") == F.col("stay"), "left_anti").select(F.col("node").alias("lid"))
     left = places.join(gone, "lid", "left_anti")
-    return left.groupBy("owner").agg(F.collect_list(F.struct("pos", "mark")).alias("kept"))
+    kept = left.groupBy("owner").agg(F.collect_list(F.struct("pos", "mark")).alias("kept"))
+    kept = materialize(kept, "kept")
+    discard(lines)
+    release_shuffles(docs.sparkSession)
+    return kept
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
