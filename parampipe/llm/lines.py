@@ -11,7 +11,6 @@ from __future__ import annotations
 import random
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parampipe.llm.common import ID, connected_components, fresh, whole_text
@@ -27,9 +26,6 @@ BANDS, ROWS = 8, 3
 # hash); lines from LONG / 2 to LONG do both, so that similar lines always share one way.
 LONG = 128
 EVERY = 4
-# Lines of a bucket of two bands that others meet: the first, and after it the next four.
-# Meeting all of them would form all pairs of a group whose lines are just not similar.
-MEETINGS = (1, 4)
 
 _SPACE = " \t\x0b\x0c\r"
 _POSITIONS = 1 << 32
@@ -120,45 +116,58 @@ def bucket_members(bands: DataFrame) -> DataFrame:
     return bands.join(sizes.where("n > 1"), "key")
 
 
-def next_firsts(members: DataFrame, keys: DataFrame, done: int, more: int) -> DataFrame:
-    """Columns (key, first): the `more` lines of a bucket after the `done` least ones.
+def close_pairs(near: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Columns (lid, first): all pairs of lines of `near` (lid, alone) that can reach
+    `similarity` and of which one is alone. None that does reach it is left out.
 
-    Buckets are cut to that number before the shuffle.
+    With the shingles of all lines in one order, the rare ones first, the first common
+    shingle of two similar lines stands early in both: in the larger set among the first
+    1 - t of it, in the smaller one among the first 1 - 2t / (1 + t). Lines that share a
+    passage differ in rare shingles, so what is in that many of them is seldom early.
     """
-    order = F.row_number().over(W.partitionBy("key").orderBy("lid"))
-    mine = members.join(keys.select("key").distinct(), "key", "left_semi")
-    ranked = mine.select("key", F.col("lid").alias("first"), order.alias("at")).where(F.col("at") <= done + more)
-    return ranked.where(F.col("at") > done).drop("at")
-
-
-def double_bands(bands: DataFrame, lids: DataFrame) -> DataFrame:
-    """Columns (key, lid): buckets of the lines in `lids` that share two bands."""
-    keys = bands.join(lids, "lid", "left_semi").groupBy("lid").agg(F.array_sort(F.collect_set("key")).alias("k"))
-    size = F.size("k")
-    pairs = F.flatten(
-        F.transform(
-            F.col("k"),
-            lambda a, i: F.transform(F.slice(F.col("k"), i + 2, size), lambda b: F.xxhash64(a, b)),
-        )
+    rounding = 1e-6
+    sets = near.join(texts, "lid").select("lid", "alone", shingle_hashes(F.col("line")).alias("s"))
+    each = sets.select("lid", "alone", F.size("s").alias("n"), F.explode("s").alias("h"))
+    counts = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counts = materialize(counts, "counts")
+    # a shingle that only one line has comes before these and needs no row
+    order = F.array_sort(F.collect_list(F.struct("c", "h")))
+    shared = each.join(counts, "h").groupBy("lid", "alone", "n").agg(order.alias("s"))
+    at = F.col("n") - F.size("s") + F.col("i")
+    placed = shared.select("*", F.posexplode("s").alias("i", "t")).select("lid", "alone", "n", at.alias("i"), "t.h")
+
+    def early(share: float) -> Column:
+        return F.col("i") <= F.col("n") - F.ceil(F.col("n") * share - rounding)
+
+    small = early(2 * similarity / (1 + similarity)).alias("small")
+    postings = materialize(placed.where(early(similarity)).select("*", small), "postings")
+    a, b = (postings.select("h", *[F.col(c).alias(f"{c}_{x}") for c in ("lid", "alone", "n", "i", "small")]) for x in "ab")
+    common = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
+    on = (
+        (a["h"] == b["h"])
+        & (F.struct("n_a", "lid_a") < F.struct("n_b", "lid_b"))
+        & (F.col("n_a") >= F.col("n_b") * similarity - rounding)
+        & (common >= (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - rounding)
     )
-    return keys.select("lid", F.explode(pairs).alias("key"))
+    a = a.where("small_a")
+    met = a.where("alone_a").join(b, on).union(a.where("not alone_a").join(b.where("alone_b"), on))
+    return met.select(F.col("lid_b").alias("lid"), F.col("lid_a").alias("first")).distinct()
 
 
 def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Columns (a, b): links of similar lines that span the groups the buckets show.
 
-    In every bucket the lines meet the first one. Buckets with a line that this does not
-    join with it, be it by way of others, are parted by a second band, which lines that
-    only share a passage seldom have in common; there such a line meets the first ones
-    (`MEETINGS`) until it is joined with one of them. No bucket is ever held in one
-    place, and what is compared grows with the lines, not with the square of a bucket.
-    A link between two lines that are no first ones, and that nothing else joins, is
-    not found.
+    In every bucket the lines meet the first one. A line that this does not join with
+    it, be it by way of others, is alone there, and of any two lines of a bucket that
+    are not joined yet one is alone. The alone lines meet all lines of such buckets that
+    can be similar to them (`close_pairs`), so every similar pair of a bucket is joined.
+    No bucket is ever held in one place.
     """
     spark = lines.sparkSession
     bands = materialize(band_rows(lines), "bands")
     release_shuffles(spark)
     members = materialize(bucket_members(bands), "members")
+    discard(bands)
     texts = lines.select("lid", "line").join(members.select("lid").distinct(), "lid")
     texts = materialize(texts, "texts", "zstd")
     release_shuffles(spark)
@@ -166,33 +175,17 @@ def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     judged = _judge(pairs, texts, similarity)
     links = _passed(judged)
     roots = materialize(connected_components(links, "joined"), "roots")
-    met = _joined(pairs, roots).groupBy("key", "lid", "n").agg(F.bool_or("joined").alias("joined"))
-    alone = materialize(met.where("not joined and n > 2").select("key", "lid"), "alone")
+    alone = _joined(pairs, roots).where("not joined and n > 2").select("key", "lid")
+    alone = materialize(alone, "alone")
     if alone.isEmpty():
-        discard(bands)
         return links
     near = members.join(alone.select("key").distinct(), "key", "left_semi").select("lid").distinct()
-    members = materialize(bucket_members(double_bands(bands, near)), "members")
-    discard(bands)
+    lids = alone.select("lid", F.lit(True).alias("alone")).distinct()
+    near = near.join(lids, "lid", "left").select("lid", F.coalesce("alone", F.lit(False)).alias("alone"))
     release_shuffles(spark)
-    left = members.join(alone.select("lid").distinct(), "lid", "left_semi").select("key", "lid", "n")
-    left = materialize(left, "left")
-    seen, done = judged, 0
-    for more in MEETINGS:
-        firsts = next_firsts(members, left, done, more)
-        pairs = _joined(left.join(firsts, "key").where("lid <> first"), roots)
-        pairs = materialize(pairs, "pairs")
-        fresh_pairs = pairs.where("not joined").join(seen, ["lid", "first"], "left_anti")
-        judged = _judge(fresh_pairs, texts, similarity)
-        links, seen = links.union(_passed(judged)), seen.union(judged)
-        found = pairs.join(seen, ["lid", "first"], "left")
-        like = F.col("joined") | F.coalesce("similar", F.lit(False))
-        # a line that is among these first ones itself may have met none
-        met = found.groupBy("key", "lid").agg(F.bool_or(like).alias("similar")).where("similar")
-        done += more
-        left = left.join(met, ["key", "lid"], "left_anti").where(F.col("n") > done)
-        left = materialize(left, "left")
-    return links
+    met = _joined(close_pairs(near, texts, similarity), roots).where("not joined").select("lid", "first")
+    met = materialize(met.join(judged, ["lid", "first"], "left_anti"), "pairs")
+    return links.union(_passed(_judge(met, texts, similarity)))
 
 
 def _passed(judged: DataFrame) -> DataFrame:

@@ -99,3 +99,24 @@ def test_repeated_rows_and_empty_table(spark):
     out = lines.dedup_lines(documents(spark, [row, row])).collect()
     assert [r.text for r in out] == [row[1]] * 2
     assert lines.dedup_lines(documents(spark, [])).collect() == []
+
+
+def shared_passage(n, twins):
+    """`n` lines with one passage and own words; `twins` of them get a near copy."""
+    passage = words(1, 24)
+    group = [f"{words(5000 + i, 3)} {passage} {words(9000 + i, 4)}" for i in range(n)]
+    near = []
+    for j in range(twins):
+        line = group[j * (n // twins)]
+        at, own = len(line) // 3, words(20000 + j, 8)[: j % 15 + 1]
+        near.append(line[:at] + own + line[at + len(own) :])
+    return group, near
+
+
+def test_twins_in_a_group_that_shares_a_passage(spark):
+    group, near = shared_passage(300, 100)
+    docs = [(i, line) for i, line in enumerate([*group, *near])]
+    expected = brute(docs)
+    assert sum(not text for text in expected.values()) >= 40
+    found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    assert found == expected
