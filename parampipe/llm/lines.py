@@ -17,7 +17,7 @@ from parampipe.llm.common import ID, connected_components, fresh, whole_text
 from parampipe.session import discard, materialize, release_shuffles
 
 # UTF-16 units of a shingle, and the least similarity of a link.
-SHINGLE = 12
+SHINGLE = 5
 SIMILARITY = 0.8
 # 8 bands of 3 minima: two lines at the threshold share a band with probability
 # 1 - (1 - 0.8 ** 3) ** 8 = 0.997, at 0.9 with more than 0.9999.

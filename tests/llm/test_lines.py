@@ -120,3 +120,21 @@ def test_twins_in_a_group_that_shares_a_passage(spark):
     assert sum(not text for text in expected.values()) >= 40
     found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
     assert found == expected
+
+
+def similar(a, b):
+    """Jaccard similarity over shingles of 5 ASCII characters."""
+    x, y = ({s[i : i + 5] for i in range(max(1, len(s) - 4))} for s in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_short_lines_with_one_character_replaced(spark):
+    docs = []
+    for i, size in enumerate((20, 40, 48, 49, 60, 88, 118)):
+        line = words(300 + i, 60)[:size]
+        middle = size // 2
+        docs += [(2 * i, line), (2 * i + 1, line[:middle] + "#" + line[middle + 1 :])]
+    found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    for (a, line), (b, near) in zip(docs[::2], docs[1::2]):
+        assert (similar(line, near) >= 0.8) == (len(line) >= 49)
+        assert (found[a], found[b]) == (line, "" if len(line) >= 49 else near)
