@@ -22,10 +22,6 @@ SIMILARITY = 0.8
 # 8 bands of 3 minima: two lines at the threshold share a band with probability
 # 1 - (1 - 0.8 ** 3) ** 8 = 0.997, at 0.9 with more than 0.9999.
 BANDS, ROWS = 8, 3
-# Lines of more shingles than LONG take the minima over every fourth shingle (by
-# hash); lines from LONG / 2 to LONG do both, so that similar lines always share one way.
-LONG = 128
-EVERY = 4
 
 _SPACE = " \t\x0b\x0c\r"
 _POSITIONS = 1 << 32
@@ -90,22 +86,12 @@ def blank(line: str | Column) -> Column:
 def band_rows(lines: DataFrame) -> DataFrame:
     """Columns (key, lid): the buckets of every line."""
     units = lines.select("lid", F.encode("line", "UTF-16BE").alias("u"))
-    sized = units.select("lid", "u", F.greatest(F.lit(0), (F.octet_length("u") / 2).cast("int") - SHINGLE).alias("last"))
-    ways = (
-        F.when(F.col("last") >= LONG, F.array(F.lit(1)))
-        .when(F.col("last") >= LONG // 2, F.array(F.lit(0), F.lit(1)))
-        .otherwise(F.array(F.lit(0)))
-    )
-    each = sized.withColumn("way", F.explode(ways))
-    hashed = each.select("lid", "way", "u", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("i")).select(
-        "lid", "way", F.xxhash64(F.substring(F.col("u"), F.col("i") * 2 + 1, F.lit(2 * SHINGLE))).alias("h")
-    )
-    taken = hashed.where((F.col("way") == 0) | (F.col("h").bitwiseAND(F.lit(EVERY - 1)) == 0))
+    last = F.greatest(F.lit(0), (F.octet_length("u") / 2).cast("int") - SHINGLE)
+    each = units.select("lid", "u", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    hashed = each.select("lid", F.xxhash64(F.substring(F.col("u"), F.col("i") * 2 + 1, F.lit(2 * SHINGLE))).alias("h"))
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{j}") for j, c in enumerate(_masks(BANDS * ROWS))]
-    signed = taken.groupBy("lid", "way").agg(*minima)
-    keys = [
-        F.xxhash64(F.lit(b), "way", *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)
-    ]
+    signed = hashed.groupBy("lid").agg(*minima)
+    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
     return signed.select("lid", F.explode(F.array(*keys)).alias("key"))
 
 

@@ -138,3 +138,11 @@ def test_short_lines_with_one_character_replaced(spark):
     for (a, line), (b, near) in zip(docs[::2], docs[1::2]):
         assert (similar(line, near) >= 0.8) == (len(line) >= 49)
         assert (found[a], found[b]) == (line, "" if len(line) >= 49 else near)
+
+
+def test_long_lines_of_few_shingles(spark):
+    repeated = [(c * 60, c * 150, c * 160) for c in "-=*~.+_#01"]
+    rules = [("ab " * 30, "ab " * 60, "ab " * 200), ("+---" * 20, "+---" * 50, "+---" * 70)]
+    docs = [(i, "\n".join(group)) for i, group in enumerate(repeated + rules)]
+    found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    assert found == {i: text.split("\n")[0] for i, text in docs}
