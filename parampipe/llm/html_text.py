@@ -61,7 +61,10 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# one attribute after the other, so that no value is taken for a name
+_ATTRIBUTE = re.compile(
+    r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+)))?"
+)
 _WORD = re.compile(r"[a-z0-9]+")
 
 

@@ -29,6 +29,33 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "attributes, kept",
+    [
+        ('style="overflow:hidden"', True),
+        ('title="the hidden form"', True),
+        ("title='the hidden form'", True),
+        ("data-id='share' data-role=form data-class=nav", True),
+        ('title = "a id=share" lang=en', True),
+        ("data-hidden aria-hidden=false", True),
+        ("lang=en HIDDEN", False),
+        ('title="x" hidden=""', False),
+        ("data-id=x id = 'share'", False),
+        ("title=a/class role='form'", False),
+        ('class="a"aria-hidden="true"', False),
+    ],
+)
+def test_names_are_not_looked_for_in_values(attributes, kept):
+    page = f"<body><section {attributes}><p>The text of it.</p></section></body>"
+    assert html_text._is_dropped("section", attributes) is not kept
+    assert html_text.main_text(page) == ("The text of it." if kept else "")
+
+
+def test_article_in_a_container_with_a_style():
+    page = f"<body>{MENU}<div style='overflow:hidden'><article title='the hidden form'>{ARTICLE}</article></div></body>"
+    assert html_text.main_text(page) == TEXT
+
+
 def test_article_without_marks_beats_links():
     links = "".join(f"<li><a href='/{i}'>Some link text {i}</a></li>" for i in range(30))
     body = "".join(f"<p>{'plain words of an article ' * 12}{i}.</p>" for i in range(6))
