@@ -116,6 +116,7 @@ def close_pairs(near: DataFrame, texts: DataFrame, similarity: float) -> DataFra
     each = sets.select("lid", "alone", F.size("s").alias("n"), F.explode("s").alias("h"))
     counts = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     counts = materialize(counts, "counts")
+    release_shuffles(near.sparkSession)
     # a shingle that only one line has comes before these and needs no row
     order = F.array_sort(F.collect_list(F.struct("c", "h")))
     shared = each.join(counts, "h").groupBy("lid", "alone", "n").agg(order.alias("s"))
@@ -127,6 +128,8 @@ def close_pairs(near: DataFrame, texts: DataFrame, similarity: float) -> DataFra
 
     small = early(2 * similarity / (1 + similarity)).alias("small")
     postings = materialize(placed.where(early(similarity)).select("*", small), "postings")
+    discard(counts)
+    release_shuffles(near.sparkSession)
     a, b = (postings.select("h", *[F.col(c).alias(f"{c}_{x}") for c in ("lid", "alone", "n", "i", "small")]) for x in "ab")
     common = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
     on = (
@@ -154,11 +157,13 @@ def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     release_shuffles(spark)
     members = materialize(bucket_members(bands), "members")
     discard(bands)
-    texts = lines.select("lid", "line").join(members.select("lid").distinct(), "lid")
+    size = F.size(shingle_hashes(F.col("line"))).alias("size")
+    texts = lines.join(members.select("lid").distinct(), "lid").select("lid", "line", size)
     texts = materialize(texts, "texts", "zstd")
     release_shuffles(spark)
     pairs = members.where("lid <> first")
     judged = _judge(pairs, texts, similarity)
+    release_shuffles(spark)
     links = _passed(judged)
     roots = materialize(connected_components(links, "joined"), "roots")
     alone = _joined(pairs, roots).where("not joined and n > 2").select("key", "lid")
@@ -168,6 +173,7 @@ def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     near = members.join(alone.select("key").distinct(), "key", "left_semi").select("lid").distinct()
     lids = alone.select("lid", F.lit(True).alias("alone")).distinct()
     near = near.join(lids, "lid", "left").select("lid", F.coalesce("alone", F.lit(False)).alias("alone"))
+    near = materialize(near, "near")
     release_shuffles(spark)
     met = _joined(close_pairs(near, texts, similarity), roots).where("not joined").select("lid", "first")
     met = materialize(met.join(judged, ["lid", "first"], "left_anti"), "pairs")
@@ -188,9 +194,11 @@ def _joined(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _judge(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = pairs.select("lid", "first").distinct()
-    a = texts.select("lid", F.col("line").alias("line_a"))
-    b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"))
-    similar = jaccard(F.col("line_a"), F.col("line_b")) >= similarity
+    a = texts.select("lid", F.col("line").alias("line_a"), F.col("size").alias("size_a"))
+    b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"), F.col("size").alias("size_b"))
+    # sets of sizes too far apart cannot be similar, and need not be compared
+    far = F.least("size_a", "size_b") < F.greatest("size_a", "size_b") * similarity - 1e-6
+    similar = F.when(far, F.lit(False)).otherwise(jaccard(F.col("line_a"), F.col("line_b")) >= similarity)
     found = both.join(a, "lid").join(b, "first").select("lid", "first", similar.alias("similar"))
     return materialize(found, "judged")
 
