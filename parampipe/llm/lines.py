@@ -194,11 +194,14 @@ def _joined(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _judge(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = pairs.select("lid", "first").distinct()
-    a = texts.select("lid", F.col("line").alias("line_a"), F.col("size").alias("size_a"))
-    b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"), F.col("size").alias("size_b"))
-    # sets of sizes too far apart cannot be similar, and need not be compared
-    far = F.least("size_a", "size_b") < F.greatest("size_a", "size_b") * similarity - 1e-6
-    similar = F.when(far, F.lit(False)).otherwise(jaccard(F.col("line_a"), F.col("line_b")) >= similarity)
+    sizes = texts.select("lid", F.col("size").alias("size_a"))
+    others = texts.select(F.col("lid").alias("first"), F.col("size").alias("size_b"))
+    # sets of sizes too far apart cannot be similar, and their texts need not meet
+    near = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-6
+    both = both.join(sizes, "lid").join(others, "first").where(near).select("lid", "first")
+    a = texts.select("lid", F.col("line").alias("line_a"))
+    b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"))
+    similar = jaccard(F.col("line_a"), F.col("line_b")) >= similarity
     found = both.join(a, "lid").join(b, "first").select("lid", "first", similar.alias("similar"))
     return materialize(found, "judged")
 
