@@ -175,8 +175,9 @@ def _density(node: Node, body_links: float) -> float:
     return chars / tags * (math.log(ratio) / math.log(base) if base > 1 else math.log(ratio + 1))
 
 
-def _select(root: Node, nodes: list[Node]) -> list[Node]:
-    """The nodes whose subtrees are the main text, in page order."""
+def _select(root: Node, nodes: list[Node]) -> list[Node | str]:
+    """The nodes whose subtrees are the main text, and text directly in a node around
+    the best one, in page order."""
     live = [n for n in nodes if not n.dropped and n.chars]
     if not live:
         return []
@@ -201,21 +202,22 @@ def _select(root: Node, nodes: list[Node]) -> list[Node]:
     while node is not None:
         path.add(id(node))
         node = node.parent
-    chosen: list[Node] = []
+    chosen: list[Node | str] = []
     # an explicit stack: a page may nest deeper than Python calls may
-    stack = [root]
+    stack: list[Node | str] = [root]
     while stack:
         node = stack.pop()
-        if node is best:
+        # no node of the path is below the threshold, which is the least of theirs
+        if isinstance(node, str) or node is best:
             chosen.append(node)
         elif id(node) in path:
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+            stack.extend(reversed(node.children))
         elif not node.dropped and node.density >= threshold and node.link_chars * 2 < node.chars:
             chosen.append(node)
     return chosen
 
 
-def _blocks(chosen: list[Node]) -> list[str]:
+def _blocks(chosen: list[Node | str]) -> list[str]:
     blocks: list[str] = []
     pieces: list[str] = []
 

@@ -63,6 +63,13 @@ def test_article_without_marks_beats_links():
     assert text.count("\n\n") == 5 and "Some link" not in text
 
 
+def test_text_directly_around_the_best_node():
+    body = "".join(f"<p>{'plain words of a text ' * 12}{i}.</p>" for i in range(6))
+    page = f"<body>{MENU}<div>Intro &amp; text<br>more text<div>{body}</div>last words</div></body>"
+    blocks = html_text.main_text(page).split("\n\n")
+    assert blocks[:2] + blocks[-1:] == ["Intro & text", "more text", "last words"] and len(blocks) == 9
+
+
 def test_deep_and_broken_pages():
     assert html_text.main_text("<div>" * 20000 + "deep") == "deep"
     assert html_text.main_text("<" * 5000)
