@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parampipe.llm import bpe, chat, html_text, kdtree, lines, mixing, ngram, quality, simhash, topk
+from parampipe.llm import (
+    bpe,
+    chat,
+    html_text,
+    kdtree,
+    lines,
+    mixing,
+    ngram,
+    periodic,
+    quality,
+    simhash,
+    topk,
+    toxicity,
+    whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +86,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_repeated_tail(table(spark, sf_dir, "documents"))
+    return periodic.run_digests(periodic.periodic_runs(docs))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).drop("text")
+
+
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return rows.withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_lines": op2_lines,
@@ -83,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_runs": op11_runs,
+    "op12_toxicity": op12_toxicity,
+    "op13_whiten": op13_whiten,
 }
 
 ORACLE: dict[str, str] = {
