@@ -201,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BUCKET_BITS) -> Model:
     limits = sample_limits(marks)
     sampled = F.col("h") <= F.when(F.col("label") == 1, F.lit(limits[1])).otherwise(F.lit(limits[0]))
     texts = docs.select(F.col(ID).cast("long").alias(ID), whole_text().alias("text")).where(~held_out(F.col(ID)))
-    rows = texts.join(marks, ID).withColumn("sampled", sampled)
+    # labels grow with the documents, so they are not broadcast however few they are here
+    rows = texts.join(marks.hint("merge"), ID).withColumn("sampled", sampled)
     parts = materialize(count_parts(rows, bits), "grams", "zstd")
     counts = parts.where("bucket is not null").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     # one row for each bucket at most
