@@ -1,38 +1,49 @@
-"""Fuzzy line deduplication by MinHash; functions of Spark SQL only.
+"""Fuzzy line deduplication by MinHash.
 
 Equal lines are one line first. Every different line gets a signature over the
 hashes of its character shingles; bands of the signature name the buckets in
 which lines meet their bucket's first line; exact Jaccard similarity decides who
 is linked; of each component of links one line stays, the first in document order.
+
+Signatures and similarities are worked out by numpy in tasks: with SQL functions, a row
+for every shingle and an aggregate for every minimum, 24 minima alone took 336 CPU
+seconds a GB. All else is SQL functions.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parampipe.llm.common import ID, connected_components, fresh, whole_text
+from parampipe.llm.common import ID, connected_components, fresh, ship_with_tasks, text_hash, whole_text
 from parampipe.session import discard, materialize, release_shuffles
 
+ship_with_tasks(__name__)
+
 # UTF-16 units of a shingle, and the least similarity of a link.
 SHINGLE = 5
 SIMILARITY = 0.8
-# 8 bands of 3 minima: two lines at the threshold share a band with probability
-# 1 - (1 - 0.8 ** 3) ** 8 = 0.997, at 0.9 with more than 0.9999.
-BANDS, ROWS = 8, 3
+# 20 bands of 6 minima: two lines at the threshold share a band with probability
+# 1 - (1 - 0.8 ** 6) ** 20 = 0.998, at 0.9 with more than 0.9999999, at 0.2 with 0.001.
+BANDS, ROWS = 20, 6
+# Bands whose buckets are formed at a time, which bounds the disk their shuffle takes.
+WAVE = 5
+# Shingles hashed at a time: what a processor's cache holds.
+UNITS = 1 << 17
 
 _SPACE = " \t\x0b\x0c\r"
 _POSITIONS = 1 << 32
 
 
-def _masks(n: int) -> list[int]:
-    """Fixed 64-bit constants with different leading bits."""
+def _multipliers(n: int) -> list[int]:
+    """Fixed odd 32-bit constants."""
     draw = random.Random(20)
-    lead = max(1, (n - 1).bit_length())
-    values = [(j << (64 - lead)) | draw.getrandbits(64 - lead) for j in range(n)]
-    return [v - (1 << 64) if v >> 63 else v for v in values]
+    return [draw.getrandbits(32) | 1 for _ in range(n)]
 
 
 def shingle_hashes(line: Column, size: int = SHINGLE) -> Column:
@@ -46,16 +57,37 @@ def shingle_hashes(line: Column, size: int = SHINGLE) -> Column:
     return F.array_distinct(_with(F.encode(line, "UTF-16BE"), of))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Exact similarity of the shingle sets of two lines."""
+def shingle_set(line: str) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a line."""
+    units = np.frombuffer(line.encode("utf-16-le", "surrogatepass"), dtype=np.uint16)
+    return np.unique(_shingles(units, max(1, len(units) - SHINGLE + 1)))
+
+
+def _shingles(units: np.ndarray, n: int) -> np.ndarray:
+    h = np.zeros(n, dtype=np.uint64)
+    for j in range(min(SHINGLE, len(units))):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + (units[j : n + j] + np.uint64(1))
+    return _mixed(h)
+
+
+def judge_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Columns (lid, first, similar) from (lid, first, line_a, line_b): exact Jaccard similarity."""
 
-    def of(sets: Column) -> Column:
-        return _with(
-            F.size(F.array_intersect(sets["a"], sets["b"])),
-            lambda common: common / (F.size(sets["a"]) + F.size(sets["b"]) - common),
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, own = None, None
+        for batch in batches:
+            verdicts = []
+            for first, a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if first != known:
+                    # pairs come sorted by their first line where a merge join brought them
+                    known, own = first, shingle_set(b)
+                other = shingle_set(a)
+                common = len(np.intersect1d(own, other, assume_unique=True))
+                verdicts.append(common >= (len(own) + len(other) - common) * similarity)
+            columns = [batch.column(0), batch.column(1), pa.array(verdicts, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lid", "first", "similar"])
 
-    return _with(F.struct(shingle_hashes(a).alias("a"), shingle_hashes(b).alias("b")), of)
+    return pairs.select("lid", "first", "line_a", "line_b").mapInArrow(run, "lid long, first long, similar boolean")
 
 
 def _with(value: Column, use) -> Column:
@@ -83,16 +115,63 @@ def blank(line: str | Column) -> Column:
     return F.btrim(line if isinstance(line, Column) else F.col(line), F.lit(_SPACE)) == ""
 
 
-def band_rows(lines: DataFrame) -> DataFrame:
-    """Columns (key, lid): the buckets of every line."""
-    units = lines.select("lid", F.encode("line", "UTF-16BE").alias("u"))
-    last = F.greatest(F.lit(0), (F.octet_length("u") / 2).cast("int") - SHINGLE)
-    each = units.select("lid", "u", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    hashed = each.select("lid", F.xxhash64(F.substring(F.col("u"), F.col("i") * 2 + 1, F.lit(2 * SHINGLE))).alias("h"))
-    minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{j}") for j, c in enumerate(_masks(BANDS * ROWS))]
-    signed = hashed.groupBy("lid").agg(*minima)
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return signed.select("lid", F.explode(F.array(*keys)).alias("key"))
+def band_keys(lines: list[str]) -> np.ndarray:
+    """One row of `BANDS` keys for every line; lines have a shingle's length at least."""
+    raw = [line.encode("utf-16-le", "surrogatepass") for line in lines]
+    sizes = np.array([len(r) // 2 for r in raw])
+    minima = np.empty((BANDS * ROWS, len(lines)), dtype=np.uint32)
+    first, ends = 0, np.cumsum(sizes)
+    while first < len(lines):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + UNITS, side="right")))
+        _minima(b"".join(raw[first:last]), sizes[first:last], minima[:, first:last])
+        first = last
+    keys = np.empty((len(lines), BANDS), dtype=np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(lines), band, dtype=np.uint64)
+        for row in minima[band * ROWS : (band + 1) * ROWS]:
+            key = _mixed((key ^ row) * np.uint64(0x9E3779B97F4A7C15))
+        keys[:, band] = key
+    return keys.view(np.int64)
+
+
+def _minima(raw: bytes, sizes: np.ndarray, out: np.ndarray) -> None:
+    """The least value of every hash function over the shingles of every line."""
+    units = np.frombuffer(raw, dtype=np.uint16)
+    n = len(units) - SHINGLE + 1
+    # one entry more, as the last line's shingles end with the array
+    hashes = np.zeros(n + 1, dtype=np.uint32)
+    hashes[:n] = _shingles(units, n) >> np.uint64(32)
+    ends = np.cumsum(sizes)
+    # shingles that run on into the next line lie between a line's last one and its end
+    cuts = np.stack([ends - sizes, ends - SHINGLE + 1], axis=1).ravel()
+    values = np.empty_like(hashes)
+    for k, factor in enumerate(_multipliers(len(out))):
+        np.multiply(hashes, np.uint32(factor), out=values)
+        out[k] = np.minimum.reduceat(values, cuts)[::2]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """Columns (lid, k0, k1, ...): the band keys of every line that has a whole shingle.
+
+    A shorter line is like none but its equals, and equal lines are one line here.
+    """
+    names = ["lid", *(f"k{b}" for b in range(BANDS))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = band_keys(batch.column(1).to_pylist())
+            columns = [pa.array(np.ascontiguousarray(keys[:, b])) for b in range(BANDS)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+
+    whole = lines.where(F.octet_length(F.encode("line", "UTF-16BE")) >= 2 * SHINGLE).select("lid", "line")
+    return whole.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def bucket_members(bands: DataFrame) -> DataFrame:
@@ -153,10 +232,18 @@ def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     No bucket is ever held in one place.
     """
     spark = lines.sparkSession
-    bands = materialize(band_rows(lines), "bands")
+    signed = materialize(signatures(lines), "signed")
     release_shuffles(spark)
-    members = materialize(bucket_members(bands), "members")
-    discard(bands)
+    waves = []
+    for first in range(0, BANDS, WAVE):
+        keys = F.array(*[f"k{b}" for b in range(first, min(BANDS, first + WAVE))])
+        bands = signed.select("lid", F.explode(keys).alias("key"))
+        waves.append(materialize(bucket_members(bands), "members"))
+        release_shuffles(spark)
+    discard(signed)
+    members = waves[0]
+    for wave in waves[1:]:
+        members = members.union(wave)
     size = F.size(shingle_hashes(F.col("line"))).alias("size")
     texts = lines.join(members.select("lid").distinct(), "lid").select("lid", "line", size)
     texts = materialize(texts, "texts", "zstd")
@@ -201,13 +288,11 @@ def _judge(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = both.join(sizes, "lid").join(others, "first").where(near).select("lid", "first")
     a = texts.select("lid", F.col("line").alias("line_a"))
     b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"))
-    similar = jaccard(F.col("line_a"), F.col("line_b")) >= similarity
-    found = both.join(a, "lid").join(b, "first").select("lid", "first", similar.alias("similar"))
-    return materialize(found, "judged")
+    return materialize(judge_pairs(both.join(a, "lid").join(b, "first"), similarity), "judged")
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Columns (owner, kept): (position, hash) of the lines that stay, per doc_id."""
+    """Columns (owner, pos, mark): doc_id, position and hash of every line that stays."""
     lines = materialize(different_lines(docs), "lines", "zstd")
     release_shuffles(docs.sparkSession)
     roots = connected_components(similar_lines(lines, similarity), "lines")
@@ -216,40 +301,63 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     members = roots.join(places, F.col("node") == F.col("lid"))
     stays = members.groupBy("root").agg(F.min(place).alias("p")).select(F.col("p.lid").alias("stay"))
     gone = roots.join(stays, F.col("node") == F.col("stay"), "left_anti").select(F.col("node").alias("lid"))
-    left = places.join(gone, "lid", "left_anti")
-    kept = left.groupBy("owner").agg(F.collect_list(F.struct("pos", "mark")).alias("kept"))
-    kept = materialize(kept, "kept")
+    kept = materialize(places.join(gone, "lid", "left_anti").drop("lid"), "kept")
     discard(lines)
     release_shuffles(docs.sparkSession)
     return kept
 
 
+def _with_kept(rows: DataFrame, key: str, kept: DataFrame, names: list[str]) -> DataFrame:
+    """`rows` with the text of the lines that stay, and the counts of lines under `names`.
+
+    `kept` has the positions of each row's lines under the same `key`.
+    """
+    stay, parts = (fresh(rows, n) for n in ("_stay", "_parts"))
+    kept = kept.withColumnsRenamed({"stay": stay, "key": key})
+    joined = rows.withColumn(parts, F.split(whole_text(), "\n")).join(kept, key, "left")
+    every = F.sequence(F.lit(0), F.size(parts) - 1)
+    blanks = F.filter(every, lambda i: blank(F.element_at(F.col(parts), i + 1)))
+    order = F.array_sort(F.array_union(F.coalesce(stay, F.array().cast("array<int>")), blanks))
+    text = F.array_join(F.transform(order, lambda i: F.element_at(F.col(parts), i + 1)), "\n")
+    counted = joined.withColumn(names[0], F.size(parts)).withColumn(names[1], F.size(order))
+    return counted.withColumn("text", text).drop(stay, parts, key)
+
+
+def _claims(rows: DataFrame, key: str, kept: DataFrame) -> DataFrame:
+    """Columns (key, stay) for rows that share an id: of the rows that have a kept line at
+    its place, the one with the least `key` keeps it."""
+    own = rows.select(F.col(key).alias("key"), F.col(ID).cast("long").alias("owner"), F.posexplode(F.split(whole_text(), "\n")).alias("pos", "line"))
+    own = own.select("key", "owner", "pos", F.xxhash64("line").alias("mark")).alias("o")
+    same = (F.col("o.owner").eqNullSafe(F.col("k.owner"))) & (F.col("o.pos") == F.col("k.pos")) & (F.col("o.mark") == F.col("k.mark"))
+    held = own.join(kept.alias("k"), same).groupBy("o.owner", "o.pos", "o.mark").agg(F.min("key").alias("key"))
+    return held.groupBy("key").agg(F.collect_list("pos").alias("stay"))
+
+
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of `docs` with the lines that stay, and the column ``n_lines`` of before
     (under a free name if there is one), ``n_kept`` likewise.
 
     Texts are parted at ``\\n``. Blank lines stay where they are. Of equal and similar
-    lines the one in the document of the least doc_id stays, at its first position;
-    rows that share a doc_id count as one document, rows without one as a document
-    that comes last. Null texts become empty, as does a text whose lines all go.
+    lines one stays: that of the document of the least doc_id, at its first position, and
+    a document without an id comes last. Of rows that share an id, or have none, one row
+    keeps the line. Null texts become empty, as does a text whose lines all go.
     An empty table stays empty; other columns, ``n_chars`` too, stay as they are.
     """
     kept = kept_lines(docs, similarity)
-    owner, stay, parts = (fresh(docs, n) for n in ("_owner", "_kept", "_parts"))
-    kept = kept.select(F.col("owner").alias(owner), F.col("kept").alias(stay))
-    rows = docs.withColumn(parts, F.split(whole_text(), "\n"))
-    joined = rows.join(kept, rows[ID].cast("long").eqNullSafe(kept[owner]), "left")
-    every = F.sequence(F.lit(0), F.size(parts) - 1)
-    blanks = F.filter(every, lambda i: blank(F.element_at(F.col(parts), i + 1)))
-
-    def own(k: Column) -> Column:
-        # rows that share a doc_id can differ in what they have at a position
-        line = F.get(F.col(parts), k["pos"])
-        return line.isNotNull() & (F.xxhash64(line) == k["mark"])
-
-    mine = F.coalesce(F.transform(F.filter(stay, own), lambda k: k["pos"]), F.array().cast("array<int>"))
-    order = F.array_sort(F.array_union(mine, blanks))
-    text = F.array_join(F.transform(order, lambda i: F.element_at(F.col(parts), i + 1)), "\n")
-    n_lines, n_kept = fresh(docs, "n_lines"), fresh(docs, "n_kept")
-    counted = joined.withColumn(n_lines, F.size(parts)).withColumn(n_kept, F.size(order)).withColumn("text", text)
-    return counted.select(*docs.columns, n_lines, n_kept)
+    key, names = fresh(docs, "_key"), [fresh(docs, "n_lines"), fresh(docs, "n_kept")]
+    rows = docs.withColumn(key, F.col(ID).cast("long"))
+    owners = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    shared = owners.where((F.col("n") > 1) | F.col(key).isNull()).select(F.col(key).alias("shared"))
+    shared = materialize(shared, "shared")
+    columns = [*docs.columns, *names]
+    if shared.isEmpty():
+        single = kept.groupBy(F.col("owner").alias("key")).agg(F.collect_list("pos").alias("stay"))
+        return _with_kept(rows, key, single, names).select(*columns)
+    same = F.col(key).eqNullSafe(F.col("shared"))
+    alone = kept.join(shared, kept["owner"].eqNullSafe(F.col("shared")), "left_anti")
+    single = alone.groupBy(F.col("owner").alias("key")).agg(F.collect_list("pos").alias("stay"))
+    numbered = rows.join(shared, same, "left_semi").withColumn(key, F.monotonically_increasing_id())
+    numbered = materialize(numbered, "numbered", "zstd")
+    found = _with_kept(rows.join(shared, same, "left_anti"), key, single, names)
+    again = _with_kept(numbered, key, _claims(numbered, key, kept), names)
+    return found.select(*columns).unionByName(again.select(*columns))
