@@ -13,6 +13,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parampipe.functions import date_texts as D
+
 # The three placeholder forms.
 PLACEHOLDER_PATTERNS = (
     r"(?<!:):([A-Za-z_][A-Za-z0-9_]*)",
@@ -157,12 +159,6 @@ _ANY = rf"(?:\{{#{_NAME}\}}|\$\{{{_NAME}\}}|(?<!:):{_NAME}\b)"
 _TABLE = re.compile(
     rf"\b(FROM|JOIN|INTO|UPDATE|TABLE)(\s+)((?:[\w.]|{_ANY})*{_ANY}(?:[\w.]|{_ANY})*)", re.IGNORECASE
 )
-_MONTH_OF = r"TO_CHAR\s*\(\s*([\w.\"`]+)\s*,\s*'YYYYMM'\s*\)"
-_MONTH_TEST = re.compile(rf"{_MONTH_OF}\s*(>=|<=|=|<|>)\s*:({_NAME})\b", re.IGNORECASE)
-_MONTH_BETWEEN = re.compile(
-    rf"{_MONTH_OF}\s+BETWEEN\s+:({_NAME})\s+AND\s+:({_NAME})\b", re.IGNORECASE
-)
-_MONTH_TEXT = re.compile(_MONTH_OF, re.IGNORECASE)
 _EQUAL_BEFORE = re.compile(r"(?<![<>!=])=\s*$")
 _EQUAL_JOINED = re.compile(r"(?<![<>!=])=\s*concat\([^()]*\)")
 _EQUAL_AFTER = re.compile(r"\s*=(?!=)")
@@ -261,54 +257,31 @@ def table_names(statement: str) -> list[str]:
     return sorted({n for text in found for n in _MARKER.findall(code_of(text))})
 
 
-def month_names(statement: str) -> list[str]:
-    """Parameters that are compared with a month text."""
-    tests = {m.group(3) for m in _MONTH_TEST.finditer(statement)}
-    return sorted(tests.union(*[m.groups()[1:] for m in _MONTH_BETWEEN.finditer(statement)], ()))
-
-
-def month_tests(statement: str) -> list[tuple[str, str]]:
-    """(column, parameter) of every month equality in the statement."""
-    return [(c, n) for c, sign, n in _MONTH_TEST.findall(statement) if sign == "="]
-
-
-def month_ranges(statement: str) -> list[tuple[str, str, str]]:
-    """(column, first, last) of every month BETWEEN in the statement."""
-    return _MONTH_BETWEEN.findall(statement)
-
-
-def rewrite_months(statement: str, test, between) -> str:
-    """Replace month tests by `test(column, sign, name)`, month ranges by
-    `between(column, first, last)`, and other month texts by the equivalent integer
-    arithmetic (``YYYYMM`` is no pattern Spark accepts)."""
-    text = _MONTH_BETWEEN.sub(lambda m: between(*m.groups()), statement)
-    text = _MONTH_TEST.sub(lambda m: test(*m.groups()), text)
-    return _MONTH_TEXT.sub(lambda m: month_key_sql(m.group(1)), text)
-
-
-def month_key_sql(column: str) -> str:
-    return f"lpad(cast(year({column}) * 100 + month({column}) as string), 6, '0')"
-
-
 def replace_marker(statement: str, name: str, replacement: str) -> str:
     return in_code(statement, lambda t: re.sub(rf"(?<!:):{name}\b", lambda _m: replacement, t))
 
 
 def unequal_markers(statement: str) -> list[str]:
-    """Parameters used otherwise than in an equality or a month range that every row
+    """Parameters used otherwise than in an equality or a range of date texts that every row
     must meet: the statement cannot be joined with a table of their values."""
-    text = _EQUAL_JOINED.sub(" ", _MONTH_BETWEEN.sub(" ", statement))
+    code = "".join(t if kind == "code" else t.replace(":", " ") for kind, t in pieces(statement))
+    text = _EQUAL_JOINED.sub(" ", D.without_ranges(code))
     loose = set()
     for match in _MARKER.finditer(text):
         before, after = text[: match.start()], text[match.end() :]
         if not (_EQUAL_BEFORE.search(before) or _EQUAL_AFTER.match(after)):
             loose.add(match.group(1))
     names = marker_names(statement)
-    if _NOT_CONJUNCTIVE.search(code_of(statement)):
+    if has_choices(statement):
         return names
     return sorted(loose.intersection(names))
 
 
+def has_choices(statement: str) -> bool:
+    """The statement has a word that makes a condition one of several, or a set operation."""
+    return bool(_NOT_CONJUNCTIVE.search(code_of(statement)))
+
+
 def keeps_rows_apart(statement: str) -> bool:
     """Every result row comes from one row of one table, so cases may be cut into months."""
     return not _MANY_TO_ONE.search(code_of(statement))

@@ -367,6 +367,88 @@ def suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What a parameter selects inside a block of the statement, one template for each kind.
+NESTED = {
+    "in": """select o_orderkey as id, o_custkey as n from orders
+        where o_custkey in (select c_custkey from customer where c_mktsegment = :segment)""",
+    "in_total": """select o_custkey as id, count(*) as n from orders
+        where TO_CHAR(o_orderdate, 'YYYYMM') = :month and o_custkey in
+          (select c_custkey from customer where c_mktsegment = ':segment') group by o_custkey;""",
+    "exists": """select o.o_orderkey as id, o.o_custkey as n from orders o
+        where TO_CHAR(o.o_orderdate, 'YYYYMM') = :month and exists
+          (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = :flag)""",
+    "not_exists": """select o_orderkey as id, o_custkey as n from orders o
+        where TO_CHAR(o_orderdate, 'YYYYMM') = :month and not exists
+          (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = :flag)""",
+    "scalar": """select o_orderkey as id, o_custkey as n from orders
+        where TO_CHAR(o_orderdate, 'YYYYMM') = :month and o_totalprice >
+          (select avg(o_totalprice) from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :month)""",
+    "cte": """with some as (select c_custkey, c_nationkey from customer where c_mktsegment = :segment),
+        totals as (select c_nationkey, count(*) as customers from some group by c_nationkey)
+        select n_nationkey as id, t.customers as n from nation join totals t on t.c_nationkey = n_nationkey""",
+}
+
+
+def extract_subquery_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters inside IN, EXISTS, scalar and WITH blocks, all cases in one pass."""
+    register(spark, sf_dir, "orders", "customer", "lineitem", "nation")
+    params = {"segment": "BUILDING,MACHINERY,AUTOMOBILE", "month": "199501:199612", "flag": "R,N"}
+    united = None
+    for kind, template in NESTED.items():
+        rows = X.extract_cases(spark, template, params)
+        given = F.concat_ws("/", *[c for c in rows.columns if c in params])
+        one = rows.select(F.lit(kind).alias("kind"), given.alias("params"), F.col("id").cast("bigint").alias("id"), F.col("n").cast("bigint").alias("n"))
+        united = one if united is None else united.unionByName(one)
+    return united
+
+
+def extract_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges and one-sided tests for a case of every day or price, without a nested loop."""
+    register(spark, sf_dir, "orders", "lineitem")
+    days = spark.sql("select explode(sequence(date'1995-01-01', date'1997-09-26')) as d")
+    weeks = days.select(F.date_format("d", "yyyy-MM-dd").alias("a"), F.date_format(F.date_add("d", 7), "yyyy-MM-dd").alias("b"))
+    week = X.extract_cases(
+        spark, "select l_orderkey from lineitem where l_shipdate >= to_date(:a) and l_shipdate < to_date(:b)", {}, cases=weeks
+    )
+    prices = spark.range(1000).select((F.col("id") * 350).cast("string").alias("price"))
+    price = X.extract_cases(spark, "select o_orderkey from orders where o_totalprice >= cast(:price as double)", {}, cases=prices)
+    months = X.extract_cases(
+        spark, "select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') <= :m", {"m": "199501:199712"}
+    )
+    return (
+        week.groupBy(F.lit("week").alias("kind"), F.col("a").alias("given")).agg(F.count(F.lit(1)).alias("n"))
+        .unionByName(price.groupBy(F.lit("price").alias("kind"), F.col("price").alias("given")).agg(F.count(F.lit(1)).alias("n")))
+        .unionByName(months.groupBy(F.lit("month").alias("kind"), F.col("m").alias("given")).agg(F.count(F.lit(1)).alias("n")))
+    )
+
+
+def extract_date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years, days, hours and truncated dates as tests of a column's range."""
+    register(spark, sf_dir, "orders", "events")
+    forms = {
+        "year": "select o_orderkey as id, o_orderdate as moment from orders where extract(year from o_orderdate) = :p",
+        "dashed": "select o_orderkey as id, o_orderdate as moment from orders where TO_CHAR(o_orderdate, 'YYYY-MM') = :p",
+        "day": "select o_orderkey as id, o_orderdate as moment from orders where TO_CHAR(o_orderdate, 'YYYYMMDD') = :p",
+        "trunc": "select o_orderkey as id, o_orderdate as moment from orders where trunc(o_orderdate, 'MM') = to_date(:p, 'YYYYMM')",
+        "hour": "select event_id as id, ts as moment from events where TO_CHAR(ts, 'YYYYMMDD HH24') = :p",
+    }
+    values = {
+        "year": ["1995", "1997", "1999"],
+        "dashed": ["1995-03", "1996-12"],
+        "day": ["19950301", "19950715", "19960229"],
+        "trunc": ["199503", "199802"],
+        "hour": ["20240103 05", "20240110 23"],
+    }
+    united = None
+    for kind, template in forms.items():
+        one = X.extract(spark, template, {"p": values[kind][0]}).withColumn("p", F.lit(values[kind][0]))
+        cases = X.extract_cases(spark, template, {"p": ",".join(values[kind])})
+        for way, rows in (("one", one), ("many", cases)):
+            rows = rows.select(F.lit(f"{kind} {way}").alias("kind"), "p", "id", "moment")
+            united = rows if united is None else united.unionByName(rows)
+    return united
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -390,6 +472,9 @@ QUERIES = {
         extract_literal_params,
         extract_table_param,
         extract_between,
+        extract_subquery_params,
+        extract_ranges,
+        extract_date_texts,
         cases_product,
         cases_zip,
         empty_extract,
@@ -459,6 +544,39 @@ ORACLE = {
     "extract_between": f"""select a, b, o_orderkey from orders
         join (select unnest(range(199601, 199613))::varchar as a) on {_MONTH} >= a
         join (values ('199604'), ('199609')) v(b) on {_MONTH} <= b""",
+    "extract_subquery_params": f"""with s as (select unnest(['BUILDING', 'MACHINERY', 'AUTOMOBILE']) as segment),
+        f as (select unnest(['R', 'N']) as flag),
+        o as (select *, {_MONTH} as month from orders), p as (select * from o where month between '199501' and '199612'),
+        a as (select month, avg(o_totalprice) as price from p group by month)
+        select 'in' as kind, c_mktsegment as params, o_orderkey as id, o_custkey as n
+          from orders join customer on c_custkey = o_custkey join s on segment = c_mktsegment
+        union all select 'in_total', month || '/' || c_mktsegment, o_custkey, count(*)
+          from p join customer on c_custkey = o_custkey join s on segment = c_mktsegment group by all
+        union all select 'exists', flag || '/' || month, o_orderkey, o_custkey from p cross join f
+          where exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = flag)
+        union all select 'not_exists', flag || '/' || month, o_orderkey, o_custkey from p cross join f
+          where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = flag)
+        union all select 'scalar', month, o_orderkey, o_custkey from p join a using (month) where o_totalprice > price
+        union all select 'cte', c_mktsegment, c_nationkey, count(*) from customer join s on segment = c_mktsegment
+          join nation on n_nationkey = c_nationkey group by all""",
+    "extract_ranges": f"""with d as (select unnest(generate_series(date '1995-01-01', date '1997-09-26', interval 1 day)) as a),
+        p as (select unnest(range(1000)) * 350 as price)
+        select 'week' as kind, strftime(a, '%Y-%m-%d') as given, count(*) as n
+          from lineitem join d on l_shipdate >= a and l_shipdate < a + interval 7 day group by all
+        union all select 'price', price::varchar, count(*) from orders join p on o_totalprice >= price group by all
+        union all select 'month', m.cls_yymm, count(*) from orders join {_MONTHS} m on {_MONTH} <= m.cls_yymm
+          where m.cls_yymm between '199501' and '199712' group by all""",
+    "extract_date_texts": """with v as (select * from (values ('year', '1995', 1), ('year', '1997', 2), ('year', '1999', 2),
+          ('dashed', '1995-03', 1), ('dashed', '1996-12', 2), ('day', '19950301', 1), ('day', '19950715', 2),
+          ('day', '19960229', 2), ('trunc', '199503', 1), ('trunc', '199802', 2), ('hour', '20240103 05', 1),
+          ('hour', '20240110 23', 2)) t(form, p, place)),
+        x as (select o_orderkey as id, o_orderdate as moment, unnest(['year', 'dashed', 'day', 'trunc']) as form,
+            unnest([strftime(o_orderdate, '%Y'), strftime(o_orderdate, '%Y-%m'), strftime(o_orderdate, '%Y%m%d'),
+              strftime(o_orderdate, '%Y%m')]) as p from orders
+          union all select event_id, ts, 'hour', strftime(ts, '%Y%m%d %H') from events),
+        r as (select x.form, x.p, id, moment, place from x join v on x.form = v.form and x.p = v.p)
+        select form || ' many' as kind, p, id, moment from r
+        union all select form || ' one', p, id, moment from r where place = 1""",
     "cases_product": f"""select m.cls_yymm, s.status, count(o_orderkey) as row_count
         from {_MONTHS} m cross join (values ('F'), ('O'), ('P')) s(status)
         left join orders o on strftime(o.o_orderdate, '%Y%m') = m.cls_yymm and o_orderstatus = s.status

@@ -86,13 +86,6 @@ def test_empty_case_keeps_the_schema(spark):
     assert nothing.count() == 0 and set(nothing.columns) == set(rows.columns)
 
 
-def test_month_predicate(spark):
-    orders = spark.table("orders")
-    got = orders.where(X.month_predicate("o_orderdate", "199512", "199601")).count()
-    month = F.date_format("o_orderdate", "yyyyMM")
-    assert got == orders.where(month.isin("199512", "199601")).count()
-
-
 def test_write_is_rebalanced_by_case(spark):
     plan = plan_text(S.by_case(spark.table("orders"), ["o_orderstatus"]))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
@@ -218,3 +211,144 @@ def test_too_many_cases_raise(spark, monkeypatch):
     assert rows.select("s", "m").distinct().count() == 4
     with pytest.raises(ValueError, match="more than 5 cases"):
         X.extract_cases(spark, text, {"s": "F,O", "m": "199501:199512"})
+
+
+NESTED_PARAMS = {"m": "199501:199506", "s": "BUILDING,MACHINERY", "f": "R,A"}
+NESTED_TEMPLATES = {
+    "several blocks": """select o_orderkey from orders o where TO_CHAR(o_orderdate, 'YYYYMM') = :m
+        and o_custkey in (select c_custkey from customer where c_mktsegment = :s)
+        and exists (select * from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = ':f')""",
+    "block in a block": """select * from orders where o_custkey in (select c_custkey from customer
+        where c_mktsegment = :s and c_custkey in (select o_custkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m))""",
+    "aggregate": """select count(*) as n, max(o_custkey) as k from orders
+        where o_custkey in (select c_custkey from customer where c_mktsegment = :s) and o_orderstatus = 'F'""",
+    "no row for a case": "select count(*) as n from orders where o_custkey in (select c_custkey from customer where c_name = :m)",
+    "flag": """select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m
+        and not exists (select 1 from customer where c_mktsegment = :s and c_acctbal > 9990)""",
+    "select list": """select o_orderkey, (select count(*) from lineitem l where l.l_orderkey = o.o_orderkey
+        and l.l_returnflag = :f) as n from orders o where TO_CHAR(o_orderdate, 'YYYYMM') = :m""",
+    "derived": """select c_nationkey, t.n from (select c_nationkey, count(*) as n from customer
+        where c_mktsegment = :s and c_custkey in (select o_custkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m)
+        group by c_nationkey) t where t.n > 0""",
+    "tables": """with b as (select * from customer where c_mktsegment = :s), n as (select c_nationkey k, count(*) c from b group by 1)
+        select x.k, x.c, '(select :s)' as text from n as x join n on n.k = x.k where x.c > 1 order by 1""",
+}
+
+
+def per_case(spark, template, params):
+    names = T.marker_names(T.to_markers(template))
+    return X._union_of_cases(spark, template, C.case_table(spark, params, names), names)
+
+
+def same_rows(a, b):
+    assert a.columns == b.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@pytest.mark.parametrize("kind", sorted(NESTED_TEMPLATES))
+def test_nested_params_equal_the_single_runs(spark, kind):
+    rows = X.extract_cases(spark, NESTED_TEMPLATES[kind], NESTED_PARAMS)
+    assert not any(j in plan_text(rows) for j in NO_JOINS)
+    same_rows(rows, per_case(spark, NESTED_TEMPLATES[kind], NESTED_PARAMS))
+
+
+def test_nested_params_read_each_table_once(spark):
+    rows = X.extract_cases(spark, NESTED_TEMPLATES["several blocks"], NESTED_PARAMS)
+    assert plan_text(rows).count("FileScan parquet") == 3
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "select o_orderkey from orders where o_custkey not in (select c_custkey from customer where c_mktsegment = :s)",
+        "select o_orderkey from orders where o_custkey < 9 or o_custkey in (select c_custkey from customer where c_mktsegment = :s)",
+        "select 1 as a union all select c_custkey from customer where c_custkey in (select 1 from customer where c_mktsegment = :s)",
+        "select n from (select count(*) as n from customer) where n > (select count(*) from customer where c_mktsegment = :s)",
+    ],
+)
+def test_what_has_no_key_runs_per_case_when_asked(spark, text):
+    with pytest.raises(ValueError):
+        X.extract_cases(spark, text, NESTED_PARAMS)
+    same_rows(X.extract_cases(spark, text, NESTED_PARAMS, scan_per_case=True), per_case(spark, text, NESTED_PARAMS))
+
+
+def test_scalar_block_with_several_rows_fails(spark):
+    text = """select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m
+        and o_custkey = (select c_custkey from customer where c_mktsegment = :s)"""
+    with pytest.raises(Exception, match="more than one row"):
+        X.extract_cases(spark, text, NESTED_PARAMS).collect()
+
+
+RANGE_PARAMS = {
+    "a": "1995-03-01,1995-07-15,1996-01-01,1999-12-31", "b": "1995-03-02,1995-08-15,1997-01-01", "m": "199501:199506",
+    "lo": "0,1000,50000,99999999", "hi": "1000,1001,70000", "st": "F,O", "y": "1995,1997", "h": "20240103 05,20240103 06",
+}
+RANGE_TEMPLATES = [
+    "select o_orderkey, o_orderdate from orders where o_orderdate >= to_date(:a) and o_orderdate < to_date(:b)",
+    "select * from orders where :a <= o_orderdate and cast(:b as date) > o_orderdate and o_orderstatus = 'F'",
+    "select o_orderkey from orders where o_orderdate between to_date(:a) and to_date(:b)",
+    "select o_orderkey from orders o where o.o_totalprice >= cast(:lo as double) and o.o_totalprice <= cast(:hi as double)",
+    "select o_orderkey from orders where o_totalprice > :lo",
+    "select o_orderkey from orders where o_custkey between :lo and :hi and o_custkey + 1 > :lo",
+    "select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') > :m",
+    "select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYY') <= :y",
+    "select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYY-MM-DD') between :a and :b",
+    "select o_orderkey from orders where TO_CHAR(o_orderdate, 'YYYYMM') >= :m and o_orderstatus = :st",
+]
+
+
+@pytest.mark.parametrize("text", RANGE_TEMPLATES)
+def test_ranges_equal_the_single_runs(spark, text):
+    rows = X.extract_cases(spark, text, RANGE_PARAMS)
+    assert not any(j in plan_text(rows) for j in NO_JOINS)
+    same_rows(rows, per_case(spark, text, RANGE_PARAMS))
+
+
+def test_a_thousand_ranges_are_one_scan(spark):
+    text = "select o_orderkey from orders where o_orderdate >= to_date(:a) and o_orderdate < to_date(:b)"
+    days = spark.range(1000).selectExpr("date_add(date'1995-01-01', cast(id as int)) as d", "cast(id % 90 as int) as n")
+    cases = days.selectExpr("cast(d as string) as a", "cast(date_add(d, n) as string) as b")
+    rows = X.extract_cases(spark, text, {}, cases=cases)
+    assert plan_text(rows).count("o_orderdate") and not any(j in plan_text(rows) for j in NO_JOINS)
+    orders = spark.table("orders").select("o_orderkey", "o_orderdate")
+    plain = orders.join(cases, F.expr("o_orderdate >= to_date(a) and o_orderdate < to_date(b)"))
+    same_rows(rows, plain.select("a", "b", "o_orderkey"))
+
+
+def test_ranges_that_meet_no_row(spark):
+    text = "select o_orderkey from orders where o_orderdate >= to_date(:a) and o_orderdate < to_date(:b)"
+    assert X.extract_cases(spark, text, {"a": "1997-01-01", "b": "1996-01-01"}).count() == 0
+    none = C.case_table(spark, {"a": "1", "b": "2"}).where("false")
+    assert X.extract_cases(spark, text, {}, cases=none).count() == 0
+
+
+DATE_FORMS = [
+    ("extract(year from o_orderdate) = :p", "1995", "1995-01-01", "1996-01-01"),
+    ("TO_CHAR(o_orderdate, 'YYYY') = :p", "1996", "1996-01-01", "1997-01-01"),
+    ("TO_CHAR(o_orderdate, 'YYYY-MM') = ':p'", "1995-12", "1995-12-01", "1996-01-01"),
+    ("to_char(o_orderdate, 'YYYYMMDD') = :p", "19960229", "1996-02-29", "1996-03-01"),
+    ("trunc(o_orderdate, 'MONTH') = to_date(:p, 'YYYYMM')", "199502", "1995-02-01", "1995-03-01"),
+    ("TO_CHAR(o_orderdate, 'YYYYMMDD HH24:MI') = :p", "19950201 23:59", "1995-02-01T23:59", "1995-02-02T00:00"),
+]
+
+
+@pytest.mark.parametrize("form, value, first, stop", DATE_FORMS)
+def test_date_texts_reach_the_scan(spark, form, value, first, stop):
+    text = f"select o_orderkey from orders where {form}"
+    single = X.extract(spark, text, {"p": value})
+    many = X.extract_cases(spark, text, {"p": value})
+    for rows in (single, many):
+        plan = plan_text(rows, "formatted")
+        assert f"GreaterThanOrEqual(o_orderdate,{first}" in plan and f"LessThan(o_orderdate,{stop}" in plan
+    moments = (x.replace("T", " ") + ":00" * ("T" in x) for x in (first, stop))
+    expected = spark.table("orders").where("o_orderdate >= '{}' and o_orderdate < '{}'".format(*moments)).count()
+    assert single.count() == many.count() == expected
+    with pytest.raises(ValueError, match="not a"):
+        X.extract(spark, text, {"p": value + "x"})
+
+
+def test_date_texts_that_are_no_test(spark):
+    text = "select o_orderkey from orders where TO_CHAR(o_orderdate, 'DD') = :p"
+    expected = spark.table("orders").where("day(o_orderdate) = 7").count()
+    assert X.extract(spark, text, {"p": "07"}).count() == X.extract_cases(spark, text, {"p": "07"}).count() == expected > 0
+    assert X.extract(spark, "select TO_CHAR(d, 'YYYY/MM/DD') as t from (select date'2024-03-05' as d)", {}).first().t == "2024/03/05"
