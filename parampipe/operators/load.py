@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parampipe.functions.hashing import FINGERPRINT, ROW_COUNT, fingerprint
-from parampipe.operators.sinks import replace_slices
+from parampipe.operators.sinks import folder_value, replace_slices
 from parampipe.session import is_small, materialize
 from parampipe.sources.files import read_or_empty
 
@@ -38,7 +38,7 @@ PRUNED_PARTS = 10_000
 # Template lists up to this many rows are sent to every executor.
 BROADCAST_TEMPLATES = 100_000
 
-BY_SUFFIX, BY_HASH = "suffix", "hash"
+BY_SUFFIX, BY_HASH, BY_FILES = "suffix", "hash", "files"
 
 # Partition column of a table loaded by hash: job and content, so that neither another
 # part of the same name nor another job replaces a slice.
@@ -93,8 +93,11 @@ def pending_parts(
 ) -> DataFrame:
     """Parts of the manifest the history does not hold yet.
 
-    By hash, parts with equal content count as one: the first name loads.
+    By hash, parts with equal content count as one: the first name loads. By files,
+    a part whose files are not those of its last load is open whatever its name.
     """
+    if identity == BY_FILES:
+        return parts
     if identity == BY_HASH:
         parts = parts.groupBy("file_hash").agg(
             F.min_by(F.struct("file_suffix", ROW_COUNT), "file_suffix").alias("p")
@@ -144,15 +147,99 @@ def part_files(source: DataFrame, part: str) -> DataFrame:
     )
 
 
+def part_listing(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """What `part_files` tells, of a folder with one subfolder for each part, from its listing.
+
+    No file is opened, so a broken one does no harm here.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "part string, csv_file string, file_size long, mtime timestamp")
+    return files.groupBy(folder_value(F.col("path"), part).alias("part")).agg(
+        F.min("path").alias("csv_file"),
+        F.sum("length").alias("file_size"),
+        F.max("modificationTime").alias("mtime"),
+    )
+
+
+OUTCOME_SCHEMA = "table_name string, file_suffix string, status string, row_count long, error_message string"
+
+
+def load_folder(
+    target: Target,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    part: str,
+    identity: str = BY_SUFFIX,
+    attempts: int = 2,
+) -> DataFrame:
+    """Load the parts below `path`; one outcome (`OUTCOME_SCHEMA`) for each of them.
+
+    The listing alone tells which parts are known: those are ``skipped`` and none of their
+    files is opened. The others are one job. If it fails, its parts are halved and each half
+    is tried by itself, so a broken part keeps no other from being ``loaded``; one that
+    fails alone is tried `attempts` times in all, and is ``failed`` with the message. It has
+    no history row, so the next load tries it again. By hash, a part whose content was
+    loaded under another name is ``skipped`` too.
+    """
+    spark = target.spark
+    listing = materialize(part_listing(spark, path, part), "listing")
+    if listing.isEmpty():
+        return spark.createDataFrame([], OUTCOME_SCHEMA)
+    todo = _open_names(listing, target, table, identity)
+    todo = materialize(todo.withColumn("h", F.xxhash64("file_suffix")), "open")
+    source = spark.read.schema(T.StructType([*[f for f in schema if f.name != part], T.StructField(part, T.StringType())])).parquet(path)
+    outcomes = listing.join(todo, listing["part"].eqNullSafe(todo["file_suffix"]), "left_anti").select(
+        F.lit(table).alias("table_name"), F.col("part").alias("file_suffix"), F.lit("skipped").alias("status"),
+        F.lit(None).cast("long").alias("row_count"), F.lit("").alias("error_message"),
+    )
+    groups, tries = [(-(1 << 63), (1 << 63) - 1)], 0
+    while groups:
+        first, last = groups.pop()
+        own = todo.where(F.col("h").between(first, last))
+        rows = rows_of_parts(source, part, own)
+        if rows is None:
+            continue
+        mine = listing.join(own, listing["part"].eqNullSafe(own["file_suffix"]), "left_semi")
+        try:
+            entries = load_parts(target, table, rows, part, identity, files=mine)
+        except Exception as error:
+            if first < last and own.limit(2).count() > 1:
+                middle = (first + last) // 2
+                groups += [(middle + 1, last), (first, middle)]
+                continue
+            tries += 1
+            if tries < attempts:
+                groups.append((first, last))
+                continue
+            found = own.select("file_suffix", F.lit("failed").alias("status"), F.lit(None).cast("long").alias("row_count"), F.lit(str(error)).alias("error_message"))
+        else:
+            loaded = entries.select(F.col("file_suffix").alias("name"), F.col(ROW_COUNT).alias("row_count"))
+            found = own.join(loaded, own["file_suffix"].eqNullSafe(loaded["name"]), "left").select(
+                "file_suffix",
+                F.when(F.col("row_count").isNotNull(), "loaded").otherwise("skipped").alias("status"),
+                "row_count",
+                F.lit("").alias("error_message"),
+            )
+        tries = 0
+        outcomes = outcomes.unionByName(found.select(F.lit(table).alias("table_name"), "*"))
+    return materialize(outcomes, "outcomes")
+
+
 def _open_names(files: DataFrame, target: Target, table: str, identity: str) -> DataFrame:
     """Names of the parts that may have to be loaded, as ``file_suffix``.
 
-    By suffix: names the history does not hold. By hash: all but the parts whose files
-    are those of an earlier load, by name, size and time.
+    By suffix: names the history does not hold. By hash and by files: all but the parts
+    whose files are those of an earlier load, by name, size and time.
     """
     history = target.history().where(F.col("table_name") == table)
-    if identity == BY_HASH:
-        known = history.where(F.col("job_name") == target.job)
+    if identity in (BY_HASH, BY_FILES):
+        scope = "job_name" if identity == BY_HASH else "schema_name"
+        known = history.where(F.col(scope) == (target.job if identity == BY_HASH else target.schema))
         same = known["file_suffix"].eqNullSafe(files["part"])
         for column in ("csv_file", "file_size", "mtime"):
             same = same & (known[column] == files[column])
@@ -170,6 +257,7 @@ def load_parts(
     identity: str = BY_SUFFIX,
     retry: bool = False,
     gather: bool = False,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Load the parts of `source` not loaded before; returns their history rows.
 
@@ -177,9 +265,10 @@ def load_parts(
     partition is the job and the content, so a table is loaded either by suffix or by
     hash. The history is written after the data, so a job that dies in between repeats
     the same parts and doubles nothing. ``retry`` loads every part of `source`
-    again, whatever the history says.
+    again, whatever the history says. `files` tells the parts' files (`part_listing`),
+    which otherwise takes a scan without columns.
     """
-    files = part_files(source, part)
+    files = part_files(source, part) if files is None else files
     if not retry:
         # names and files first: what is known is neither counted nor read
         open_names = _open_names(files, target, table, identity)

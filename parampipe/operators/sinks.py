@@ -122,7 +122,7 @@ def case_files(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
             raise
         return spark.createDataFrame([], ", ".join(["`_file` string", *[f"`{k}` string" for k in keys]]))
     return files.select(
-        F.col("path").alias("_file"), *[_folder_value(F.col("path"), k).alias(k) for k in keys]
+        F.col("path").alias("_file"), *[folder_value(F.col("path"), k).alias(k) for k in keys]
     )
 
 
@@ -147,7 +147,7 @@ def drop_stale_slices(
         delete_path(spark, row["folder"])
 
 
-def _folder_value(path: Column, key: str) -> Column:
+def folder_value(path: Column, key: str) -> Column:
     text = F.regexp_extract(path, rf"/\Q{key}\E=([^/]*)/", 1)
     # folder names are %-escaped, and '+' stands for itself
     value = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parampipe.functions import templates as TP
@@ -16,6 +16,7 @@ from parampipe.operators.runs import run_extract
 from parampipe.operators.sinks import case_files
 from parampipe.operators.views import union_parts
 from parampipe.plans.steps import run_steps
+from parampipe.session import delete_path
 from parampipe.sources.files import file_inventory, template_corpus
 
 PART = "file_suffix"
@@ -25,9 +26,10 @@ MOST_TEMPLATES = 10_000
 
 @dataclass(frozen=True)
 class FolderRun:
-    """What a run leaves: the template files, the ledger, the last step's rows."""
+    """What a run leaves: the template files, the lint findings, the ledger, the last step's rows."""
 
     files: DataFrame
+    lint: DataFrame
     ledger: DataFrame
     result: DataFrame | None
 
@@ -49,28 +51,33 @@ def run_folder(
     batch_ts: str,
     steps: dict[str, str] | None = None,
     host: str = "local",
+    scan_per_case: bool = False,
 ) -> FolderRun:
     """Run every template below `sql_dir` for its cases, then the steps over the tables.
 
-    Nothing starts when the lint finds a fault. Each template is extracted to its own
-    folder below `root` and its parts are loaded, once each, into its table; tables
+    Nothing starts when a template lacks a parameter; other lint findings are reported only.
+    Each template is extracted to its own folder below `root`, and its parts are loaded into
+    its table: each once, and again when its files were written anew, so a changed template
+    replaces its own slices and those of no other. Templates may name one table; tables
     named ``base__part`` are one table ``base`` to the steps. All attempts and steps are
-    in one ledger below `root`.
+    in one ledger below `root`. `scan_per_case` lets templates run that have no key.
     """
-    report = A.lint_report(template_corpus(spark, sql_dir), list(params))
-    if A.gate(report):
-        found = report.where(F.col("status") == LG.FAIL).select("sql_path", "issues").limit(20).collect()
-        raise ValueError("; ".join(f"{r['sql_path']}: {r['issues']}" for r in found))
     ledger_path = f"{root}/ledger"
     target = L.Target(spark, f"{root}/warehouse", host, "folder")
     ordered = ordered_templates(spark, sql_dir).orderBy("position").limit(MOST_TEMPLATES + 1).collect()
     if len(ordered) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates")
+    names = {row["sql_path"]: TP.marker_names(TP.to_markers(row["text"])) for row in ordered}
+    missing = {path: sorted(set(own) - set(params)) for path, own in names.items() if set(own) - set(params)}
+    if missing:
+        raise ValueError(f"missing params {missing}")
     tables: dict[str, list[DataFrame]] = {}
     for row in ordered:
         path = f"{root}/extract/{row['sql_path']}"
-        run_extract(spark, row["sql_path"], row["text"], params, path, ledger_path, batch_ts, host)
-        loaded = _load(target, row["table_name"], path, TP.marker_names(TP.to_markers(row["text"])))
+        run_extract(
+            spark, row["sql_path"], row["text"], params, path, ledger_path, batch_ts, host, scan_per_case=scan_per_case
+        )
+        loaded = _load(target, row["table_name"], row["sql_path"], path, names[row["sql_path"]])
         if loaded is not None:
             base = row["table_name"].split(PART_SEPARATOR)[0]
             tables.setdefault(base, []).append(loaded)
@@ -82,17 +89,36 @@ def run_folder(
         LG.append_rows(entries, ledger_path)
     for base in tables:
         spark.catalog.dropTempView(base)
-    return FolderRun(file_inventory(spark, sql_dir, True, "*.sql"), LG.read_ledger(spark, ledger_path), result)
+    lint = A.lint_report(template_corpus(spark, sql_dir), list(params))
+    return FolderRun(file_inventory(spark, sql_dir, True, "*.sql"), lint, LG.read_ledger(spark, ledger_path), result)
 
 
-def _load(target: L.Target, table: str, path: str, names: list[str]) -> DataFrame | None:
-    """Load the parts of an extract; the rows of the table, None if nothing was extracted."""
-    if case_files(target.spark, path, names).isEmpty():
+def _load(target: L.Target, table: str, template: str, path: str, names: list[str]) -> DataFrame | None:
+    """Load the parts of an extract; the template's rows of the table, None if nothing was extracted.
+
+    A part is named by its template and case, so templates of one table keep apart.
+    """
+    own = case_files(target.spark, path, names)
+    parts = own.select(F.concat_ws("_", F.lit(template), *names).alias(PART)).distinct()
+    _drop_gone(target, table, template, parts)
+    if own.isEmpty():
         return None
     source = target.spark.read.parquet(path)
     # folder names are texts, whatever the reader takes them for
     source = source.withColumns({n: F.col(n).cast("string") for n in names})
-    suffix = F.concat(F.lit("_"), F.concat_ws("_", *names)) if names else F.lit("")
-    source = source.withColumn(PART, suffix)
-    L.load_parts(target, table, source, PART)
-    return target.table(table, source.schema)
+    source = source.withColumn(PART, F.concat_ws("_", F.lit(template), *names))
+    L.load_parts(target, table, source, PART, identity=L.BY_FILES)
+    return target.table(table, source.schema).where(_of_template(template))
+
+
+def _of_template(template: str) -> Column:
+    return (F.col(PART) == template) | F.col(PART).startswith(f"{template}_")
+
+
+def _drop_gone(target: L.Target, table: str, template: str, parts: DataFrame) -> None:
+    """Remove the loaded slices of a template's cases that have no rows any more."""
+    loaded = case_files(target.spark, target.table_path(table), [PART]).where(_of_template(template))
+    gone = loaded.join(parts, PART, "left_anti")
+    folders = gone.select(F.regexp_replace("_file", r"/[^/]*$", "").alias("folder")).distinct()
+    for row in folders.toLocalIterator():
+        delete_path(target.spark, row["folder"])

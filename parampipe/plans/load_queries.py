@@ -15,8 +15,9 @@ from parampipe.operators import ledger as LG
 from parampipe.operators import load as L
 from parampipe.operators import sinks as S
 from parampipe.operators import views as V
+from parampipe.operators.keyed import KeyedTable
 from parampipe.plans.inputs import table
-from parampipe.session import new_scratch
+from parampipe.session import new_scratch, write_text
 from parampipe.sources import files as SRC
 from parampipe.streaming import ingest
 
@@ -328,6 +329,53 @@ def union_parts_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_bad_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A broken file among the parts of every year: the others load, it alone fails, twice."""
+    orders = table(spark, sf_dir, "orders").withColumn(PART, F.concat(F.lit("_"), F.year("o_orderdate")))
+    path, target = new_scratch(spark, "parts"), _target(spark, "bad-part")
+    S.write_parquet(orders, path, [PART])
+    write_text(spark, f"{path}/{PART}=_broken/part-0.parquet", "no parquet")
+    outcomes = None
+    for run in (1, 2):
+        found = L.load_folder(target, "ORDERS", path, orders.schema, PART).withColumn("run", F.lit(run))
+        outcomes = found if outcomes is None else outcomes.unionByName(found)
+    loaded = target.table("ORDERS", orders.schema).agg(F.count(F.lit(1))).scalar()
+    counted = outcomes.groupBy("run").agg(F.sum("row_count").alias("row_count"), F.count_if(F.col("error_message") != "").alias("errors"))
+    return L.load_summary(outcomes, ["run"]).join(counted, "run").withColumn("in_table", loaded)
+
+
+def _keyed_orders(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, DataFrame]:
+    orders = table(spark, sf_dir, "orders")
+    keyed = KeyedTable(spark, new_scratch(spark, "keyed"), orders.schema, ("o_orderkey",))
+    keyed.upsert(orders.repartitionByRange(8, "o_orderkey"))
+    return keyed, orders
+
+
+def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending orders are delivered again with another status, some keys go, new ones come."""
+    keyed, orders = _keyed_orders(spark, sf_dir)
+    again = orders.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("again"))
+    new = orders.where("o_orderkey % 100 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    keyed.upsert(again.unionByName(new), gone=orders.where("o_orderstatus <> 'P' and o_orderkey % 10 = 3"))
+    return keyed.read()
+
+
+def version_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve changes of a month each; three versions stay, and every older one is gone."""
+    keyed, orders = _keyed_orders(spark, sf_dir)
+    for month in range(1, 12):
+        own = orders.where(F.month("o_orderdate") == month).withColumn("o_orderpriority", F.lit(f"month {month}"))
+        keyed.upsert(own)
+    keyed.remove_old(3)
+    keyed.remove_old(3)
+    left = [n for n in range(1, 13) if keyed.files(n)]
+    rows = None
+    for number in left:
+        one = keyed.read(number).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).withColumn("version", F.lit(number))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -354,6 +402,9 @@ QUERIES = {
         append_by_name,
         union_parts,
         union_parts_widened,
+        load_bad_part,
+        upsert_by_key,
+        version_removal,
     )
 }
 
@@ -362,6 +413,17 @@ _ORDERS_WITH_PART = f"select *, {_SUFFIX} as file_suffix from orders"
 _PARTS = f"select {_SUFFIX} as file_suffix, count(*) as row_count from orders group by 1"
 
 ORACLE = {
+    "load_bad_part": """with y as (select count(distinct extract(year from o_orderdate)) as years, count(*) as n from orders)
+        select 1 as run, years as loaded, 0 as skipped, 1 as failed, n as row_count, 1 as errors, n as in_table from y
+        union all select 2, 0, years, 1, null, 1, n from y""",
+    "upsert_by_key": """select o_orderkey, o_custkey, case when o_orderstatus = 'P' then 'again' else o_orderstatus end as o_orderstatus,
+          o_totalprice, o_orderdate, o_orderpriority from orders where o_orderstatus = 'P' or o_orderkey % 10 <> 3
+        union all select -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+          from orders where o_orderkey % 100 = 0""",
+    "version_removal": """with o as (select o_orderpriority as p, extract(month from o_orderdate) as m from orders),
+        v as (select unnest([10, 11, 12]) as version)
+        select version, case when m < version then 'month ' || m else p end as o_orderpriority, count(*) as n
+        from o cross join v group by all""",
     "csv_gz_roundtrip": "select * from lineitem",
     "csv_text_roundtrip": "select * from documents",
     "csv_raw_strings": """select cast(o_orderkey as varchar) as o_orderkey,

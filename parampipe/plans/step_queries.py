@@ -199,6 +199,54 @@ def folder_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _folder_of(spark: SparkSession, root: str, templates: dict[str, str]) -> str:
+    for name, text in templates.items():
+        write_text(spark, f"{root}/sql/{name}", text)
+    return f"{root}/sql"
+
+
+SHARED_STEP = {"1.sql": "SELECT m, o_orderstatus, count(*) AS n FROM ORD GROUP BY 1, 2"}
+
+
+def _orders_of(status: str) -> str:
+    return f"--[ORD]\nselect o_orderkey, o_orderstatus from orders where TO_CHAR(o_orderdate, 'YYYYMM') = :m and o_orderstatus = '{status}'"
+
+
+def folder_shared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two templates fill one table, in two runs: every row is there once."""
+    register(spark, sf_dir, "orders")
+    root = new_scratch(spark, "shared")
+    sql = _folder_of(spark, root, {"01_a.sql": _orders_of("O"), "02_b.sql": _orders_of("F")})
+    for batch in ("20240101_000000", "20240102_000000"):
+        run = FD.run_folder(spark, sql, {"m": "199501:199506"}, f"{root}/out", batch, SHARED_STEP)
+    return run.result
+
+
+def folder_changed_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A template is written anew: its rows replace its old ones, also where it has none now."""
+    register(spark, sf_dir, "orders")
+    root = new_scratch(spark, "changed")
+    sql = _folder_of(spark, root, {"01_a.sql": _orders_of("O"), "02_b.sql": _orders_of("F")})
+    FD.run_folder(spark, sql, {"m": "199501:199506"}, f"{root}/out", "20240101_000000", SHARED_STEP)
+    write_text(spark, f"{sql}/01_a.sql", _orders_of("P") + " and month(o_orderdate) <> 3")
+    return FD.run_folder(spark, sql, {"m": "199501:199506"}, f"{root}/out", "20240102_000000", SHARED_STEP).result
+
+
+def folder_plain_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closing signs, times in literals and comments with colons keep no template from running."""
+    register(spark, sf_dir, "orders")
+    root = new_scratch(spark, "plain")
+    templates = {
+        "01_a.sql": "-- at 12:MI\nselect o_orderkey, '10:MI:SS' as clock, TO_CHAR(o_orderdate, 'HH24:MI:SS') as hour\n"
+        "from orders where TO_CHAR(o_orderdate, 'YYYYMM') = ':m'\n;\n",
+        "02_b.sql": "select count(*) as n from orders where TO_CHAR(o_orderdate, 'YYYYMM') = {#m}\n/\n",
+    }
+    steps = {"1.sql": "SELECT a.m, a.o_orderkey, a.clock, a.hour, b.n FROM `01_A` a JOIN `02_B` b ON a.m = b.m;"}
+    run = FD.run_folder(spark, _folder_of(spark, root, templates), {"m": "199501,199502"}, f"{root}/out", "20240101_000000", steps)
+    found = run.lint.where("status = 'FAIL'").agg(F.count(F.lit(1))).scalar()
+    return run.result.withColumn("findings", found)
+
+
 def extract_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_report(spark, sf_dir, all_months(spark, sf_dir))
 
@@ -213,6 +261,9 @@ QUERIES = {
     "step_window": step_window,
     "step_set_ops": step_set_ops,
     "folder_run": folder_run,
+    "folder_shared_table": folder_shared_table,
+    "folder_changed_template": folder_changed_template,
+    "folder_plain_templates": folder_plain_templates,
     "extract_load_report": extract_load_report,
 }
 
@@ -249,6 +300,14 @@ ORACLE = {
         cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as order_value, 3 as files,
         (select 2 * (date_diff('month', min(o_orderdate), max(o_orderdate)) + 1) + 1 + 2 * 2 from orders) as attempts
         from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2""",
+    "folder_shared_table": """select strftime(o_orderdate, '%Y%m') as m, o_orderstatus, count(*) as n from orders
+        where o_orderstatus in ('O', 'F') and o_orderdate < timestamp '1995-07-01' group by 1, 2""",
+    "folder_changed_template": """select strftime(o_orderdate, '%Y%m') as m, o_orderstatus, count(*) as n from orders
+        where o_orderdate < timestamp '1995-07-01' and (o_orderstatus = 'F'
+          or (o_orderstatus = 'P' and extract(month from o_orderdate) <> 3)) group by 1, 2""",
+    "folder_plain_templates": """with o as (select *, strftime(o_orderdate, '%Y%m') as m from orders)
+        select m, o_orderkey, '10:MI:SS' as clock, strftime(o_orderdate, '%H:%M:%S') as hour,
+          count(*) over (partition by m) as n, 2 as findings from o where m in ('199501', '199502')""",
     "extract_load_report": """select strftime(o_orderdate, '%Y%m') as cls_yymm, count(*) as order_count,
         cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as order_value from orders group by 1""",
 }
