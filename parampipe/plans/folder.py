@@ -82,7 +82,7 @@ def run_folder(
             base = row["table_name"].split(PART_SEPARATOR)[0]
             tables.setdefault(base, []).append(loaded)
     for base, parts in tables.items():
-        union_parts(parts).createOrReplaceTempView(base)
+        union_parts(parts).createOrReplaceTempView("`" + base.replace("`", "``") + "`")
     result = None
     if steps:
         result, entries = run_steps(spark, steps, batch_ts)
