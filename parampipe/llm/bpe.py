@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parampipe.llm.common import ship_with_tasks, whole_text
+from parampipe.llm.common import fresh, ship_with_tasks, whole_text
 
 ship_with_tasks(__name__)
 
@@ -272,13 +272,15 @@ def encode(
     name: str = "ids",
     keep_text: bool = True,
 ) -> DataFrame:
-    """`docs` with the binary column `name`: ids as little-endian unsigned 32-bit integers.
+    """`docs` with the binary column `name` (under a free name if there is one): ids as
+    little-endian unsigned 32-bit integers.
 
     Every match of `pattern` is encoded by itself and nothing is read as a special
     token. Null and empty texts have no ids. Rows, repeated ones too, and other
     columns stay as they are; the text column becomes non-null, or goes without `keep_text`.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(Vocabulary(ranks, pattern)))
+    name = fresh(docs, name)
     plain = docs.withColumn(text, whole_text(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,11 +296,13 @@ def encode(
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """`rows` with the binary column `name`: the bytes of the packed ids in `ids`.
+    """`rows` with the binary column `name` (under a free name if there is one): the bytes
+    of the packed ids in `ids`.
 
     Null and empty ids give empty bytes. An id that is not in the vocabulary raises.
     """
     shared = rows.sparkSession.sparkContext.broadcast(vars(Vocabulary(ranks, "")))
+    name = fresh(rows, name)
     plain = rows.withColumn(ids, F.coalesce(F.col(ids), F.lit(b"")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,12 +351,14 @@ def _with_binary(df: DataFrame, name: str) -> str:
     return ", ".join([*fields, f"`{name}` binary"])
 
 
-def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """Per row of `docs`: doc_id, n_tokens, SHA-256 of the packed ids and of the decoded bytes."""
-    rows = docs.select("doc_id", whole_text().alias("text"))
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of `docs`: doc_id, the columns of `keep`, n_tokens, SHA-256 of the packed ids
+    and of the decoded bytes."""
+    rows = docs.select("doc_id", *keep, whole_text().alias("text"))
     coded = decode(encode(rows, ranks, pattern, keep_text=False), ranks)
     return coded.select(
         "doc_id",
+        *keep,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -150,20 +150,29 @@ def mix(docs: DataFrame, shares: dict[str, int], others: int = 1, block: int = B
     )
 
 
-def in_mixed_order(docs: DataFrame, shares: dict[str, int], others: int = 1, block: int = BLOCK) -> DataFrame:
-    """The rows of `docs` in the order of the mix, with all their columns.
+def with_position(docs: DataFrame, shares: dict[str, int], others: int = 1, block: int = BLOCK, name: str = "position") -> DataFrame:
+    """The rows of `docs` with their place in the mix as the column `name` (which must be free).
 
-    Files written from the result follow one another in that order. Repeated rows
-    (equal id, text and source) lie together at the first of their positions.
+    Repeated rows (equal id, text and source) all get the first of their positions.
     """
-    at, key, mark, name, hashed = (fresh(docs, n) for n in ("_position", "_key", "_mark", "_name", "_hash"))
-    first = mix(docs, shares, others, block).groupBy(ID, "text_hash", "source").agg(F.min("position").alias(at))
-    first = first.select(F.col(ID).alias(key), F.col("text_hash").alias(mark), F.col("source").alias(name), at)
+    key, mark, source, hashed = (fresh(docs, n) for n in ("_key", "_mark", "_name", "_hash"))
+    first = mix(docs, shares, others, block).groupBy(ID, "text_hash", "source").agg(F.min("position").alias(name))
+    first = first.select(F.col(ID).alias(key), F.col("text_hash").alias(mark), F.col("source").alias(source), name)
     rows = docs.withColumn(hashed, text_hash())
     on = (
         rows[ID].cast("long").eqNullSafe(first[key])
         & (rows[hashed] == first[mark])
-        & rows["source"].cast("string").eqNullSafe(first[name])
+        & rows["source"].cast("string").eqNullSafe(first[source])
     )
-    ordered = rows.join(first, on).repartitionByRange(at).sortWithinPartitions(at)
+    return rows.join(first, on).select(*docs.columns, name)
+
+
+def in_mixed_order(docs: DataFrame, shares: dict[str, int], others: int = 1, block: int = BLOCK) -> DataFrame:
+    """The rows of `docs` in the order of the mix, with all their columns.
+
+    Files written from the result follow one another in that order. Repeated rows
+    (equal id, text and source) lie together at the first of their positions.
+    """
+    at = fresh(docs, "_position")
+    ordered = with_position(docs, shares, others, block, at).repartitionByRange(at).sortWithinPartitions(at)
     return ordered.select(*docs.columns)

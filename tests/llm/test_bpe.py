@@ -58,3 +58,11 @@ def test_unknown_id_raises():
     vocabulary = bpe.Vocabulary(RANKS, "")
     with pytest.raises(ValueError):
         bpe.decoded(vocabulary.connect(), vocabulary.known, [bpe.packed([10**6])])
+
+
+def test_columns_with_the_names_of_results(spark):
+    df = documents(spark, ["some text", None], "7 as ids", "'x' as decoded")
+    coded = bpe.encode(df, RANKS, public_tokenizers.PATTERN)
+    assert coded.columns == [*df.columns, "_ids"]
+    back = bpe.decode(coded, RANKS, ids="_ids")
+    assert sorted((r.ids, r.decoded, bytes(r["_decoded"])) for r in back.collect()) == [(7, "x", b""), (7, "x", b"some text")]
