@@ -33,6 +33,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
 # Bands whose buckets are formed at a time, which bounds the disk their shuffle takes.
 WAVE = 5
+# Lines of a bucket up to which an alone line meets every other one.
+MEET = 128
 # Shingles hashed at a time: what a processor's cache holds.
 UNITS = 1 << 17
 
@@ -227,9 +229,9 @@ def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     In every bucket the lines meet the first one. A line that this does not join with
     it, be it by way of others, is alone there, and of any two lines of a bucket that
-    are not joined yet one is alone. The alone lines meet all lines of such buckets that
-    can be similar to them (`close_pairs`), so every similar pair of a bucket is joined.
-    No bucket is ever held in one place.
+    are not joined yet one is alone. In a bucket of `MEET` lines or fewer an alone line
+    meets all the others; in larger ones, those that can be similar to it (`close_pairs`).
+    So every similar pair of a bucket is joined, and no bucket is ever held in one place.
     """
     spark = lines.sparkSession
     signed = materialize(signatures(lines), "signed")
@@ -244,25 +246,27 @@ def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     members = waves[0]
     for wave in waves[1:]:
         members = members.union(wave)
-    size = F.size(shingle_hashes(F.col("line"))).alias("size")
-    texts = lines.join(members.select("lid").distinct(), "lid").select("lid", "line", size)
-    texts = materialize(texts, "texts", "zstd")
+    texts = materialize(lines.join(members.select("lid").distinct(), "lid").select("lid", "line"), "texts", "zstd")
     release_shuffles(spark)
     pairs = members.where("lid <> first")
     judged = _judge(pairs, texts, similarity)
     release_shuffles(spark)
     links = _passed(judged)
     roots = materialize(connected_components(links, "joined"), "roots")
-    alone = _joined(pairs, roots).where("not joined and n > 2").select("key", "lid")
+    alone = _joined(pairs, roots).where("not joined and n > 2").select("key", "lid", "n")
     alone = materialize(alone, "alone")
-    if alone.isEmpty():
-        return links
-    near = members.join(alone.select("key").distinct(), "key", "left_semi").select("lid").distinct()
-    lids = alone.select("lid", F.lit(True).alias("alone")).distinct()
-    near = near.join(lids, "lid", "left").select("lid", F.coalesce("alone", F.lit(False)).alias("alone"))
-    near = materialize(near, "near")
-    release_shuffles(spark)
-    met = _joined(close_pairs(near, texts, similarity), roots).where("not joined").select("lid", "first")
+    few = alone.where(F.col("n") <= MEET).select("key", F.col("lid").alias("x"))
+    met = few.join(members.select("key", F.col("lid").alias("y")), "key").where("x <> y")
+    met = met.select(F.greatest("x", "y").alias("lid"), F.least("x", "y").alias("first")).distinct()
+    many = alone.where(F.col("n") > MEET)
+    if not many.isEmpty():
+        near = members.join(many.select("key").distinct(), "key", "left_semi").select("lid").distinct()
+        lids = many.select("lid", F.lit(True).alias("alone")).distinct()
+        near = near.join(lids, "lid", "left").select("lid", F.coalesce("alone", F.lit(False)).alias("alone"))
+        near = materialize(near, "near")
+        release_shuffles(spark)
+        met = met.unionByName(close_pairs(near, texts, similarity)).distinct()
+    met = _joined(met, roots).where("not joined").select("lid", "first")
     met = materialize(met.join(judged, ["lid", "first"], "left_anti"), "pairs")
     return links.union(_passed(_judge(met, texts, similarity)))
 
@@ -281,11 +285,6 @@ def _joined(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _judge(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     both = pairs.select("lid", "first").distinct()
-    sizes = texts.select("lid", F.col("size").alias("size_a"))
-    others = texts.select(F.col("lid").alias("first"), F.col("size").alias("size_b"))
-    # sets of sizes too far apart cannot be similar, and their texts need not meet
-    near = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * similarity - 1e-6
-    both = both.join(sizes, "lid").join(others, "first").where(near).select("lid", "first")
     a = texts.select("lid", F.col("line").alias("line_a"))
     b = texts.select(F.col("lid").alias("first"), F.col("line").alias("line_b"))
     return materialize(judge_pairs(both.join(a, "lid").join(b, "first"), similarity), "judged")

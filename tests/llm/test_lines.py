@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from helpers import ODD_TEXTS, documents, words
 from parampipe.llm import lines
 
@@ -139,7 +140,9 @@ def shared_passage(n, twins):
     return group, near
 
 
-def test_twins_in_a_group_that_shares_a_passage(spark):
+@pytest.mark.parametrize("meet", [2, lines.MEET])
+def test_twins_in_a_group_that_shares_a_passage(spark, monkeypatch, meet):
+    monkeypatch.setattr(lines, "MEET", meet)
     group, near = shared_passage(300, 100)
     docs = [(i, line) for i, line in enumerate([*group, *near])]
     expected = brute(docs)
