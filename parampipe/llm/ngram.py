@@ -123,9 +123,9 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for doc_id, rest, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            role = min(rest, TRAIN)
-            raw = text.encode("utf-8", "surrogatepass")
+        # texts are taken one by one, as the bytes they are
+        for doc_id, rest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            role, raw = min(rest, TRAIN), text.as_py()
             if waiting[role] and sizes[role] + len(raw) > BLOCK_BYTES:
                 yield flush(role)
             waiting[role].append((doc_id, raw))
@@ -198,6 +198,23 @@ def ask(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.mapInPandas(run, KEY_SCHEMA)
 
 
+def places(keys: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """Place of every key among the different keys of all arrays, and their number.
+
+    Takes the arrays out of the list; places of 32 bits, as a bucket is small.
+    """
+    ends = np.cumsum([len(k) for k in keys])
+    flat = np.concatenate(keys)
+    keys.clear()
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    new = np.ones(len(flat), dtype=bool)
+    new[1:] = flat[1:] != flat[:-1]
+    place = np.empty(len(flat), dtype=np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return np.split(place, ends[:-1]), int(new.sum())
+
+
 def answer(asked: DataFrame) -> DataFrame:
     """Rows of `ANSWER_SCHEMA`: totals over all training blocks, in the order asked.
 
@@ -205,18 +222,15 @@ def answer(asked: DataFrame) -> DataFrame:
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [unpack(k, np.uint64, True) for k in rows["keys"]]
-        counts = [unpack(c, np.int64) for c in rows["counts"]]
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        roles = np.repeat(rows["role"].to_numpy(), [len(k) for k in keys])
-        flat = np.concatenate(counts).astype(float)
-        held = np.bincount(place, flat * (roles == HELD), len(distinct)).astype(np.int64)
-        kept = np.bincount(place, flat * (roles == TRAIN), len(distinct)).astype(np.int64)
-        whole, out, start = held + kept, [], 0
+        place, distinct = places([unpack(k, np.uint64, True) for k in rows["keys"]])
+        held, kept = np.zeros(distinct, dtype=np.int64), np.zeros(distinct, dtype=np.int64)
+        for role, at, packed in zip(rows["role"], place, rows["counts"]):
+            # a block asks for each key once, so no place is met twice here
+            if role != TEST:
+                (held if role == HELD else kept)[at] += unpack(packed, np.int64)
+        whole, out = held + kept, []
         sums = (int((whole > 0).sum()), int(whole.sum()), int((kept > 0).sum()), int(kept.sum()))
-        for row, own in zip(rows.itertuples(), keys):
-            at = place[start : start + len(own)]
-            start += len(own)
+        for row, at in zip(rows.itertuples(), place):
             own_kept = pack(kept[at]) if row.role == HELD else None
             out.append((row.block, row.role, row.kind, row.bucket, pack(whole[at]), own_kept, *sums))
             sums = (0, 0, 0, 0)
@@ -347,7 +361,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     are not read; an empty table gives no rows. Words and pairs are told apart by 64-bit
     hashes.
     """
-    rows = docs.select(F.col(ID).cast("long").alias(ID), fold(F.col(ID)).alias("fold"), whole_text().alias("text"))
+    rows = docs.select(F.col(ID).cast("long").alias(ID), fold(F.col(ID)).alias("fold"), whole_text().cast("binary").alias("text"))
     buckets = bucket_count(rows)
     blocks = materialize(rows.mapInArrow(make_blocks, BLOCK_SCHEMA), "blocks")
     answers = materialize(answer(ask(blocks, buckets)), "answers")
