@@ -177,6 +177,25 @@ def read_versions(
     return table.where(F.col("version").isin([r["version"] for r in newest]))
 
 
+def remove_versions(spark: SparkSession, path: str, keep: int = KEEP_VERSIONS) -> list[str]:
+    """Delete the folders of all but the newest `keep` versions below `path`; which they were.
+
+    Safe to repeat: the newest are told by their names, from the file listing, so a run that
+    was broken off leaves only folders that the next one deletes. One name per version comes
+    to the driver. A version of NULL is older than any other.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    found = [r["version"] for r in existing_cases(spark, path, ["version"]).collect()]
+    stale = sorted(found, key=lambda v: (v is not None, v or ""))[: max(0, len(found) - keep)]
+    names = {*stale}
+    files = case_files(spark, path, ["version"]).where(F.col("version").isin([*names - {None}]) | (F.col("version").isNull() if None in names else F.lit(False)))
+    folders = files.select(F.regexp_extract("_file", r"^(.*/version=[^/]*)/", 1).alias("folder")).distinct()
+    for row in folders.toLocalIterator():
+        delete_path(spark, row["folder"])
+    return stale
+
+
 def keep_latest(
     df: DataFrame, group: list[str], order: list[Column], keep: int = KEEP_VERSIONS
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from parampipe.functions.hashing import FINGERPRINT, fingerprint
 from parampipe.functions.params import month_key
 from parampipe.operators import cases as C
+from parampipe.operators import difference as D
 from parampipe.operators import ledger as LG
 from parampipe.operators import load as L
 from parampipe.operators import sinks as S
@@ -376,6 +377,33 @@ def version_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def part_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded months against a redelivery: orders gone, new, changed and twice; the
+    digests of the loaded rows are kept from the load."""
+    orders, target = _orders_with_part(spark, sf_dir), _target(spark, "difference")
+    L.load_parts(target, "ORDERS", orders, PART, gather=True)
+    loaded = target.table("ORDERS", orders.schema)
+    kept = D.digests(loaded, ["o_orderkey"])
+    key = F.col("o_orderkey")
+    again = orders.where(key % 100 != 7).withColumn(
+        "o_orderstatus", F.when(key % 100 == 8, "changed").otherwise(F.col("o_orderstatus"))
+    )
+    new = orders.where(key % 100 == 9).withColumn("o_orderkey", -key - 1)
+    redelivered = again.unionByName(new).unionByName(orders.where(key % 100 == 10))
+    return D.part_difference(loaded, redelivered, ["o_orderkey"], kept)
+
+
+def version_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One output a month, twelve in a row; removal leaves ten folders, a second one nothing more."""
+    orders = table(spark, sf_dir, "orders")
+    path = new_scratch(spark, "versions")
+    for month in range(1, 13):
+        S.write_version(orders.where(F.month("o_orderdate") == month), path, f"2024{month:02d}01_000000")
+    removed = len(S.remove_versions(spark, path)) * 10 + len(S.remove_versions(spark, path))
+    rows = S.read_versions(spark, path, orders.schema, keep=100)
+    return rows.groupBy("version").agg(F.count(F.lit(1)).alias("row_count")).withColumn("removed", F.lit(removed))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -405,6 +433,8 @@ QUERIES = {
         load_bad_part,
         upsert_by_key,
         version_removal,
+        part_difference,
+        version_folders,
     )
 }
 
@@ -413,6 +443,15 @@ _ORDERS_WITH_PART = f"select *, {_SUFFIX} as file_suffix from orders"
 _PARTS = f"select {_SUFFIX} as file_suffix, count(*) as row_count from orders group by 1"
 
 ORACLE = {
+    "part_difference": f"""select case o_orderkey % 100 when 7 then 'removed' when 8 then 'changed' else 'added' end as change,
+          case when o_orderkey % 100 < 9 then 'old' else 'new' end as side, 1 as times, *
+          from ({_ORDERS_WITH_PART}) where o_orderkey % 100 in (7, 8, 10)
+        union all select 'changed', 'new', 1, * replace ('changed' as o_orderstatus) from ({_ORDERS_WITH_PART})
+          where o_orderkey % 100 = 8
+        union all select 'added', 'new', 1, * replace (-o_orderkey - 1 as o_orderkey) from ({_ORDERS_WITH_PART})
+          where o_orderkey % 100 = 9""",
+    "version_folders": """select strftime(make_date(2024, month(o_orderdate)::int, 1), '%Y%m%d') || '_000000' as version,
+        count(*) as row_count, 20 as removed from orders where month(o_orderdate) > 2 group by 1""",
     "load_bad_part": """with y as (select count(distinct extract(year from o_orderdate)) as years, count(*) as n from orders)
         select 1 as run, years as loaded, 0 as skipped, 1 as failed, n as row_count, 1 as errors, n as in_table from y
         union all select 2, 0, years, 1, null, 1, n from y""",
