@@ -1,13 +1,16 @@
 """Quality rules: a linear-chain CRF labels lines as content or boilerplate.
 
-The model is fitted on a bounded sample of labelled documents (every line takes
-its document's label) and decides by Viterbi decoding over the whole text; a
-document is kept when enough of its word characters lie in content lines and the
-base rules hold.
+The model is fitted on a bounded sample of labelled documents. Their labels are of whole
+documents, so the lines' own labels are latent: a model of single lines moves the lines
+that contradict their document's label, as long as most lines keep it, and the chain is
+learnt on what comes out. Viterbi decoding over the whole text decides; a document is
+kept when enough of its word characters lie in content lines and the base rules hold.
 """
 
 from __future__ import annotations
 
+import math
+import zlib
 from dataclasses import dataclass
 from itertools import compress
 
@@ -20,10 +23,14 @@ from parampipe.llm.common import fresh, ship_with_tasks, whole_text
 
 ship_with_tasks(__name__)
 
-# Labelled documents the model is fitted on, and lines taken of each: evenly
-# spaced over the text where it has more.
+# Labelled documents the model is fitted on, and lines taken of each: consecutive ones
+# from a place named by the text's checksum where it has more.
 SAMPLE_DOCS = 3_000
 SAMPLE_LINES = 64
+# Times the lines' labels are worked out anew, and the share of a document's lines that
+# keeps its label.
+RELABELS = 2
+LEAST_OWN_SHARE = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
@@ -105,35 +112,37 @@ def viterbi(scores: np.ndarray, steps: np.ndarray, start: np.ndarray) -> np.ndar
     return np.array(path[::-1], dtype=np.int64)
 
 
-def fit(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS, ridge: float = RIDGE) -> Model:
+def fit(
+    sequences: list[np.ndarray], labels: list, steps: int = STEPS, ridge: float = RIDGE, chained: bool = True
+) -> Model:
     """Maximum likelihood of the label sequences, with a ridge on all scores, by Adam.
 
-    `sequences` holds feature rows per document, `labels` the label of all its lines.
+    `sequences` holds feature rows per document, `labels` the labels of its lines or one
+    for all of them. Without `chained` every line stands alone: no step or start has a score.
     """
-    kept = [(x, y) for x, y in zip(sequences, labels) if len(x)]
-    if len({y for _, y in kept}) < 2:
+    kept = [(x, np.broadcast_to(y, len(x))) for x, y in zip(sequences, labels) if len(x)]
+    if len({int(v) for _, y in kept for v in np.unique(y)}) < 2:
         return no_boilerplate()
     longest, n = max(len(x) for x, _ in kept), len(kept)
     x = np.zeros((n, longest, FEATURES))
     live = np.zeros((n, longest), dtype=bool)
-    for i, (rows, _) in enumerate(kept):
-        x[i, : len(rows)], live[i, : len(rows)] = rows, True
-    y = np.array([label for _, label in kept])
     truth = np.zeros((n, longest, 2))
-    truth[np.arange(n), :, y] = live
+    for i, (rows, own) in enumerate(kept):
+        x[i, : len(rows)], live[i, : len(rows)] = rows, True
+        truth[i, np.arange(len(rows)), own] = 1.0
     both = live[:, 1:] & live[:, :-1]
     # what the labels say, once; the model's expectations follow in every step
     goal = [
         np.einsum("ntf,ntk->fk", x, truth),
-        np.diag(np.bincount(y, weights=both.sum(axis=1), minlength=2)),
-        np.bincount(y, minlength=2).astype(float),
+        np.einsum("ntj,ntk->jk", truth[:, :-1], truth[:, 1:]),
+        truth[:, 0].sum(axis=0),
     ]
     values = [np.zeros((FEATURES, 2)), np.zeros((2, 2)), np.zeros(2)]
     first, second = ([np.zeros_like(v) for v in values] for _ in range(2))
     lines = live.sum()
     for step in range(1, steps + 1):
-        expected = _expectations(x, live, both, *values)
-        for i, value in enumerate(values):
+        expected = _expectations(x, live, both, *values) if chained else _alone(x, live, values[0])
+        for i, value in enumerate(values[: len(expected)]):
             slope = (goal[i] - expected[i] - ridge * value) / lines
             first[i] = 0.9 * first[i] + 0.1 * slope
             second[i] = 0.99 * second[i] + 0.01 * slope**2
@@ -142,6 +151,37 @@ def fit(sequences: list[np.ndarray], labels: list[int], steps: int = STEPS, ridg
     return Model(*values)
 
 
+def relabel(rows: np.ndarray, label: int, model: Model) -> np.ndarray:
+    """Labels of a document's lines: the likelier by single lines, while at least
+    `LEAST_OWN_SHARE` of them, those that contradict it least, keep the document's `label`."""
+    margin = (rows @ model.weights) @ np.array([1.0, -1.0])  # above 0: content
+    against = margin if label == BOILERPLATE else -margin
+    moved = np.argsort(-against, kind="stable")[: len(rows) - math.ceil(LEAST_OWN_SHARE * len(rows))]
+    found = np.full(len(rows), label)
+    found[moved[against[moved] > 0]] = BOILERPLATE if label == CONTENT else CONTENT
+    return found
+
+
+def fit_documents(sequences: list[np.ndarray], labels: list[int], rounds: int = RELABELS) -> Model:
+    """A chain over latent line labels, learnt from labels of whole documents.
+
+    Starts with every line labelled as its document; each round fits single lines to the
+    present labels and works these out anew (`relabel`); the chain is fitted last.
+    """
+    lines: list = list(labels)
+    for _ in range(rounds):
+        alone = fit(sequences, lines, chained=False)
+        lines = [relabel(x, y, alone) for x, y in zip(sequences, labels)]
+    return fit(sequences, lines)
+
+
+def _alone(x: np.ndarray, live: np.ndarray, weights: np.ndarray) -> list[np.ndarray]:
+    """Expected counts of features where no line depends on another."""
+    scores = x @ weights
+    at = np.exp(scores - _sum_out(scores, 2)[:, :, None]) * live[:, :, None]
+    return [np.einsum("ntf,ntk->fk", x, at)]
+
+
 def _sum_out(a: np.ndarray, axis: int) -> np.ndarray:
     top = a.max(axis=axis, keepdims=True)
     return (top + np.log(np.exp(a - top).sum(axis=axis, keepdims=True))).squeeze(axis)
@@ -171,6 +211,16 @@ def _expectations(x, live, both, weights, steps, start) -> list[np.ndarray]:
     return [np.einsum("ntf,ntk->fk", x, at), moves.sum(axis=(0, 1)), at[:, 0].sum(axis=0)]
 
 
+def sample_lines(raw: bytes) -> np.ndarray:
+    """Features of at most `SAMPLE_LINES` consecutive lines, which know the whole text."""
+    rows = line_features(raw.split(b"\n"))
+    spare = len(rows) - SAMPLE_LINES
+    if spare <= 0:
+        return rows
+    start = zlib.crc32(raw) % (spare + 1)
+    return rows[start : start + SAMPLE_LINES]
+
+
 def repeat_words(words: list[bytes]) -> int:
     """Words that lie in a window of three words found twice or more."""
     windows = list(zip(words, words[1:], words[2:]))
@@ -233,13 +283,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS)
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
-        def of(text: str) -> np.ndarray:
-            rows = line_features(text.encode("utf-8", "surrogatepass").split(b"\n"))
-            if len(rows) > SAMPLE_LINES:
-                rows = rows[np.linspace(0, len(rows) - 1, SAMPLE_LINES).astype(int)]
-            return rows.ravel()
-
-        return texts.map(of)
+        return texts.map(lambda text: sample_lines(text.encode("utf-8", "surrogatepass")).ravel())
 
     # at most `most` rows
     texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
@@ -249,7 +293,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS)
 def fit_on_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> Model:
     rows = sorted(sample_features(docs, labels, most).toPandas().itertuples(), key=lambda r: r.doc_id)
     sequences = [np.asarray(r.features, dtype=np.float64).reshape(-1, FEATURES) for r in rows]
-    return fit(sequences, [CONTENT if r.quality else BOILERPLATE for r in rows])
+    return fit_documents(sequences, [CONTENT if r.quality else BOILERPLATE for r in rows])
 
 
 def judge_documents(docs: DataFrame, model: Model) -> DataFrame:

@@ -75,6 +75,59 @@ def test_learnt_model_on_unseen_documents(spark):
     assert left.columns == docs.columns and left.count() == 120
 
 
+def mixed(seed, lines, bad):
+    """Prose with `bad` junk lines in a row, and the labels of its lines."""
+    draw = random.Random(seed)
+    at = draw.randrange(lines - bad + 1)
+    kinds = [int(at <= i < at + bad) for i in range(lines)]
+    source = [junk(seed * 50 + i).split("\n")[0] if k else prose(seed * 50 + i).split("\n")[0] for i, k in enumerate(kinds)]
+    return "\n".join(source), kinds
+
+
+def test_lines_are_labelled_inside_documents(spark):
+    # good documents of 10 lines hold 0 to 3 junk lines, bad ones 7 to 10
+    texts = [mixed(i, 10, (i % 4) + (7 if i % 3 == 0 else 0)) for i in range(90)]
+    quality_of = [int(i % 3 != 0) for i in range(90)]
+    docs = documents(spark, [(i, t) for i, (t, _k) in enumerate(texts)])
+    labels = spark.createDataFrame([(i, q, 0) for i, q in enumerate(quality_of)], "doc_id long, quality int, toxic int")
+    model = quality.fit_on_sample(docs, labels)
+    unseen = [mixed(1000 + i, 20, bad) for i, bad in enumerate([0, 2, 5, 8, 9, 11, 12, 15, 20])]
+    right = total = 0
+    for text, kinds in unseen:
+        path = quality.viterbi(quality.line_features(text.encode().split(b"\n")) @ model.weights, model.steps, model.start)
+        right, total = right + int((path == np.array(kinds)).sum()), total + len(kinds)
+        share = quality.judge(text, model)[6]
+        assert 0 < share < 1 or sum(kinds) in (0, 20)
+        # the share counts characters, and junk words are longer
+        sizes = np.array([len("".join(line.split())) for line in text.split("\n")])
+        truth = sizes[np.array(kinds) == 0].sum() / sizes.sum()
+        assert abs(share - truth) < 0.06
+        assert quality.judge(text, model)[7] == (share >= 0.5)
+    assert right >= 0.97 * total
+
+
+def test_relabelled_lines_leave_the_document_its_label():
+    weights = np.zeros((quality.FEATURES, 2))
+    weights[2, quality.BOILERPLATE] = 10.0
+    weights[0, quality.BOILERPLATE] = -1.0
+    model = quality.Model(weights, np.zeros((2, 2)), np.zeros(2))
+    rows = np.zeros((5, quality.FEATURES))
+    rows[:, 0], rows[:, 2] = 1.0, [0.9, 0.0, 0.8, 0.3, 0.0]
+    # three lines look like boilerplate; two may go in a document that is content
+    assert quality.relabel(rows, quality.CONTENT, model).tolist() == [1, 0, 1, 0, 0]
+    assert quality.relabel(rows, quality.BOILERPLATE, model).tolist() == [1, 0, 1, 1, 0]
+    assert quality.relabel(rows[:1], quality.CONTENT, model).tolist() == [0]
+    assert quality.relabel(rows[:0], quality.CONTENT, model).tolist() == []
+
+
+def test_sampled_lines_are_neighbours():
+    text = "\n".join(words(i, 3) + "#" * i for i in range(200)).encode()
+    rows = quality.sample_lines(text)
+    whole = quality.line_features(text.split(b"\n"))
+    starts = [i for i in range(len(whole)) if np.array_equal(whole[i : i + len(rows)], rows)]
+    assert len(rows) == quality.SAMPLE_LINES and len(starts) == 1
+
+
 def test_odd_rows_and_no_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = documents(spark, [(i, t) for i, t in enumerate(ODD_TEXTS)] + [(None, prose(1)), (None, prose(1))])
