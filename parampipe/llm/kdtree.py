@@ -17,7 +17,10 @@ from parampipe.session import materialize
 
 # Histogram buckets of a node in one round.
 BUCKETS = 1 << 14
-_TIE_BITS = 40
+# Bits of the hash of id and text that tell ties apart, and below them of a row number,
+# which parts rows that are equal in both.
+_HASH_BITS, _COPY_BITS = 40, 16
+_TIE_BITS = _HASH_BITS + _COPY_BITS
 
 NODE = ["first", "leaves"]
 
@@ -31,6 +34,13 @@ def metadata_dimensions() -> dict[str, Column]:
     }
 
 
+def tie_breaker(text: Column, row: Column) -> Column:
+    """Order of rows with equal coordinates: it depends on the table's layout only among
+    rows of one id and text."""
+    content = F.shiftrightunsigned(F.xxhash64(ID, text), 64 - _HASH_BITS)
+    return F.shiftleft(content, _COPY_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(row), 64 - _COPY_BITS))
+
+
 def cut_level(rows: DataFrame, dims: list[str]) -> DataFrame:
     """One level deeper: nodes of two leaves or more are cut, others stay.
 
@@ -123,9 +133,11 @@ def shard_by_tree(docs: DataFrame, shards: int | None = None, target_bytes: int
     `target_bytes` is the size of a leaf; `shards` sets it to that share of all
     bytes. Size is the UTF-8 bytes of the text plus 1. Null texts are empty, null
     metadata is a value of its own, documents that tie in every dimension are cut
-    by a hash of id and text, and repeated rows each get a slot. Slots count from 0
-    in every shard without a gap. Other columns are not read; fewer documents than
-    shards leave shards empty, an empty table gives no rows.
+    by a hash of id and text, and repeated rows each get a slot. Shards do not depend on
+    how the table lies in files, but for rows of one id and text on two sides of a cut;
+    slots do: they count from 0 in every shard without a gap, by partition. Other columns
+    are not read; fewer documents than shards leave shards empty, an empty table gives no
+    rows.
     """
     dims = metadata_dimensions()
     text = whole_text()
@@ -135,8 +147,7 @@ def shard_by_tree(docs: DataFrame, shards: int | None = None, target_bytes: int
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.shiftright(row, 33).alias("part"),
-        # the row number tells repeated rows apart
-        F.shiftrightunsigned(F.xxhash64(ID, text, row), 64 - _TIE_BITS).alias("tie"),
+        tie_breaker(text, row).alias("tie"),
         *[c.alias(n) for n, c in dims.items()],
     )
     rows = materialize(rows, "points")
