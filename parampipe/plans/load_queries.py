@@ -20,7 +20,7 @@ from parampipe.operators.keyed import KeyedTable
 from parampipe.plans.inputs import table
 from parampipe.session import new_scratch, write_text
 from parampipe.sources import files as SRC
-from parampipe.streaming import ingest
+from parampipe.streaming import csv_stream, ingest
 
 PART = "file_suffix"
 # First load of the two-step loads: the months before this day.
@@ -247,6 +247,25 @@ def stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SRC.read_parquet(spark, f"{root}/out").drop(ingest.BATCH)
 
 
+def stream_csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries as gzip CSV: early orders; the later ones with the early ones again
+    in files of other names; the early ones once more. Counts of each run, of the stream's
+    batches, and the rows of the table in the end."""
+    orders = table(spark, sf_dir, "orders")
+    early = F.col("o_orderdate") < F.lit(SECOND_LOAD_FROM)
+    root = new_scratch(spark, "stream-csv")
+    for run, deliveries in (("1", [early]), ("2", [~early, early]), ("3", [early])):
+        for wanted in deliveries:
+            # the key decides a row's file, so a delivery made again has the same contents
+            rows = orders.where(wanted).repartition(8, "o_orderkey")
+            rows.write.mode("append").options(**SRC.CSV_FORMAT, compression="gzip").csv(f"{root}/in")
+        csv_stream.ingest_csv(spark, f"{root}/in", orders.schema, root, run, files_per_batch=5)
+    loaded = SRC.read_parquet(spark, f"{root}/table").agg(F.count(F.lit(1)))
+    names = ("files", "rows_read", "files_loaded", "rows_loaded")
+    counts = csv_stream.read_counts(spark, root).groupBy("run").agg(*[F.sum(c).alias(c) for c in names])
+    return counts.withColumn("table_rows", loaded.scalar())
+
+
 def _fresh_schema(spark: SparkSession) -> tuple[str, str]:
     """A database of its own in the catalog, with its folder in the scratch area."""
     name = f"parampipe_{uuid.uuid4().hex}"
@@ -426,6 +445,7 @@ QUERIES = {
         incremental_two_jobs,
         retry_replace,
         stream_incremental_load,
+        stream_csv_counts,
         create_or_append,
         append_by_name,
         union_parts,
@@ -504,6 +524,13 @@ ORACLE = {
         then 'retried ' || o_orderstatus else o_orderstatus end as o_orderstatus)
         from ({_ORDERS_WITH_PART})""",
     "stream_incremental_load": "select * from orders",
+    "stream_csv_counts": f"""with n as (
+        select count(*) filter (where o_orderdate < timestamp '{SECOND_LOAD_FROM}') as early,
+               count(*) filter (where o_orderdate >= timestamp '{SECOND_LOAD_FROM}') as later from orders)
+        select '1' as run, 8 as files, early as rows_read, 8 as files_loaded, early as rows_loaded,
+               early + later as table_rows from n
+        union all select '2', 16, early + later, 8, later, early + later from n
+        union all select '3', 8, early, 0, 0, early + later from n""",
     "create_or_append": "select * from orders",
     "append_by_name": "select * from orders",
     "union_parts": """select * replace (case when o_orderstatus = 'O' then 'C' else '' end

@@ -42,46 +42,60 @@ def read_csv_raw(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     ).csv(path)
 
 
+def stream_csv(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int, multi_line: bool = False
+) -> DataFrame:
+    """Files of a folder (plain or compressed CSV) as a stream, as `read_csv` reads them."""
+    reader = spark.readStream.options(**_READ_FORMAT, multiLine=multi_line).schema(schema)
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(path)
+
+
+# Classes of a text, one bit each, in the order in which a column takes its type.
+# A whole number is a number too; all other classes shut each other out.
+_CLASSES: tuple[tuple[int, T.DataType], ...] = (
+    (1, T.LongType()),
+    (2, T.DoubleType()),
+    (4, T.DateType()),
+    (8, T.TimestampNTZType()),
+    (16, T.BooleanType()),
+)
+
+
 def infer_types(raw: DataFrame, dates: bool = True) -> T.StructType:
     """Type of every text column, from one aggregation over all values.
 
     Whole numbers become bigint, other numbers double, then (with `dates`) date
-    and timestamp, and boolean; anything else, and text with leading zeros,
-    stays text.
+    and timestamp, and boolean; anything else, text with leading zeros, and a
+    column of NULLs stay text. A row's classes are one array and a column's are
+    folded by `bit_and`, so a task sends one row however many cells it reads; one
+    function over the array keeps the plan small however many columns there are.
     """
-    value = F.col("value")
-    checks: dict[str, tuple[T.DataType, Column]] = {
-        "int": (T.LongType(), _is_whole_number(value)),
-        "num": (T.DoubleType(), _looks_numeric(value) & value.try_cast("double").isNotNull()),
-        "date": (
-            T.DateType(),
-            (F.length(value) == 10) & value.rlike(_DATE) & value.try_cast("date").isNotNull(),
-        ),
-        "time": (
-            T.TimestampNTZType(),
-            (F.length(value) >= 19)
-            & value.rlike(_TIMESTAMP)
-            & value.try_cast("timestamp_ntz").isNotNull(),
-        ),
-        "bool": (T.BooleanType(), F.lower(value).isin("true", "false")),
-    }
-    if not dates:
-        del checks["date"], checks["time"]
-    # one set of tests over (column, value) pairs: the generated code stays small
-    # enough to be compiled however many columns there are
-    pairs = raw.select(
-        F.posexplode(F.array(*[F.col(f"`{c}`") for c in raw.columns])).alias("column", "value")
-    ).where(value.isNotNull())
-    found = pairs.groupBy("column").agg(
-        *[F.bool_and(F.coalesce(c, F.lit(False))).alias(k) for k, (_t, c) in checks.items()]
-    )
-    types: dict[int, T.DataType] = {
-        row["column"]: next((t for k, (t, _c) in checks.items() if row[k]), T.StringType())
-        for row in found.collect()
-    }
-    return T.StructType(
-        [T.StructField(c, types.get(i, T.StringType())) for i, c in enumerate(raw.columns)]
-    )
+    if not raw.columns:
+        return T.StructType()
+    cells = F.array(*[F.col(f"`{c}`") for c in raw.columns])
+    classes = raw.select(F.transform(cells, lambda value: _class_mask(value, dates)).alias("m"))
+    row = classes.agg(*[F.bit_and(F.col("m")[i]).alias(f"c{i}") for i in range(len(raw.columns))]).first()
+    return T.StructType([T.StructField(c, _type_of(mask)) for c, mask in zip(raw.columns, row)])
+
+
+def _type_of(mask: int | None) -> T.DataType:
+    """The first type whose class all values have."""
+    return next((t for bit, t in _CLASSES if (mask or 0) & bit), T.StringType())
+
+
+def _class_mask(value: Column, dates: bool) -> Column:
+    """Bits of the classes a text belongs to, 0 for none; NULL has every class."""
+    mask = F.when(value.isNull(), F.lit(None).cast("int"))
+    mask = mask.when(_is_whole_number(value), 1 | 2)
+    mask = mask.when(_looks_numeric(value) & value.try_cast("double").isNotNull(), 2)
+    if dates:
+        size = F.length(value)
+        mask = mask.when(
+            (size == 10) & value.rlike(_DATE) & value.try_cast("date").isNotNull(), 4
+        ).when(
+            (size >= 19) & value.rlike(_TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull(), 8
+        )
+    return mask.when(F.lower(value).isin("true", "false"), 16).otherwise(0)
 
 
 def _is_whole_number(value: Column) -> Column:

@@ -15,10 +15,10 @@ from parampipe.operators import profile as P
 from parampipe.operators import sinks as S
 from parampipe.operators import views as V
 from parampipe.operators.numbering import with_ordinal
-from parampipe.session import plan_text
+from parampipe.session import delete_path, plan_text
 from parampipe.sources import files as SRC
 from parampipe.sources import jdbc as J
-from parampipe.streaming import ingest
+from parampipe.streaming import csv_stream, ingest
 
 
 @pytest.fixture
@@ -139,6 +139,8 @@ def test_inferred_types(spark, tmp_path):
         "b": "boolean", "n": "bigint", "e": "double", "none": "string", "big": "double",
         "day": "date", "junk": "string",
     }
+    assert SRC.infer_types(df.select()).fields == []
+    assert {f.dataType.simpleString() for f in SRC.infer_types(df.limit(0))} == {"string"}
     S.convert_typed(df.selectExpr("i as user_id", "junk as amt", "d as price", "day"), str(tmp_path / "p"))
     out = spark.read.parquet(str(tmp_path / "p"))
     assert out.schema.simpleString() == "struct<user_id:string,amt:double,price:double,day:string>"
@@ -197,6 +199,57 @@ def test_filters(spark):
     assert [r.t for r in FL.for_targets(df, F.col("t"), targets, F.col("n")).orderBy("t").collect()] == ["A1", "b2"]
 
 
+def test_types_of_a_wide_table_in_one_pass(spark, tmp_path):
+    kinds = ("cast(id as string)", "cast(id / 4 as string)", "concat('x', id)", "cast(id > 3 as string)", "string(null)")
+    columns = [f"{kinds[i % 5]} as `c.{i}`" for i in range(200)]
+    spark.range(0, 100, 1, 4).selectExpr(*columns).write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    found = [f.dataType.simpleString() for f in SRC.infer_types(wide)]
+    assert found == ["bigint", "double", "string", "boolean", "string"] * 40
+
+
+def test_stream_of_csv_loads_a_content_once_and_counts(spark, tmp_path, monkeypatch):
+    observed, write = [], csv_stream._write_counts
+
+    def write_counts(spark, root, run, progress):
+        observed.extend(progress.counts(run))
+        write(spark, root, run, progress)
+
+    monkeypatch.setattr(csv_stream, "_write_counts", write_counts)
+    schema = spark.range(0).selectExpr("id", "string(id) as t").schema
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def deliver(lo, hi, compression="gzip"):
+        rows = spark.range(lo, hi, 1, 1).selectExpr("id", "concat('a,\"', id) as t")
+        rows.write.mode("append").options(**SRC.CSV_FORMAT, compression=compression).csv(source)
+
+    def run(name):
+        csv_stream.ingest_csv(spark, source, schema, root, name, files_per_batch=2)
+        rows = csv_stream.read_counts(spark, root).where(F.col("run") == name)
+        found = rows.agg(*[F.sum(c) for c in ("files", "rows_read", "files_loaded", "rows_loaded")]).first()
+        return tuple(found), SRC.read_parquet(spark, f"{root}/table").count()
+
+    deliver(0, 10)
+    deliver(10, 30)
+    deliver(0, 10, "none")
+    assert run("a") == ((3, 40, 2, 30), 30)
+    deliver(10, 30)
+    deliver(30, 35)
+    assert run("b") == ((2, 25, 1, 5), 35)
+    assert run("c") == ((None,) * 4, 35)
+    deliver(0, 10)
+    assert run("d") == ((1, 10, 0, 0), 35)
+    table = SRC.read_parquet(spark, f"{root}/table")
+    assert sorted(r.id for r in table.collect()) == list(range(35)) and table.where("t = 'a,\"7'").count() == 1
+    # a run that ended before its counts were written: the next one counts what it staged
+    assert sorted(observed) == sorted(map(tuple, csv_stream.read_counts(spark, root).collect()))
+    counts = {r.batch_id: r.asDict() for r in csv_stream.read_counts(spark, root).collect()}
+    delete_path(spark, f"{root}/counts/batch_id=1")
+    run("e")
+    again = {r.batch_id: r.asDict() for r in csv_stream.read_counts(spark, root).collect()}
+    assert again == counts | {1: counts[1] | {"run": "e"}}
+
+
 def test_union_types(spark):
     a = spark.sql("select 1 as k, date'2024-01-01' as d, cast(1.5 as float) as f")
     b = spark.sql("select 5000000000 as x, timestamp_ntz'2024-01-02 03:04:05' as y, 2.5D as z")
