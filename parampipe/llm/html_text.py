@@ -3,7 +3,9 @@
 Every DOM node gets its characters per tag, adjusted by how much of it is link
 text. The node whose children's densities have the largest sum holds the main
 text; the least density on its path to the body is the threshold that nodes
-beside it must reach to belong to it.
+beside it must reach to belong to it. Elements that only format words inside a
+block (b, br, span, ...) count as its characters, not as tags or children: of two
+like paragraphs the one with a bold word is no less dense, nor a text of its own.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
     "optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+# elements that count as tags: blocks and links
+COUNTED = BLOCK | {"a"}
 CLOSED_BY_BLOCK = frozenset(["p"])
 # an element that ends when the same kind starts, and the elements the search stops at
 CLOSES = {
@@ -68,18 +72,28 @@ _ATTRIBUTE = re.compile(
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+# A class that says a part is beside this one, or is not there, names another part.
+_NOT_ITSELF = frozenset("no not without with has had is".split())
+_ARTICLE, _CODE = 1, 2
+_INSIDE = {"article": _ARTICLE, "pre": _CODE, "code": _CODE}
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "named", "dropped", "inside", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, named: bool):
+        self.tag, self.parent, self.named = tag, parent, named
+        self.dropped = named or (parent is not None and parent.dropped)
+        self.inside = (parent.inside if parent else 0) | _INSIDE.get(tag, 0)
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _is_dropped(tag: str, attributes: str) -> bool:
-    if tag in NOT_TEXT:
+def _is_dropped(tag: str, attributes: str, inside: int = 0) -> bool:
+    """Whether an element, by its tag and attributes, is no text of the article. `inside`
+    tells what it lies in: an article has a header of its own, code has its own comments."""
+    if tag in NOT_TEXT and not (tag == "header" and inside & _ARTICLE):
         return True
     if not attributes or attributes.isspace():
         return False
@@ -89,12 +103,24 @@ def _is_dropped(tag: str, attributes: str) -> bool:
             return True
         if name == "role" and value.strip() in NOT_TEXT_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            if any(w in NOT_TEXT_NAMES for w in _WORD.findall(value)):
+        if name in ("class", "id") and not inside & _CODE and tag not in ("body", "html", "article", "main"):
+            if any(_names_a_part(one, inside) for one in value.split()):
                 return True
     return False
 
 
+def _names_a_part(name: str, inside: int) -> bool:
+    """One class or id: a name of such a part, or one put together with it."""
+    words = _WORD.findall(name)
+    found = [w for w in words if w in NOT_TEXT_NAMES]
+    if len(words) > 1:
+        if words[0] in _NOT_ITSELF or any(w in _NOT_ITSELF for w in words[1:-1]):
+            return False
+        # related-work is a section, post-header holds a title
+        found = [w for w in found if w != "related" and not (w == "header" and inside & _ARTICLE)]
+    return bool(found)
+
+
 def parse(page: str) -> tuple[Node, list[Node]]:
     """The tree of a page, and its nodes in page order. Text lies in `children` as str."""
     root = Node("html", None, False)
@@ -131,7 +157,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
             names, stops = CLOSES[tag]
             while (before := open_node) and (close(names, stops) or open_node is not before):
                 pass
-        node = Node(tag, open_node, open_node.dropped or _is_dropped(tag, attributes))
+        node = Node(tag, open_node, _is_dropped(tag, attributes, open_node.inside))
         open_node.children.append(node)
         nodes.append(node)
         if tag in RAW:
@@ -144,6 +170,25 @@ def parse(page: str) -> tuple[Node, list[Node]]:
     return root, nodes
 
 
+def _keep_wrapping_forms(nodes: list[Node]) -> None:
+    """Some servers write a form around every page: one with most of the page's text, and
+    an article, main element or first heading in it, is no form of the page."""
+    if not any(n.tag == "form" for n in nodes):
+        return
+    sizes: dict[int, int] = {}
+    titled: set[int] = set()
+    for node in reversed(nodes):
+        parts = [c for c in node.children if isinstance(c, Node)]
+        texts = [] if node.tag in NOT_TEXT - {"form", "header"} else node.children
+        sizes[id(node)] = sum(len("".join(c.split())) if isinstance(c, str) else sizes[id(c)] for c in texts)
+        if node.tag in ("article", "main", "h1") or any(id(c) in titled for c in parts):
+            titled.add(id(node))
+    for node in nodes[1:]:
+        if node.tag == "form" and id(node) in titled and sizes[id(node)] * 2 > sizes[id(nodes[0])]:
+            node.named = False
+        node.dropped = node.named or node.parent.dropped
+
+
 def _measure(root: Node, nodes: list[Node]) -> None:
     for node in reversed(nodes):
         for child in node.children:
@@ -153,7 +198,7 @@ def _measure(root: Node, nodes: list[Node]) -> None:
                 node.link_chars += size if node.tag == "a" else 0
             elif not child.dropped:
                 node.chars += child.chars
-                node.tags += child.tags + 1
+                node.tags += child.tags + (child.tag in COUNTED)
                 whole = node.tag == "a"
                 node.link_chars += child.chars if whole else child.link_chars
                 node.link_tags += child.link_tags + (child.tag == "a")
@@ -162,7 +207,7 @@ def _measure(root: Node, nodes: list[Node]) -> None:
         if node.chars and not node.dropped:
             node.density = _density(node, body_links)
     for node in nodes:
-        node.sum = sum(c.density for c in node.children if isinstance(c, Node) and not c.dropped)
+        node.sum = sum(c.density for c in node.children if isinstance(c, Node) and not c.dropped and c.tag in COUNTED)
 
 
 def _density(node: Node, body_links: float) -> float:
@@ -175,21 +220,33 @@ def _density(node: Node, body_links: float) -> float:
     return chars / tags * (math.log(ratio) / math.log(base) if base > 1 else math.log(ratio + 1))
 
 
+def _densest(live: list[Node]) -> Node:
+    """The node with the largest density sum; of equal ones the innermost, and without
+    any sum the node with the largest density."""
+    key = "sum" if any(n.sum for n in live) else "density"
+    return max(reversed(live), key=lambda n: getattr(n, key))
+
+
+def _article_of(best: Node) -> Node | None:
+    """The outermost article or main element around the best node that is nearly as good:
+    its density sum is over half the best one's, so it is an article in sections. One that
+    holds a whole site has a lower sum and decides nothing."""
+    node, found = best, None
+    while node is not None:
+        if node.tag in ("article", "main") and (node is best or node.sum * 2 > best.sum):
+            found = node
+        node = node.parent
+    return found
+
+
 def _select(root: Node, nodes: list[Node]) -> list[Node | str]:
     """The nodes whose subtrees are the main text, and text directly in a node around
     the best one, in page order."""
     live = [n for n in nodes if not n.dropped and n.chars]
     if not live:
         return []
-    best = max(live, key=lambda n: n.sum)
-    if best.sum == 0.0:
-        best = max(live, key=lambda n: n.density)
-    # an article or main element the best node lies in is taken whole
-    node, article = best, None
-    while node is not None:
-        if node.tag in ("article", "main"):
-            article = node
-        node = node.parent
+    best = _densest(live)
+    article = _article_of(best)
     if article is not None:
         best = article
     threshold, node = best.density, best
@@ -249,6 +306,7 @@ def _blocks(chosen: list[Node | str]) -> list[str]:
 def main_text(page: str) -> str:
     """Blocks of the main text, two newlines between them; empty if there is none."""
     root, nodes = parse(page)
+    _keep_wrapping_forms(nodes)
     _measure(root, nodes)
     return "\n\n".join(_blocks(_select(root, nodes)))
 

@@ -70,6 +70,48 @@ def test_text_directly_around_the_best_node():
     assert blocks[:2] + blocks[-1:] == ["Intro & text", "more text", "last words"] and len(blocks) == 9
 
 
+PARAGRAPHS = "".join(f"<p>{'plain <b>words</b> of a text ' * 12}{i}.</p>" for i in range(6))
+PARAGRAPHS_TEXT = "\n\n".join(f"{'plain words of a text ' * 12}{i}." for i in range(6))
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"<div class='content no-sidebar'><h1>T</h1>{PARAGRAPHS}</div>", "T\n\n" + PARAGRAPHS_TEXT),
+        (f"<div class='with-sidebar'><article>{PARAGRAPHS}</article></div>", PARAGRAPHS_TEXT),
+        (f"<form action='/x'><article>{PARAGRAPHS}</article><input name=q></form>", PARAGRAPHS_TEXT),
+        (f"<article>{PARAGRAPHS}</article><form>Your name <input name=q></form>", PARAGRAPHS_TEXT),
+        (f"<header>Site</header><article><header><h1>Title</h1></header>{PARAGRAPHS}</article>", "Title\n\n" + PARAGRAPHS_TEXT),
+        (f"<article>{PARAGRAPHS}<pre><span class='comment'># why</span> x = 1</pre></article>", PARAGRAPHS_TEXT + "\n\n# why x = 1"),
+        (f"<article>{PARAGRAPHS}<section class='related-work'><p>Earlier work.</p></section></article>", PARAGRAPHS_TEXT + "\n\nEarlier work."),
+        (f"<article>{PARAGRAPHS}<div class='comment-list'><p>First!</p></div><p class=ad>Buy</p></article>", PARAGRAPHS_TEXT),
+    ],
+)
+def test_names_of_parts(body, text):
+    assert html_text.main_text(f"<body>{MENU}{body}<footer>foot</footer></body>") == text
+
+
+def test_the_densest_of_several_articles():
+    teasers = "".join(f"<article><h2><a href='/{i}'>Teaser {i}</a></h2><p>Short.</p></article>" for i in range(4))
+    assert html_text.main_text(f"<body>{MENU}{teasers}<article>{PARAGRAPHS}</article>{teasers}</body>") == PARAGRAPHS_TEXT
+
+
+def test_an_article_in_sections_is_taken_whole():
+    page = f"<article><h1>T</h1><div>{PARAGRAPHS}</div><div><p>{'other words ' * 40}</p></div></article>"
+    text = html_text.main_text(f"<body>{MENU}{page}</body>")
+    assert text == f"T\n\n{PARAGRAPHS_TEXT}\n\n{('other words ' * 40).strip()}"
+
+
+def test_density_finds_the_article_without_its_name(sf_dir):
+    """The generated pages with their article elements renamed give the same texts."""
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table(f"{sf_dir}/pages.parquet").column("html").to_pylist()
+    named = [html_text.main_text(p) for p in pages if p]
+    plain = [html_text.main_text(p.replace("<article", "<div").replace("</article", "</div")) for p in pages if p]
+    assert named == plain and all(named)
+
+
 def test_deep_and_broken_pages():
     assert html_text.main_text("<div>" * 20000 + "deep") == "deep"
     assert html_text.main_text("<" * 5000)
