@@ -318,6 +318,31 @@ def union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{schema}.orders")
 
 
+def union_many_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder for every status and month; the statuses' schemas differ inside a struct
+    and an array, so all folders are read by three scans."""
+    orders = table(spark, sf_dir, "orders").withColumn("month", month_key("o_orderdate"))
+    customer, price = F.col("o_custkey").cast("bigint"), F.col("o_totalprice").alias("price")
+    digit = F.col("o_orderkey") % 7
+    shapes = {
+        "F": (F.struct(customer.cast("int").alias("cust"), price), F.array(digit.cast("int"))),
+        "O": (F.struct(customer.alias("cust")), F.array(digit.cast("bigint"), F.lit(None))),
+        "P": (F.struct(price, F.concat(F.lit("C"), customer).alias("CUST")), F.array(digit.cast("double"))),
+    }
+    root = new_scratch(spark, "many-parts")
+    for status, (info, tags) in shapes.items():
+        rows = orders.where(F.col("o_orderstatus") == status)
+        rows = rows.select("o_orderkey", info.alias("info"), tags.alias("tags"), "month")
+        S.write_parquet(rows, f"{root}/status={status}", ["month"])
+    found = S.case_files(spark, root, ["status"])
+    folders = found.select("status", F.regexp_replace("_file", r"/[^/]*$", "").alias("folder")).distinct()
+    united = V.union_folders(spark, [row["folder"] for row in folders.orderBy("status", "folder").collect()])
+    return united.select(
+        "o_orderkey", F.col("info.cust").alias("cust"), F.col("info.price").alias("price"),
+        F.col("tags")[0].alias("tag"), F.size("tags").cast("bigint").alias("tags"),
+    )
+
+
 def union_parts_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with a number, a smaller number and a text as key make a text key;
     decimals of different digits and whole numbers make a decimal for all."""
@@ -449,6 +474,7 @@ QUERIES = {
         create_or_append,
         append_by_name,
         union_parts,
+        union_many_parts,
         union_parts_widened,
         load_bad_part,
         upsert_by_key,
@@ -535,6 +561,11 @@ ORACLE = {
     "append_by_name": "select * from orders",
     "union_parts": """select * replace (case when o_orderstatus = 'O' then 'C' else '' end
         || o_custkey as o_custkey) from orders""",
+    "union_many_parts": """select o_orderkey, case when o_orderstatus = 'P' then 'C' else '' end
+            || cast(o_custkey as varchar) as cust,
+        case when o_orderstatus <> 'O' then o_totalprice end as price,
+        cast(o_orderkey % 7 as double) as tag, case when o_orderstatus = 'O' then 2 else 1 end as tags
+        from orders""",
     "union_parts_widened": """select case when o_orderstatus = 'O' then 'K' else '' end
         || o_orderkey as o_orderkey, o_custkey, o_orderstatus, o_totalprice as price,
         case when o_orderstatus = 'P' then o_totalprice else o_custkey end as amount,

@@ -260,6 +260,30 @@ def test_union_types(spark):
         V.union_parts([a, a.drop("f")])
 
 
+def test_union_of_nested_types(spark):
+    a = spark.sql("select struct(1 as n, array(struct(1 as x)) as l) as s, map('k', 1) as m, null as v")
+    b = spark.sql("select struct(array(struct('t' as y, 2L as X)) as L, 2.5D as n) as s, map('j', 2.5D) as m, 7 as v")
+    c = spark.sql("select cast(null as struct<n:int,`odd name`:date>) as s, cast(null as map<string,int>) as m, 8 as v")
+    united = V.union_parts([a, b, c])
+    assert united.schema.simpleString() == (
+        "struct<s:struct<n:double,l:array<struct<x:bigint,y:string>>,odd name:date>,m:map<string,double>,v:int>"
+    )
+    one, two, three = united.orderBy(F.col("v").asc_nulls_first()).collect()
+    assert one.s.n == 1.0 and [tuple(e) for e in one.s.l] == [(1, None)] and one.m == {"k": 1.0}
+    assert two.s.n == 2.5 and [tuple(e) for e in two.s.l] == [(2, "t")] and two.s["odd name"] is None
+    assert three.s is None and three.m is None
+
+
+def test_union_of_many_folders_scans_once_a_schema(spark, tmp_path):
+    for kind, number in (("int", 0), ("bigint", 1)):
+        rows = spark.range(0, 200, 1, 1).selectExpr(f"cast(id + {number} * 200 as {kind}) as k", "id as part")
+        rows.write.partitionBy("part").parquet(str(tmp_path / kind))
+    folders = sorted(str(p) for p in tmp_path.glob("*/part=*"))
+    united = V.union_folders(spark, folders)
+    assert len(folders) == 400 and plan_text(united).count("FileScan parquet") == 2
+    assert sorted(r.k for r in united.collect()) == list(range(400)) and united.schema.simpleString() == "struct<k:bigint>"
+
+
 def test_ordinals_with_a_hot_group(spark):
     df = spark.range(5000).selectExpr(
         "id", "case when id % 3 = 0 then null when id % 3 = 1 then 'hot' else concat('g', id % 50) end as g",
