@@ -175,3 +175,35 @@ def test_long_lines_of_few_shingles(spark):
     docs = [(i, "\n".join(group)) for i, group in enumerate(repeated + rules)]
     found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
     assert found == {i: text.split("\n")[0] for i, text in docs}
+
+
+def test_sketches_differ_in_no_more_bits_than_the_lines_in_shingles():
+    base = words(60, 50)
+    own = [base, *(edited(base, s, s % 9) for s in range(30)), words(61, 40), "exact", "-" * 4000, words(62, 30_000), "😀 " * 9]
+    counts, sketch = lines.line_sketches(own)
+    sets = [{x.encode("utf-16-be", "surrogatepass")[2 * i : 2 * i + 10] for i in range(len(x) - 4)} for x in own]
+    assert counts.tolist() == [len(s) for s in sets]
+    pruned = 0
+    for a in range(len(own)):
+        assert (lines.line_sketches([own[a]])[1][0] == sketch[a]).all()
+        for b in range(a):
+            apart = sum(int(x).bit_count() for x in (sketch[a] ^ sketch[b]).view("uint64"))
+            assert apart <= len(sets[a] ^ sets[b])
+            alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            ruled_out = apart > (len(sets[a]) + len(sets[b])) / 9 + 1
+            assert not (ruled_out and alike >= 0.8)
+            pruned += ruled_out and alike < 0.7
+    assert pruned > 100
+
+
+@pytest.mark.parametrize("meet", [2, lines.MEET])
+def test_copies_too_far_apart_are_not_compared_pair_by_pair(spark, monkeypatch, meet):
+    """Edited copies of one line share buckets, but few pairs of them are similar."""
+    monkeypatch.setattr(lines, "MEET", meet)
+    judge, judged = lines.judge_pairs, []
+    monkeypatch.setattr(lines, "judge_pairs", lambda pairs, t: judged.append(pairs.count()) or judge(pairs, t))
+    base = words(70, 80)
+    docs = [(i, edited(base, i, 3 if i % 20 == 0 else 8)) for i in range(200)]
+    found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    assert found == brute(docs)
+    assert 0 < sum(judged) < 5 * len(docs)
