@@ -258,7 +258,8 @@ def close_pairs(near: DataFrame, texts: DataFrame, similarity: float) -> DataFra
     """
     rounding = 1e-6
     sets = near.join(texts.select("lid", "line"), "lid").select("lid", "root", "alone", shingle_hashes(F.col("line")).alias("s"))
-    each = sets.select("lid", "root", "alone", F.size("s").alias("n"), F.explode("s").alias("h"))
+    # an inner explode lets the planner ask for the sets' sizes, and so for the sets, of all `texts`
+    each = sets.select("lid", "root", "alone", F.size("s").alias("n"), F.explode_outer("s").alias("h"))
     counts = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     counts = materialize(counts, "counts")
     release_shuffles(near.sparkSession)
