@@ -5,7 +5,8 @@ per token and position, with its neighbour, joins both with the merge table, and
 each word's leftmost pair of least rank until no pair is in the table. Decoding
 joins the ids with the vocabulary and puts the bytes together by ordered
 aggregation. Spark partitions the documents; a task holds one batch of texts,
-the words it has met (`KNOWN_WORDS` at most) and the two tables.
+the words it has met (`KNOWN_WORDS` at most) and the two tables, and leaves the worker
+only the words that came again.
 """
 
 from __future__ import annotations
@@ -30,13 +31,15 @@ from parampipe.llm.common import fresh, ship_with_tasks, whole_text
 
 ship_with_tasks(__name__)
 
-# Words a worker remembers from the latest texts, and as many from those before, also
-# over the tasks it runs; what it forgets is encoded again.
+# Words a worker remembers from the latest texts; of those before, also of the tasks it
+# ran, it remembers what came more than once. What it forgets is encoded again.
 KNOWN_WORDS = 400_000
-# Characters of text, words of a query, and ids of a query held at once.
-TEXT_BLOCK = 4_000_000
+# Characters of text, words of a query, and ids of a query held at once. Larger blocks of
+# text or ids take no less time (80 MB of texts: 35 CPU seconds with 2 or 4 million
+# characters), but a task has an encoder and a decoder, which share an executor's memory.
+TEXT_BLOCK = 2_000_000
 WORD_BLOCK = 30_000
-ID_BLOCK = 1_000_000
+ID_BLOCK = 250_000
 # A word of more bytes goes through a heap: the same contractions, in n log n steps
 # where the recursive query would take n steps of n rows.
 LONG_WORD = 256
@@ -166,6 +169,7 @@ class Encoder:
         self.store = sys.modules.setdefault("_byte_bpe_words", types.ModuleType("_byte_bpe_words"))
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = getattr(self.store, vocabulary.name, {})
+        self.again: set[str] = set()
 
     def learn(self, words: Iterable[str]) -> None:
         ranks, rest = self.vocabulary.ranks, []
@@ -238,12 +242,27 @@ class Encoder:
     def ready(self, words: set[str]) -> None:
         """Put all of `words` into `known`."""
         missing = words.difference(self.known)
+        self.again.update(words.difference(missing))
         if len(self.known) + len(missing) > KNOWN_WORDS:
-            self.before, self.known, missing = self.known, {}, words
+            self.before, self.known, self.again, missing = self.met_again(), {}, set(), words
         again = missing.intersection(self.before)
+        self.again.update(again)
         self.known.update((w, self.before[w]) for w in again)
         self.learn(missing.difference(again))
-        setattr(self.store, self.vocabulary.name, self.known)
+
+    def met_again(self) -> dict[str, bytes]:
+        """The words of `known` that more than one block had: most others never come back."""
+        return {w: self.known[w] for w in self.again}
+
+    def close(self) -> None:
+        """Leave the worker what later tasks use."""
+        setattr(self.store, self.vocabulary.name, self.met_again())
+        self.con.close()
+
+
+def give_back() -> None:
+    """Return what Arrow's allocator holds unused; a worker waits for its next task with it otherwise."""
+    pa.default_memory_pool().release_unused()
 
 
 def by_length(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -285,12 +304,17 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary.of(shared.value))
-        for batch in batches:
-            texts = batch.column(batch.schema.names.index(text))
-            for first, stop in by_length(pc.binary_length(texts).to_pylist(), TEXT_BLOCK):
-                part = batch.slice(first, stop - first)
-                ids = encoder.encode(texts.slice(first, stop - first).to_pylist())
-                yield _append(part, name, ids, None if keep_text else text)
+        try:
+            for batch in batches:
+                texts = batch.column(batch.schema.names.index(text))
+                for first, stop in by_length(pc.binary_length(texts).to_pylist(), TEXT_BLOCK):
+                    part = batch.slice(first, stop - first)
+                    ids = encoder.encode(texts.slice(first, stop - first).to_pylist())
+                    yield _append(part, name, ids, None if keep_text else text)
+                    give_back()
+        finally:
+            encoder.close()
+            give_back()
 
     return plain.mapInArrow(run, _with_binary(plain if keep_text else plain.drop(text), name))
 
@@ -308,11 +332,16 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.of(shared.value)
         con = vocabulary.connect()
-        for batch in batches:
-            column = batch.column(batch.schema.names.index(ids))
-            for first, stop in by_length(pc.binary_length(column).to_pylist(), 4 * ID_BLOCK):
-                part = batch.slice(first, stop - first)
-                yield _append(part, name, decoded(con, vocabulary.known, column.slice(first, stop - first).to_pylist()))
+        try:
+            for batch in batches:
+                column = batch.column(batch.schema.names.index(ids))
+                for first, stop in by_length(pc.binary_length(column).to_pylist(), 4 * ID_BLOCK):
+                    part = batch.slice(first, stop - first)
+                    yield _append(part, name, decoded(con, vocabulary.known, column.slice(first, stop - first).to_pylist()))
+                    give_back()
+        finally:
+            con.close()
+            give_back()
 
     return plain.mapInArrow(run, _with_binary(plain, name))
 

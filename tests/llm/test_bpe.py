@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
@@ -36,6 +37,22 @@ def test_blocks_do_not_show(monkeypatch):
     assert bpe.decoded(vocabulary.connect(), vocabulary.known, expected) == [t.encode() for t in texts()]
 
 
+def test_worker_keeps_words_that_came_again():
+    vocabulary = bpe.Vocabulary(RANKS, public_tokenizers.PATTERN)
+    vocabulary.name = "own"
+    encoder = bpe.Encoder(vocabulary)
+    for text in (" zqxa zqxb zqxb", " zqxc zqxa", " zqxd"):
+        assert encoder.encode([text]) == [bpe.packed(LIBRARY.encode_ordinary(text))]
+    encoder.close()
+    with pytest.raises(duckdb.ConnectionException):
+        encoder.con.sql("SELECT 1")
+    later = bpe.Encoder(vocabulary)
+    assert set(later.before) == {" zqxa"}
+    # a word of one block only is encoded again when it does come back
+    assert later.encode([" zqxb zqxa"]) == [bpe.packed(LIBRARY.encode_ordinary(" zqxb zqxa"))]
+    later.close()
+
+
 def test_heap_contracts_like_the_query():
     draw = random.Random(2)
     for _ in range(200):
