@@ -34,9 +34,9 @@ ship_with_tasks(__name__)
 # Words a worker remembers from the latest texts; of those before, also of the tasks it
 # ran, it remembers what came more than once. What it forgets is encoded again.
 KNOWN_WORDS = 400_000
-# Characters of text, words of a query, and ids of a query held at once. Larger blocks of
-# text or ids take no less time (80 MB of texts: 35 CPU seconds with 2 or 4 million
-# characters), but a task has an encoder and a decoder, which share an executor's memory.
+# Characters of text, words of a query, and ids of a query held at once. In one process
+# larger blocks of text took no less time (80 MB of texts: 35 CPU seconds with 2 or 4 million
+# characters), and a task has an encoder and a decoder, which share an executor's memory.
 TEXT_BLOCK = 2_000_000
 WORD_BLOCK = 30_000
 ID_BLOCK = 250_000
