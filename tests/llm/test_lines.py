@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from helpers import ODD_TEXTS, documents, words
 from parampipe.llm import lines
@@ -207,3 +208,32 @@ def test_copies_too_far_apart_are_not_compared_pair_by_pair(spark, monkeypatch,
     found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
     assert found == brute(docs)
     assert 0 < sum(judged) < 5 * len(docs)
+
+
+@pytest.mark.parametrize("pairs, part", [(50, 30), (1 << 18, 1 << 18)])
+def test_buckets_are_the_lines_that_share_a_key(spark, monkeypatch, pairs, part):
+    """Every band key crosses once; of a key that very many lines have none is left out."""
+    monkeypatch.setattr(lines, "PAIRS", pairs)
+    monkeypatch.setattr(lines, "PART", part)
+    hot = words(900, 50)
+    own = [words(s, 20) for s in range(40)] + [f"{hot}{'-' * (6 + i)}" for i in range(60)] + ["abc"]
+    df = spark.createDataFrame(list(enumerate(own)), "lid long, line string").repartition(3)
+    buckets = {}
+    for i, line in enumerate(own[:-1]):
+        for key in lines.band_keys([line])[0].tolist():
+            buckets.setdefault(key, []).append(i)
+    expected = sorted((k, i, min(x), len(x)) for k, x in buckets.items() if len(x) > 1 for i in x)
+    assert len(expected) > 500
+    found = lines.bucket_members(df).select("key", "lid", "first", "n").collect()
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_many_pairs_are_judged_as_one_by_one():
+    base = [words(s, 2 + 7 * (s % 20)) for s in range(300)]
+    pairs = [(x, edited(x, s, s % 9)) for s, x in enumerate(base)]
+    pairs += [("", ""), ("", "a"), ("abc", "abc"), ("abc", "abd"), ("abcd", "abcde"), ("-" * 9, "-" * 700)]
+    pairs += [("😀" * 3, "😀" * 4), ("😀 ü" * 9, "😀 ü" * 8 + "x"), (words(1, 30_000), edited(words(1, 30_000), 1, 900))]
+    expected = [len(shingles(x) & shingles(y)) >= 0.8 * len(shingles(x) | shingles(y)) for x, y in pairs]
+    assert 100 < sum(expected) < len(pairs) - 50
+    a, b = zip(*pairs)
+    assert np.array_equal(lines.similar_pairs(list(a), list(b), 0.8), expected)
