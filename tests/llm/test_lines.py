@@ -210,6 +210,36 @@ def test_copies_too_far_apart_are_not_compared_pair_by_pair(spark, monkeypatch,
     assert 0 < sum(judged) < 5 * len(docs)
 
 
+def test_buckets_of_two_lines_are_settled_at_once(spark, monkeypatch):
+    """What lines met in a bucket of their own is not written again for the later steps."""
+    written, write = {}, lines.materialize
+
+    def materialize(df, label, *more):
+        copy = write(df, label, *more)
+        written[label] = written.get(label, 0) + copy.count()
+        return copy
+
+    monkeypatch.setattr(lines, "materialize", materialize)
+    docs = []
+    for i in range(40):
+        line = words(800 + i, 60)
+        docs += [(2 * i, line), (2 * i + 1, edited(line, i, 1 + i % 6))]
+    found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    assert found == brute(docs)
+    assert written["members"] > 80 and written["rooted"] == 0
+
+
+def test_only_lines_of_very_large_buckets_are_taken_apart(spark, monkeypatch):
+    """300 lines around one passage meet by their sketches; no table of their shingles is written."""
+    labels, write = [], lines.materialize
+    monkeypatch.setattr(lines, "materialize", lambda df, label, *more: labels.append(label) or write(df, label, *more))
+    group, near = shared_passage(300, 100)
+    docs = [(i, line) for i, line in enumerate([*group, *near])]
+    found = {r.doc_id: r.text for r in lines.dedup_lines(documents(spark, docs)).collect()}
+    assert found == brute(docs)
+    assert "pairs" in labels and not {"near", "postings"} & {*labels}
+
+
 @pytest.mark.parametrize("pairs, part", [(50, 30), (1 << 18, 1 << 18)])
 def test_buckets_are_the_lines_that_share_a_key(spark, monkeypatch, pairs, part):
     """Every band key crosses once; of a key that very many lines have none is left out."""
